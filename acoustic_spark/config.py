@@ -78,10 +78,6 @@ CLIP_FRAMES = 220_500
 # int16 full scale.
 FULL_SCALE = 32_768.0
 
-# Fixed formats of the detection log and of the event list.
-LOG_TIME_FORMAT = "yyyy-MM-dd_HH:mm:ss"
-VIEW_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
 # Fixed label sets of the training selection.
 POSITIVE_CLASSES = ("Gunshot", "Gunfire", "Machine Gun", "Cap Gun")
 NEGATIVE_CLASSES = (

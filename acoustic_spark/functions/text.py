@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from acoustic_spark.config import LOG_TIME_FORMAT, VIEW_TIME_FORMAT
-
 # One item of a printed prediction list: a quoted label and a number. A label that
 # holds an apostrophe is printed in double quotes.
 _SINGLE = r"'((?:[^'\\]|\\.)*)'"
@@ -15,12 +13,14 @@ _ITEM = rf"\((?:{_SINGLE}|{_DOUBLE}),\s*({_NUMBER})\)"
 _LIST = rf"^\[(?:{_ITEM}(?:,\s*{_ITEM})*)?\]$"
 
 
-def log_time(ts: Column) -> Column:
-    return F.date_format(ts, LOG_TIME_FORMAT)
+def view_time(ts: Column) -> Column:
+    """`yyyy-MM-dd HH:mm:ss`, cut from the printed time so that no time zone comes into play."""
+    return F.substring(ts.cast("string"), 1, 19)
 
 
-def view_time(ts: Column) -> Column:
-    return F.date_format(ts, VIEW_TIME_FORMAT)
+def log_time(ts: Column) -> Column:
+    """`yyyy-MM-dd_HH:mm:ss`."""
+    return F.replace(view_time(ts), F.lit(" "), F.lit("_"))
 
 
 def archive_path(folder: Column, ts: Column) -> Column:
@@ -44,15 +44,12 @@ def two_decimals(score: Column) -> Column:
     """
     unit = 56
     scaled = score * F.lit(float(1 << unit))
-    hundredfold = F.floor(scaled).cast("bigint") * 100
-    cents = F.shiftright(hundredfold, unit)
-    rest = hundredfold - F.shiftleft(cents, unit)
-    half = F.lit(1 << (unit - 1))
-    inexact = scaled > F.floor(scaled)
-    up = (rest > half) | ((rest == half) & (inexact | (cents % 2 == 1)))
-    rounded = cents + up.cast("bigint")
-    digits = F.lpad((rounded % 100).cast("string"), 2, "0")
-    exact = F.concat(F.floor(rounded / 100).cast("string"), F.lit("."), digits)
+    below = F.floor(scaled).cast("bigint")
+    hundredfold = below * 100 + (scaled > below).cast("bigint")
+    # Half to even: add just under a half, and one more when the cents are odd.
+    odd = F.shiftright(hundredfold, unit).bitwiseAND(F.lit(1))
+    cents = F.shiftright(hundredfold + F.lit((1 << (unit - 1)) - 1) + odd, unit)
+    exact = (cents.cast("decimal(10,0)") / 100).cast("decimal(12,2)").cast("string")
     return F.when((score >= 0) & (score <= 1), exact).otherwise(F.format_string("%.2f", score))
 
 

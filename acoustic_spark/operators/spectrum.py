@@ -140,7 +140,7 @@ def magnitudes(samples: Column, window: int, hop: int, fft: int) -> Column:
         ]
         return nested(rows, pa.float64())
 
-    return spectrum(samples.cast("array<double>"))
+    return spectrum(samples)
 
 
 def _log_mel_kernel(cfg: FeatureConfig) -> Callable[[np.ndarray], np.ndarray]:
@@ -162,7 +162,7 @@ def log_mel(samples: Column, cfg: FeatureConfig) -> Column:
         kernel = _log_mel_kernel(cfg)
         return nested([kernel(x) for x in list_rows(column)], pa.float64())
 
-    return features(samples.cast("array<double>"))
+    return features(samples)
 
 
 def patches(samples: Column, cfg: FeatureConfig, scale: float = 1.0) -> Column:

@@ -10,8 +10,7 @@ from pyspark.sql import types as T
 
 from acoustic_spark.config import FULL_SCALE, DetectConfig
 from acoustic_spark.functions.text import alert_flag
-from acoustic_spark.functions.waveform import mono_array
-from acoustic_spark.operators.resample import resample_array
+from acoustic_spark.operators.resample import mono_signal
 from acoustic_spark.operators.scoring import (
     MAX_DICTIONARY_ROWS,
     Dense,
@@ -55,27 +54,25 @@ def detect(classifier: Classifier, cfg: DetectConfig = DetectConfig(), kernel: s
     """Classifier for `clips.transform(detect(...))`.
 
     Every step is row by row, so a clip is read, classified and flagged in one
-    task; nothing is shuffled and the patches never return to the JVM.
+    task; nothing is shuffled and the patches never return to the JVM. The columns
+    are built once and serve every micro-batch.
     """
     features = cfg.features
     names = dictionary_map(classifier.classes)
+    signal = mono_signal(
+        F.col("samples"), F.col("n_channels"), F.col("sample_rate"), features.sample_rate, kernel
+    )
+    # Mixing and resampling are linear, so full scale is divided out after them.
+    cut = patches(signal, features, scale=FULL_SCALE)
+    embedded = embed_clips(cut, classifier.load_model, features.patch_frames * features.bands, features.value_type)
+    whitened = whiten_clips(embedded, classifier.projection)
+    scores = score_clips(whitened, classifier.head, cfg.max_frames)
+    predictions = rank_array(F.col("_scores"), names, cfg)
+    flag = alert_flag(F.col("predictions.label"), cfg.alert_patterns)
 
     def run(clips: DataFrame) -> DataFrame:
-        require_int16(clips)
-        # The division by full scale is linear, so it is done on the patches' input.
-        mono = mono_array(F.col("samples"), F.col("n_channels"))
-        signal = resample_array(mono, F.col("sample_rate"), features.sample_rate, kernel)
-        cut = patches(signal, features, scale=FULL_SCALE)
-        embedded = embed_clips(cut, classifier.load_model, features.patch_frames * features.bands, features.value_type)
-        whitened = whiten_clips(embedded, classifier.projection)
-        scores = score_clips(whitened, classifier.head, cfg.max_frames)
-        return (
-            clips.withColumn("_scores", scores)
-            .drop("samples")
-            .withColumn("predictions", rank_array(F.col("_scores"), names, cfg))
-            .withColumn("flag", alert_flag(F.col("predictions.label"), cfg.alert_patterns))
-            .drop("_scores")
-        )
+        scored = require_int16(clips).withColumn("_scores", scores).drop("samples")
+        return scored.withColumn("predictions", predictions).withColumn("flag", flag).drop("_scores")
 
     return run
 

@@ -69,12 +69,13 @@ SELECT 'clips/' || sensor_id || '/' || clip_no || '.wav' AS path, CAST({SMALL.sa
 FROM clip_rows""",
 )
 def wav_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """WAV contents of all clips, parsed back by the file scan's parser."""
-    files = clips(spark, sf).select(
+    """WAV contents of all clips, stored, then parsed by the file scan's parser."""
+    folder = shared_folder(spark, "wav")
+    clips(spark, sf).select(
         F.concat(F.lit("clips/"), F.col("sensor_id"), F.lit("/"), F.col("clip_no"), F.lit(".wav")).alias("path"),
         clip_source.wav_content(F.col("samples"), F.col("n_channels"), F.col("sample_rate")).alias("content"),
-    )
-    parsed, _ = clip_source.parse_wav(files)
+    ).write.parquet(folder)
+    parsed, _ = clip_source.parse_wav(spark.read.parquet(folder))
     return parsed.select(
         "path",
         F.col("sample_rate").cast("bigint"),

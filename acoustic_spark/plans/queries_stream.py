@@ -12,7 +12,7 @@ from acoustic_spark.plans.detect import detect
 from acoustic_spark.plans.queries_features import big
 from acoustic_spark.plans.queries_scoring import DETECT, DETECT_CLIP, DETECTED, classifier, detected
 from acoustic_spark.plans.registry import query
-from acoustic_spark.plans.tables import DETECTIONS, SERIES, SMALL, clips, detections, read, series
+from acoustic_spark.plans.tables import DETECTIONS, SERIES, SMALL, clip_rows, clips, detections, read, series
 from acoustic_spark.sources.clips import from_messages, publish, to_messages
 from acoustic_spark.sources.stream import subscribe
 from acoustic_spark.streaming import detection, state
@@ -73,13 +73,13 @@ def clip_stream(spark: SparkSession, sf: str) -> DataFrame:
     return from_messages(messages, sample_rate=SMALL.sample_rate)
 
 
-def detection_run(spark: SparkSession, sf: str, first_only: bool = False) -> str:
-    """Classify, archive and log the whole topic; returns the output folder."""
+def detection_run(spark: SparkSession, sf: str, archive: bool = False, first_only: bool = False) -> str:
+    """Classify and log the whole topic, archive it when asked; returns the output folder."""
     folder = shared_folder(spark, "stream-detection")
     action = detection.detection_batch(
         detect(classifier(spark, sf), DETECT, kernel="linear"),
         f"{folder}/log",
-        f"{folder}/archive",
+        f"{folder}/archive" if archive else None,
         first_only=first_only,
         counts_path=f"{folder}/counts",
     )
@@ -94,12 +94,39 @@ def stream_detection(spark: SparkSession, sf: str) -> DataFrame:
     return detected(log.withColumn("sensor_id", F.col("sensor_id").cast("bigint")).withColumnRenamed("offset", "seq"))
 
 
-@query("stream_first_record")
+@query(
+    "stream_archive",
+    f"""WITH {SERIES}, {clip_rows(DETECT_CLIP)}, logged AS (
+  SELECT sensor_id, count(DISTINCT clip_no) AS n, count(*) AS n_samples FROM clip_rows GROUP BY ALL)
+SELECT sensor_id, CAST(n AS BIGINT) AS archived, CAST(n AS BIGINT) AS logged, CAST(n_samples AS BIGINT) AS n_samples FROM logged""",
+)
+def stream_archive(spark: SparkSession, sf: str) -> DataFrame:
+    """Clips archived by sensor and clips logged, per sensor."""
+    folder = detection_run(spark, sf, archive=True)
+    sensor = F.col("sensor_id").cast("bigint").alias("sensor_id")
+    archived = (
+        spark.read.parquet(f"{folder}/archive")
+        .groupBy(sensor)
+        .agg(F.count(F.lit(1)).alias("archived"), F.sum(F.col("n_samples").cast("bigint")).alias("n_samples"))
+    )
+    logged = spark.read.parquet(f"{folder}/log").groupBy(sensor).agg(F.count(F.lit(1)).alias("logged"))
+    return archived.join(logged, "sensor_id", "full").select("sensor_id", "archived", "logged", "n_samples")
+
+
+@query(
+    "stream_first_record",
+    f"""WITH {SERIES} SELECT CAST(count(DISTINCT (sensor_id, i // {DETECT_CLIP})) AS BIGINT) AS received,
+       CAST(4 AS BIGINT) AS kept, CAST(count(DISTINCT (sensor_id, i // {DETECT_CLIP})) - 4 AS BIGINT) AS dropped,
+       CAST(4 AS BIGINT) AS logged FROM series""",
+)
 def stream_first_record(spark: SparkSession, sf: str) -> DataFrame:
     """Only the first clip of each micro-batch is classified; the others are counted."""
     folder = detection_run(spark, sf, first_only=True)
-    logged = spark.read.parquet(f"{folder}/log").groupBy("batch_id").agg(F.count(F.lit(1)).alias("logged"))
-    return spark.read.parquet(f"{folder}/counts").join(logged, "batch_id").select("batch_id", "received", "kept", "dropped", "logged")
+    logged = spark.read.parquet(f"{folder}/log").agg(F.count(F.lit(1)).alias("logged"))
+    counts = spark.read.parquet(f"{folder}/counts")
+    return counts.agg(*[F.sum(c).alias(c) for c in ("received", "kept", "dropped")]).withColumn(
+        "logged", F.lit(logged.first()[0]).cast("bigint")
+    )
 
 
 @query(

@@ -8,10 +8,13 @@ give the same tables for the comparison.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from acoustic_spark.config import DetectConfig, FeatureConfig
+from acoustic_spark.functions.text import log_time
 from acoustic_spark.operators.positions import with_position
 from acoustic_spark.operators.scoring import name_classes, prediction_lists
+from acoustic_spark.workspace import local_table
 
 # A small setting that gives every sensor of the test tables several frames and patches.
 SMALL = FeatureConfig(
@@ -71,8 +74,8 @@ def classes(spark: SparkSession, sf: str) -> DataFrame:
     names = read(spark, sf, "events").select("event_type").distinct().limit(MAX_CLASSES + 1).collect()
     if len(names) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes")
-    ordered = sorted(r[0] for r in names)
-    return spark.createDataFrame(list(enumerate(ordered)), "class_id INT, display_name STRING")
+    schema = T.StructType([T.StructField("class_id", T.IntegerType()), T.StructField("display_name", T.StringType())])
+    return local_table(spark, list(enumerate(sorted(r[0] for r in names))), schema)
 
 
 CLASSES = """classes AS (
@@ -91,7 +94,7 @@ def scores(spark: SparkSession, sf: str, dictionary: DataFrame | None = None) ->
         F.col("user_id").alias("sensor_id"), F.to_date("ts").alias("day"), F.col("event_type").alias("display_name")
     ).agg(F.max("value").alias("value"), F.max("event_id").alias("seq"), F.max("ts").alias("ts"))
     known = classes(spark, sf) if dictionary is None else dictionary
-    return best.join(known, "display_name").select(
+    return best.join(F.broadcast(known), "display_name").select(
         "sensor_id", "day", "class_id", score(F.col("value")).alias("score"), "seq", "ts"
     )
 
@@ -110,7 +113,7 @@ def detections(spark: SparkSession, sf: str) -> DataFrame:
     lists = prediction_lists(
         named, ["sensor_id", "day"], RULES, F.max("seq").alias("ingest_seq"), F.max("ts").alias("ts")
     )
-    path = F.concat(F.lit("archive/"), F.col("sensor_id"), F.lit("/"), F.date_format("ts", "yyyy-MM-dd_HH:mm:ss"), F.lit(".wav"))
+    path = F.concat(F.lit("archive/"), F.col("sensor_id"), F.lit("/"), log_time(F.col("ts")), F.lit(".wav"))
     return lists.withColumn("path", F.when(F.size("predictions") > 0, path))
 
 

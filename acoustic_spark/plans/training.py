@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
 from acoustic_spark.operators.quality import confusion_counts
+from acoustic_spark.schemas import METRICS
+from acoustic_spark.workspace import local_table
 
 
 def _features(examples: DataFrame, target: Column) -> DataFrame:
@@ -48,7 +50,7 @@ def apply_logistic_heads(examples: DataFrame, models: list[LogisticRegressionMod
 def metric_rows(spark: SparkSession, history: list[float], epoch: int = 0, first_step: int = 0) -> DataFrame:
     """Loss history as metric rows."""
     rows = [(epoch, first_step + s, float(v)) for s, v in enumerate(history)]
-    return spark.createDataFrame(rows, "epoch INT, step BIGINT, loss DOUBLE")
+    return local_table(spark, rows, METRICS)
 
 
 def last_epoch(spark: SparkSession, folder: str) -> int | None:

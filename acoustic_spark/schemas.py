@@ -66,3 +66,11 @@ PROJECTION = T.StructType(
 PROJECTION_MEAN = T.StructType(
     [T.StructField("i", T.IntegerType()), T.StructField("m", T.DoubleType())]
 )
+
+METRICS = T.StructType(
+    [
+        T.StructField("epoch", T.IntegerType()),
+        T.StructField("step", T.LongType()),
+        T.StructField("loss", T.DoubleType()),
+    ]
+)

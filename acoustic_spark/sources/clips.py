@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from acoustic_spark.functions.waveform import decode_pcm16, encode_pcm16
@@ -114,13 +117,28 @@ def from_messages(messages: DataFrame, n_frames: int | None = None, sample_rate:
 # --- archive ----------------------------------------------------------------------
 
 
-def archive(clips: DataFrame, path: str, mode: str = "append") -> None:
-    """Write clips under one folder per sensor.
+@contextmanager
+def by_sensor(clips: DataFrame) -> Iterator[DataFrame]:
+    """Clips placed for a write with one folder per sensor.
 
-    `rebalance` lets the adaptive planner split a hot sensor over several writers
-    and put small sensors together, which a plain repartition by sensor cannot.
+    `rebalance` brings each sensor together and lets the adaptive planner split a
+    hot one over several writers, which a plain repartition by sensor cannot. The
+    folders, not the bytes, cost the time here, so while the write runs small
+    partitions are not merged: that would leave all folders to one task.
     """
-    clips.hint("rebalance", "sensor_id").write.mode(mode).partitionBy("sensor_id").parquet(path)
+    conf, key = clips.sparkSession.conf, "spark.sql.adaptive.coalescePartitions.enabled"
+    before = conf.get(key)
+    conf.set(key, "false")
+    try:
+        yield clips.hint("rebalance", "sensor_id")
+    finally:
+        conf.set(key, before)
+
+
+def archive(clips: DataFrame, path: str, mode: str = "append") -> None:
+    """Write clips under one folder per sensor."""
+    with by_sensor(clips) as placed:
+        placed.write.mode(mode).partitionBy("sensor_id").parquet(path)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

@@ -6,44 +6,43 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from acoustic_spark.functions.text import log_time, parse_predictions, print_predictions, strip_line_end
 
-_FIELDS = ("sensor_id", "dt", "flag", "list", "path")
 _ROW = "sensor_id STRING, dt STRING, flag STRING, list STRING, path STRING, extra STRING"
 
 
-def _split(line: Column, sep: str) -> Column:
+def _fields(line: Column, sep: str) -> Column:
     """Fields of one line; `extra` is set when the line has more than five."""
     return F.from_csv(line, _ROW, {"sep": sep, "escape": '"', "mode": "PERMISSIVE"})
 
 
 def _complete(row: Column) -> Column:
-    known = row["extra"].isNull() & row["flag"].isin("0", "1")
-    return known & row["sensor_id"].isNotNull() & row["dt"].isNotNull() & row["list"].isNotNull()
+    named = row["sensor_id"].isNotNull() & row["dt"].isNotNull() & row["list"].isNotNull()
+    return row["extra"].isNull() & row["flag"].isin("0", "1") & named
+
+
+def _typed(row: Column) -> Column:
+    return F.struct(
+        row["sensor_id"].alias("sensor_id"),
+        F.replace(row["dt"], F.lit("_"), F.lit(" ")).try_cast("timestamp_ntz").alias("ts"),
+        row["flag"].cast("int").alias("flag"),
+        parse_predictions(row["list"]).alias("predictions"),
+        F.when(F.length(row["path"]) > 0, row["path"]).alias("path"),
+    )
 
 
 def parse_log(lines: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
     """Detections of log lines in either dialect, and the lines that are neither.
 
-    An empty path becomes NULL; blank lines and banners go to the rejects.
+    An empty path becomes NULL; blank lines and banners go to the rejects. The
+    line is parsed inside array functions, so that no filter on the result makes
+    the planner parse it again.
     """
     rest = [c for c in lines.columns if c != line]
     text = strip_line_end(F.col(line))
-    rows = lines.select(*rest, text.alias("_line")).select(
-        *rest, "_line", _split(F.col("_line"), "|").alias("_pipe"), _split(F.col("_line"), ",").alias("_comma")
-    )
-    chosen = rows.withColumn(
-        "_row", F.when(_complete(F.col("_pipe")), F.col("_pipe")).when(_complete(F.col("_comma")), F.col("_comma"))
-    )
-    parsed = chosen.select(*rest, "_line", *[F.col(f"_row.{f}").alias(f) for f in _FIELDS]).select(
-        *rest,
-        "_line",
-        "sensor_id",
-        F.replace(F.col("dt"), F.lit("_"), F.lit(" ")).try_cast("timestamp_ntz").alias("ts"),
-        F.col("flag").cast("int").alias("flag"),
-        parse_predictions(F.col("list")).alias("predictions"),
-        F.when(F.length("path") > 0, F.col("path")).alias("path"),
-    )
-    good = F.coalesce(F.col("ts").isNotNull() & F.col("predictions").isNotNull(), F.lit(False))
-    return parsed.filter(good).drop("_line"), parsed.filter(~good).select(*rest, F.col("_line").alias("_corrupt"))
+    dialects = F.filter(F.array(_fields(text, "|"), _fields(text, ",")), _complete)
+    parsed = F.filter(F.transform(dialects, _typed), lambda r: r["ts"].isNotNull() & r["predictions"].isNotNull())
+    found = F.slice(parsed, 1, 1)
+    rejects = lines.filter(F.size(found) == 0).select(*rest, text.alias("_corrupt"))
+    return lines.select(*rest, F.inline(found)), rejects
 
 
 def read_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

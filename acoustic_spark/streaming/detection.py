@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from acoustic_spark.functions.text import predictions_json
 from acoustic_spark.operators.toplists import first_record
+from acoustic_spark.sources.clips import by_sensor
 
 TRIGGER = "2 seconds"
 
@@ -41,7 +42,8 @@ def detection_batch(
     def run(batch: DataFrame, batch_id: int) -> None:
         rows = first_record(batch, *order) if first_only else batch
         if archive_path is not None:
-            write_batch(rows.hint("rebalance", "sensor_id"), archive_path, batch_id, "sensor_id")
+            with by_sensor(rows) as placed:
+                write_batch(placed, archive_path, batch_id, "sensor_id")
         write_batch(classify(rows), log_path, batch_id)
         if counts_path is not None:
             received = batch.agg(F.count(F.lit(1)).alias("received"))

@@ -8,7 +8,10 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -26,8 +29,15 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/acoustic-{uuid.uuid4().hex}/{name}"
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """Driver rows as a local relation. Unlike a table from a Python list, its size is known to the planner."""
+    columns = zip(*rows) if rows else [()] * len(schema)
+    arrays = [pa.array(list(c), to_arrow_type(f.dataType)) for c, f in zip(columns, schema)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema.names), schema)
+
+
 def pin_small(table: DataFrame, max_rows: int) -> DataFrame:
-    """A dimension table as a local relation, so that Spark broadcasts it by its known size.
+    """A dimension table as a broadcast local relation when it has at most `max_rows` rows.
 
     At most `max_rows + 1` rows reach the driver. A larger table comes back as it
     is, and joins to it stay shuffle joins.
@@ -35,7 +45,7 @@ def pin_small(table: DataFrame, max_rows: int) -> DataFrame:
     rows = table.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return table
-    return table.sparkSession.createDataFrame(rows, table.schema)
+    return F.broadcast(local_table(table.sparkSession, [tuple(r) for r in rows], table.schema))
 
 
 def ship_package(spark: SparkSession) -> None:
