@@ -40,12 +40,14 @@ def two_decimals(score: Column) -> Column:
     """Text of a score in 0..1 with two decimals, rounded on its exact binary value.
 
     `format_string` rounds the printed digits instead (0.145 and 0.125 differ).
-    In units of 2^-56 the score and its hundredfold are whole numbers that fit a BIGINT.
+    In units of 2^-56 the hundredfold of the score fits a BIGINT.
     """
     unit = 56
     scaled = score * F.lit(float(1 << unit))
     below = F.floor(scaled).cast("bigint")
-    hundredfold = below * 100 + (scaled > below).cast("bigint")
+    rest = (scaled - below) * 100
+    # Anything below one unit counts as one, so that it still breaks a tie.
+    hundredfold = below * 100 + F.ceil(rest).cast("bigint")
     # Half to even: add just under a half, and one more when the cents are odd.
     odd = F.shiftright(hundredfold, unit).bitwiseAND(F.lit(1))
     cents = F.shiftright(hundredfold + F.lit((1 << (unit - 1)) - 1) + odd, unit)
