@@ -58,17 +58,16 @@ def frame_arrays(clips: DataFrame, samples: str, window: int, hop: int) -> DataF
 
 
 def patch_rows(features: DataFrame, keys: Sequence[str], patch_frames: int, bands: int) -> DataFrame:
-    """Group feature rows (key, frame, band, v) into patches; an incomplete last patch is left out.
+    """Group feature rows (key, example, frame, band, v) into patches; an incomplete last patch is left out.
 
     The patch is a row-major array of `patch_frames * bands` values.
     """
     cell = (F.col("frame") % patch_frames) * bands + F.col("band")
     return (
-        features.groupBy(*keys, F.floor(F.col("frame") / patch_frames).alias("example"))
+        features.groupBy(*keys, "example")
         .agg(F.array_sort(F.collect_list(F.struct(cell.alias("cell"), F.col("v")))).alias("_cells"))
         .filter(F.size("_cells") == patch_frames * bands)
-        .withColumn("patch", F.col("_cells.v"))
-        .drop("_cells")
+        .select(*keys, "example", F.col("_cells.v").alias("patch"))
     )
 
 

@@ -12,28 +12,52 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from acoustic_spark.workspace import pin_small
+
 SLICE_ROWS = 1 << 20
+BLOCK_SLICES = 1 << 20
+MAX_PINNED_SLICES = 100_000
 
 
-def _slice(seq: str, slice_rows: int) -> Column:
-    return F.floor(F.col(seq) / F.lit(slice_rows)).cast("long")
+def _slice(number: str, size: int) -> Column:
+    """Whole-number division, exact for every BIGINT."""
+    return F.call_function("div", F.col(number), F.lit(size)).cast("long")
 
 
-def slice_starts(df: DataFrame, keys: Sequence[str], seq: str, slice_rows: int) -> DataFrame:
-    """Per (key, slice): position of its first row, and the row count of the whole key."""
-    by_key = Window.partitionBy(*keys)
-    before = by_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    return (
+def slice_starts(df: DataFrame, keys: Sequence[str], seq: str, slice_rows: int, dense: bool) -> DataFrame:
+    """Per (key, slice): position of its first row, and the row count of the whole key.
+
+    With sparse numbers a key may have about as many slices as rows. Its slices are
+    then summed in blocks first, so that no window sees more than a block of them.
+    """
+    sizes = (
         df.select(*keys, _slice(seq, slice_rows).alias("_slice"))
         .groupBy(*keys, "_slice")
         .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+
+    def before(size: str, order: str, *groups: str) -> Column:
+        rows = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(size).over(rows), F.lit(0))
+
+    if dense:
+        total = F.sum("_rows").over(Window.partitionBy(*keys))
+        return sizes.select(*keys, "_slice", before("_rows", "_slice", *keys).alias("_start"), total.alias("_total"))
+    blocked = sizes.withColumn("_block", _slice("_slice", BLOCK_SLICES))
+    blocks = (
+        blocked.groupBy(*keys, "_block")
+        .agg(F.sum("_rows").alias("_block_rows"))
         .select(
             *keys,
-            "_slice",
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
-            F.sum("_rows").over(by_key).alias("_total"),
+            "_block",
+            before("_block_rows", "_block", *keys).alias("_block_start"),
+            F.sum("_block_rows").over(Window.partitionBy(*keys)).alias("_total"),
         )
     )
+    inside = blocked.withColumn("_inside", before("_rows", "_slice", *keys, "_block"))
+    return inside.join(blocks, [*keys, "_block"]).select(
+        *keys, "_slice", (F.col("_block_start") + F.col("_inside")).alias("_start"), "_total"
+    )
 
 
 def with_position(
@@ -43,12 +67,14 @@ def with_position(
     position: str = "i",
     total: str = "n",
     slice_rows: int = SLICE_ROWS,
+    dense: bool = True,
 ) -> DataFrame:
     """Add the 0-based position by `seq` within `keys`, and the row count of the key.
 
-    `seq` must be a unique integer and `keys` must not be null.
+    `seq` must be a unique BIGINT and `keys` must not be null. An ingest counter is
+    dense; for numbers with wide gaps, such as hashes, set `dense` to False.
     """
-    starts = slice_starts(df, keys, seq, slice_rows)
+    starts = slice_starts(df, keys, seq, slice_rows, dense)
     local = Window.partitionBy(*keys, "_slice").orderBy(seq)
     # The window comes first: its sort order also serves the join with the starts.
     return (
@@ -69,13 +95,15 @@ def first_n(
     position: str = "i",
     total: str = "n",
     slice_rows: int = SLICE_ROWS,
+    dense: bool = True,
 ) -> DataFrame:
     """The first `n` rows of each key by `seq`, exact for any `n`.
 
-    Only slices that start before position `n` are numbered; all others leave in
-    the join, before any sort.
+    Only slices that start before position `n` are numbered. Their list is short
+    unless there are very many keys, so it is broadcast when its size allows, and
+    all other rows leave before any shuffle.
     """
-    starts = slice_starts(df, keys, seq, slice_rows).filter(F.col("_start") < n)
+    starts = pin_small(slice_starts(df, keys, seq, slice_rows, dense).filter(F.col("_start") < n), MAX_PINNED_SLICES)
     local = Window.partitionBy(*keys, "_slice").orderBy(seq)
     return (
         df.withColumn("_slice", _slice(seq, slice_rows))

@@ -25,6 +25,7 @@ from acoustic_spark.workspace import pin_small
 ModelLoader = Callable[[], Callable[[np.ndarray], np.ndarray]]
 
 MAX_DICTIONARY_ROWS = 10_000
+MAX_WEIGHT_ROWS = 1 << 18
 
 _loaded: dict[str, Callable[[np.ndarray], np.ndarray]] = {}
 
@@ -114,12 +115,14 @@ def whiten_clips(embeddings: Column, projection: Projection) -> Column:
 
 
 def whiten_rows(embeddings: DataFrame, key: str, pca: DataFrame, pca_mean: DataFrame) -> DataFrame:
-    """Join form of the projection: (key, o, y). Both tables have at most d*d rows.
+    """Join form of the projection: (key, o, y).
 
-    Rows are placed by key once; the grouping on (key, o) then needs no further shuffle.
+    Rows are placed by key once; the grouping on (key, o) then needs no further
+    shuffle. The weights have one row per matrix cell and are broadcast up to
+    `MAX_WEIGHT_ROWS` of them; a join on `i` would have only as many keys as dimensions.
     """
     rows = embeddings.repartition(key).select(key, F.posexplode("embedding").alias("i", "x"))
-    weights = pca.join(pca_mean, "i")
+    weights = pin_small(pca.join(pca_mean, "i"), MAX_WEIGHT_ROWS)
     return (
         rows.join(weights, "i")
         .groupBy(key, "o")

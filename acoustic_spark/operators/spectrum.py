@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from acoustic_spark.config import MEL_BREAK_HZ, MEL_Q, FeatureConfig
 from acoustic_spark.functions.arrow_lists import ARROW_TYPES, list_rows, nested
 from acoustic_spark.functions.spectral import hertz_to_mel, periodic_hann
-from acoustic_spark.operators.frames import frame_rows
+from acoustic_spark.operators.frames import frame_rows, patch_rows
 
 # The join form multiplies every frame by window * bins; beyond this the Arrow form is used.
 MAX_BASIS_ROWS = 1 << 14
@@ -97,14 +97,7 @@ def series_log_mel(series: DataFrame, keys: Sequence[str], cfg: FeatureConfig) -
 
 def series_patches(series: DataFrame, keys: Sequence[str], cfg: FeatureConfig) -> DataFrame:
     """Join form of the whole feature step: (key, example, patch)."""
-    features = series_log_mel(series, keys, cfg)
-    cell = (F.col("frame") % cfg.patch_frames) * cfg.bands + F.col("band")
-    return (
-        features.groupBy(*keys, "example")
-        .agg(F.array_sort(F.collect_list(F.struct(cell.alias("cell"), F.col("v")))).alias("_cells"))
-        .filter(F.size("_cells") == cfg.patch_frames * cfg.bands)
-        .select(*keys, "example", F.col("_cells.v").alias("patch"))
-    )
+    return patch_rows(series_log_mel(series, keys, cfg), keys, cfg.patch_frames, cfg.bands)
 
 
 # --- Arrow form -----------------------------------------------------------------

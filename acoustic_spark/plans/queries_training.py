@@ -94,7 +94,10 @@ FROM pairs JOIN examples ON sensor_id IN (p, q)""",
 )
 def mixed_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Batches of paired sensors: even ids stand for positives, odd ids for negatives."""
-    examples = arrow_patches(spark, sf)
+    folder = shared_folder(spark, "patches")
+    # Features are computed once and stored: the pairing reads them several times.
+    arrow_patches(spark, sf).write.parquet(folder)
+    examples = spark.read.parquet(folder)
     positives = examples.filter(F.col("sensor_id") % 2 == 0)
     negatives = examples.filter(F.col("sensor_id") % 2 == 1)
     mixed = pairing.mixed_batches(positives, negatives, "sensor_id", seed=7)

@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from acoustic_spark.operators import positions
 from acoustic_spark.operators.pairing import balanced, mixed_batches, pair_by_position
 from acoustic_spark.operators.positions import first_n, with_position
 from acoustic_spark.operators.toplists import latest_per_key, recent_events, top_n_per_key
@@ -26,14 +27,24 @@ def by_key(rows):
     return {k: sorted(v) for k, v in groups.items()}
 
 
+@pytest.mark.parametrize("dense", [True, False])
 @pytest.mark.parametrize("slice_rows", [1, 64, 1 << 20])
-def test_with_position(spark, hot, slice_rows):
+def test_with_position(spark, hot, slice_rows, dense, monkeypatch):
+    monkeypatch.setattr(positions, "BLOCK_SLICES", 10)
     df = spark.createDataFrame(hot, "k STRING, seq BIGINT, v INT")
-    got = {(r.k, r.seq): (r.i, r.n) for r in with_position(df, ["k"], "seq", slice_rows=slice_rows).collect()}
+    got = {(r.k, r.seq): (r.i, r.n) for r in with_position(df, ["k"], "seq", slice_rows=slice_rows, dense=dense).collect()}
     want = {(k, s): (i, len(g)) for k, g in by_key(hot).items() for i, (s, _) in enumerate(g)}
     assert got == want
 
 
+def test_positions_of_wide_numbers(spark):
+    """Neighbouring numbers near the end of the BIGINT range stay apart."""
+    seqs = [(1 << 62) + d for d in (0, 1, 2, 5)] + [-(1 << 62), -1, 0, 7]
+    df = spark.createDataFrame([("a", s) for s in seqs], "k STRING, seq BIGINT")
+    got = {r.seq: r.i for r in with_position(df, ["k"], "seq", slice_rows=2, dense=False).collect()}
+    assert got == {s: i for i, s in enumerate(sorted(seqs))}
+
+
 @pytest.mark.parametrize("n", [1, 10, 10_000])
 def test_first_n(spark, hot, n):
     df = spark.createDataFrame(hot, "k STRING, seq BIGINT, v INT")
