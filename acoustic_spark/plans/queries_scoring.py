@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from acoustic_spark.config import DetectConfig, FeatureConfig
 from acoustic_spark.operators import scoring
@@ -122,9 +122,14 @@ def whitened_embeddings_join(spark: SparkSession, sf: str) -> DataFrame:
 SPREAD = 20.0
 
 
+def quantised_column(spark: SparkSession, sf: str) -> Column:
+    y = scoring.whiten(F.col("embedding"), projection(spark, sf))
+    return scoring.quantize_array(F.transform(y, lambda v: v * SPREAD))
+
+
 def quantised(spark: SparkSession, sf: str) -> DataFrame:
-    y = F.transform(scoring.whiten(F.col("embedding"), projection(spark, sf)), lambda v: v * SPREAD)
-    return read(spark, sf, "embeddings").select("vec_id", F.posexplode(scoring.quantize_array(y)).alias("o", "q"))
+    rows = read(spark, sf, "embeddings")
+    return rows.select("vec_id", F.posexplode(quantised_column(spark, sf)).alias("o", "q"))
 
 
 QUANTISED = f"""{PROJECTION}, quantised AS (

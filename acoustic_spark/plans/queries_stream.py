@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from acoustic_spark.functions.text import format_predictions, view_time
 from acoustic_spark.operators.capture import capture_rows
-from acoustic_spark.operators.toplists import latest_per_key
+from acoustic_spark.operators.toplists import latest_per_key, top_n_per_key
 from acoustic_spark.plans.detect import detect
 from acoustic_spark.plans.queries_features import big
 from acoustic_spark.plans.queries_scoring import DETECT, DETECT_CLIP, DETECTED, classifier, detected
@@ -16,12 +16,13 @@ from acoustic_spark.plans.tables import DETECTIONS, SERIES, SMALL, clip_rows, cl
 from acoustic_spark.sources.clips import from_messages, publish, to_messages
 from acoustic_spark.sources.stream import subscribe
 from acoustic_spark.streaming import detection, state
+from acoustic_spark.streaming.tables import capture_action, recent_action
 from acoustic_spark.workspace import shared_folder
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = read(spark, sf, "events").schema
-    return subscribe(spark, "parquet", schema, path=sf, pathGlobFilter="events.parquet")
+    # As a pattern the path may be one file or a folder of files.
+    return subscribe(spark, "parquet", read(spark, sf, "events").schema, path=f"{sf}/events.parque[t]")
 
 
 def collect_stream(stream: DataFrame, folder: str, order: str = "Append") -> DataFrame:
@@ -162,43 +163,79 @@ def capture_buffers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("capture_stream", BUFFERS)
-def capture_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The same buffers from live state."""
-    state.use_rocksdb(spark)
-    chunks = event_stream(spark, sf).select(
+def chunk_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return event_stream(spark, sf).select(
         F.col("user_id").alias("sensor_id"), F.col("event_id").alias("seq"), F.array("value").alias("samples")
     )
-    out = collect_stream(
-        state.capture_stream(chunks, MIN_CHUNKS, MAX_CHUNKS, key_type="BIGINT"), shared_folder(spark, "capture")
-    )
+
+
+def buffer_rows(buffers: DataFrame, *columns: str) -> DataFrame:
     total = F.aggregate("samples", F.lit(0.0), lambda t, x: t + x)
-    return out.select(
-        "sensor_id", "buffer", "first_seq", "last_seq", *[F.size("samples").cast("bigint").alias("n_samples")], F.round(total, 6).alias("total")
+    return buffers.select(
+        "sensor_id",
+        *columns,
+        "first_seq",
+        "last_seq",
+        F.size("samples").cast("bigint").alias("n_samples"),
+        F.round(total, 6).alias("total"),
     )
 
 
-@query(
-    "recent_stream",
-    """SELECT user_id AS sensor_id, event_id AS seq, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, event_type AS text,
+@query("capture_stream", BUFFERS)
+def capture_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same buffers from live state."""
+    state.use_rocksdb(spark)
+    filled = state.capture_stream(chunk_stream(spark, sf), MIN_CHUNKS, MAX_CHUNKS, key_type="BIGINT")
+    return buffer_rows(collect_stream(filled, shared_folder(spark, "capture")), "buffer")
+
+
+@query("capture_table", f"SELECT * EXCLUDE (buffer) FROM ({BUFFERS})")
+def capture_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same buffers from a table kept between micro-batches, with hot sensors spread."""
+    folder = shared_folder(spark, "capture-table")
+    action = capture_action(folder, MIN_CHUNKS)
+    detection.run_for(detection.micro_batches(chunk_stream(spark, sf), action, f"{folder}/checkpoint", available_now=True))
+    return buffer_rows(spark.read.parquet(f"{folder}/buffers"))
+
+
+RECENT = """SELECT user_id AS sensor_id, event_id AS seq, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, event_type AS text,
        CAST(least(10, n) - age + 1 AS BIGINT) AS rank
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS age,
-             count(*) OVER (PARTITION BY user_id) AS n FROM events) WHERE age <= 10""",
-)
-def recent_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The newest list of each sensor after the whole stream; equal to the batch view."""
-    state.use_rocksdb(spark)
-    events = event_stream(spark, sf).select(
+             count(*) OVER (PARTITION BY user_id) AS n FROM events) WHERE age <= 10"""
+
+
+def text_events(spark: SparkSession, sf: str) -> DataFrame:
+    return event_stream(spark, sf).select(
         F.col("user_id").alias("sensor_id"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("event_id").alias("seq"),
         F.col("event_type").alias("text"),
     )
-    out = collect_stream(state.recent_stream(events, key_type="BIGINT"), shared_folder(spark, "recent"), "Update")
+
+
+@query("recent_stream", RECENT)
+def recent_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest list of each sensor after the whole stream; equal to the batch view."""
+    state.use_rocksdb(spark)
+    out = collect_stream(state.recent_stream(text_events(spark, sf), key_type="BIGINT"), shared_folder(spark, "recent"), "Update")
     newest = latest_per_key(out, ["sensor_id", "rank"], "batch_id")
     return newest.select("sensor_id", "seq", view_time(F.col("ts")).alias("at"), "text", *big("rank"))
 
 
+@query("recent_table", RECENT.replace("CAST(least(10, n) - age + 1 AS BIGINT) AS rank", "CAST(age AS BIGINT) AS age"))
+def recent_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lists from a table kept between micro-batches, numbered from the newest."""
+    folder = shared_folder(spark, "recent-table")
+    writer = detection.micro_batches(
+        text_events(spark, sf), recent_action(f"{folder}/recent"), f"{folder}/checkpoint", available_now=True
+    )
+    detection.run_for(writer)
+    states = spark.read.parquet(f"{folder}/recent")
+    newest = states.filter(F.col("batch_id") == states.agg(F.max("batch_id")).first()[0])
+    ranked = top_n_per_key(newest, ["sensor_id"], [F.desc("ts"), F.desc("seq")], 10, "age")
+    return ranked.select("sensor_id", "seq", view_time(F.col("ts")).alias("at"), "text", *big("age"))
+
+
 @query(
     "notification_stream",
     f"WITH {DETECTIONS} SELECT sensor_id, ingest_seq, json AS notification, formatted FROM detections",

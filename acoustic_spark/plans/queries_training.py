@@ -8,7 +8,7 @@ from acoustic_spark.operators import pairing, scoring
 from acoustic_spark.operators.pairing import label_vector
 from acoustic_spark.plans import training
 from acoustic_spark.plans.queries_features import PATCHES, arrow_patches, big
-from acoustic_spark.plans.queries_scoring import PROJECTION, label_head
+from acoustic_spark.plans.queries_scoring import PROJECTION, QUANTISED, label_head, quantised_column
 from acoustic_spark.plans.registry import query
 from acoustic_spark.plans.tables import read
 from acoustic_spark.sources.dimensions import append_metrics
@@ -137,6 +137,22 @@ def head_resume(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/metrics")
 
 
+@query(
+    "evaluation_embeddings",
+    f"""WITH {QUANTISED}
+SELECT q.vec_id, CAST(quality AS BIGINT) AS label, CAST(o AS BIGINT) AS o, q
+FROM quantised q JOIN labels ON q.vec_id = doc_id""",
+)
+def evaluation_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    """Projected and quantised embeddings of both evaluation sets."""
+    examples = labelled_embeddings(spark, sf)
+    positives, negatives = examples.filter(F.col("quality") == 1), examples.filter(F.col("quality") == 0)
+    rows = training.labelled_embeddings(positives, negatives, quantised_column(spark, sf))
+    return rows.select("vec_id", *big("label"), F.posexplode("embedding").alias("o", "q")).select(
+        "vec_id", "label", *big("o", "q")
+    )
+
+
 @query(
     "evaluation_counts",
     f"""WITH {PROJECTION}, scored AS (

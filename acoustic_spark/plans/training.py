@@ -89,6 +89,12 @@ def fit_head(
     return model
 
 
+def labelled_embeddings(positives: DataFrame, negatives: DataFrame, embedding: Column) -> DataFrame:
+    """Embeddings of both evaluation sets with their label; `embedding` turns a row into its final embedding."""
+    rows = positives.withColumn("label", F.lit(1)).unionByName(negatives.withColumn("label", F.lit(0)))
+    return rows.withColumn("embedding", embedding)
+
+
 def evaluate(positives: DataFrame, negatives: DataFrame, score: Column, cut: float = 0.5) -> DataFrame:
     """Confusion counts of both sets; `score` is the positive-class score."""
     rows = positives.withColumn("label", F.lit(1)).unionByName(negatives.withColumn("label", F.lit(0)))

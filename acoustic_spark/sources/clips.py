@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from acoustic_spark.functions.waveform import decode_pcm16, encode_pcm16
 
@@ -95,6 +96,11 @@ def publish(messages: DataFrame, fmt: str = "kafka", **options: str) -> None:
     messages.write.format(fmt).options(**options).mode("append").save()
 
 
+def publish_stream(messages: DataFrame, checkpoint: str, fmt: str = "kafka", **options: str) -> DataStreamWriter:
+    """Writer that sends a stream of messages to a sink."""
+    return messages.writeStream.format(fmt).options(**options).option("checkpointLocation", checkpoint)
+
+
 def from_messages(messages: DataFrame, n_frames: int | None = None, sample_rate: int = 22_050) -> DataFrame:
     """Sensor id and samples of each message.
 

@@ -24,7 +24,8 @@ class CaptureBuffer(StatefulProcessor):
     """Keep the newest samples of a sensor and hand the whole buffer over when it is long enough.
 
     Chunks are taken in arrival order, as a keyed topic delivers them; a sequence
-    number that goes back is an error, because its place in the buffer is lost.
+    number that goes back is an error, because its place in the buffer is lost
+    (for sources without an order see `tables.capture_action`).
     `ready` says when the consumer asks: after every chunk, or once at the start of
     each micro-batch. A sensor never holds more than `max_samples` plus one chunk.
     """

@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from acoustic_spark.sources.clips import from_messages, publish_stream, to_messages
 from acoustic_spark.sources.stream import subscribe
 from acoustic_spark.streaming import detection, state
+from acoustic_spark.streaming.tables import capture_action, recent_action
 
 
 @pytest.fixture(autouse=True)
@@ -64,6 +66,17 @@ def test_capture_rejects_bad_settings_and_order(spark, tmp_path):
         run_stream(spark, tmp_path, state.capture_stream(stream, 10, 14))
 
 
+def test_capture_table(spark, tmp_path):
+    """Buffers over several batches, out of order inside one, with a replay in between."""
+    batches = [[chunk("a", i) for i in (6, 0, 3, 1, 2, 5, 4)] + [chunk("b", 0)], [chunk("a", i) for i in (8, 7)], [chunk("b", i) for i in (1, 2, 3)]]
+    action = capture_action(str(tmp_path / "out"), 3, slice_rows=2)
+    for batch_id, rows in ((0, 0), (1, 1), (1, 1), (2, 2)):
+        action(spark.createDataFrame(batches[rows], CHUNKS), batch_id)
+    got = sorted((r.sensor_id, r.first_seq, r.last_seq, tuple(r.samples)) for r in spark.read.parquet(str(tmp_path / "out/buffers")).collect())
+    want = [("a", s, s + 2) for s in (0, 3, 6)] + [("b", 0, 2)]
+    assert got == [(n, a, z, tuple(float(s) for s in range(a, z + 1) for _ in range(2))) for n, a, z in want]
+
+
 def test_recent_ring(spark, tmp_path):
     schema = "sensor_id STRING, ts TIMESTAMP, seq BIGINT, text STRING"
     rows = spark.range(25).select(
@@ -77,6 +90,15 @@ def test_recent_ring(spark, tmp_path):
     assert [(r[2], r[4]) for r in sorted(got, key=lambda r: r[2]) if r[0] == last] == [(k, 14 + k) for k in range(1, 11)]
 
 
+def test_recent_table(spark, tmp_path):
+    action = recent_action(str(tmp_path / "recent"), 3)
+    for batch_id, seqs in ((0, (4, 1, 9)), (1, ()), (1, ()), (2, (2, 7))):
+        rows = [("a", float(s), s, f"e{s}") for s in seqs]
+        action(spark.createDataFrame(rows, "sensor_id STRING, ts DOUBLE, seq BIGINT, text STRING"), batch_id)
+    last = spark.read.parquet(str(tmp_path / "recent/batch_id=2"))
+    assert sorted(r.seq for r in last.collect()) == [4, 7, 9]
+
+
 MESSAGES = "sensor_id STRING, offset BIGINT, samples ARRAY<SMALLINT>"
 
 
@@ -116,6 +138,17 @@ def test_notifications_and_time_limit(spark, tmp_path):
     assert sorted(sent) == [("s1", '[["Speech", 0.5]]'), ("s2", "[]")]
 
 
+def test_published_stream(spark, tmp_path):
+    """Clips published from one stream and read back by another."""
+    write_files(spark, str(tmp_path / "in"), [[("s1", 1, [1, 2])], [("s2", 2, [-3])]], MESSAGES)
+    stream = subscribe(spark, "parquet", MESSAGES, path=str(tmp_path / "in"), maxFilesPerTrigger="1")
+    messages = to_messages(stream.withColumn("n_samples", F.size("samples")), None, "offset")
+    writer = publish_stream(messages, str(tmp_path / "cp"), "parquet", path=str(tmp_path / "topic"))
+    detection.run_for(writer.trigger(availableNow=True))
+    back = from_messages(spark.read.parquet(str(tmp_path / "topic"))).select("sensor_id", "offset", "samples")
+    assert sorted(map(tuple, back.collect())) == [("s1", 1, [1, 2]), ("s2", 2, [-3])]
+
+
 def test_repeated_delivery(spark, tmp_path):
     schema = "sensor_id STRING, ts TIMESTAMP, seq BIGINT"
     rows = spark.range(6).select(F.lit("a").alias("sensor_id"), F.timestamp_seconds(F.floor(F.col("id") / 2) + 1_000).alias("ts"), F.col("id").alias("seq"))
