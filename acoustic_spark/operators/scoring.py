@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from acoustic_spark.config import DetectConfig
 from acoustic_spark.functions.arrow_lists import ARROW_TYPES, flat_lists, list_rows, matrix_lists, matrix_rows, regroup
+from acoustic_spark.functions.model_cache import loaded
 from acoustic_spark.functions.spectral import quantize
 from acoustic_spark.functions.text import alert_flag
 from acoustic_spark.operators.toplists import top_n_per_key
@@ -27,8 +28,6 @@ ModelLoader = Callable[[], Callable[[np.ndarray], np.ndarray]]
 MAX_DICTIONARY_ROWS = 10_000
 MAX_WEIGHT_ROWS = 1 << 18
 
-_loaded: dict[str, Callable[[np.ndarray], np.ndarray]] = {}
-
 
 @dataclass(frozen=True)
 class Projection:
@@ -79,12 +78,11 @@ def embed_clips(patches: Column, load_model: ModelLoader, width: int, value_type
 
     @F.arrow_udf(f"array<array<{value_type}>>")
     def embed(column: pa.Array) -> pa.Array:
-        if token not in _loaded:
-            _loaded[token] = load_model()
+        model = loaded(token, load_model)
         inputs, sizes = matrix_rows(column, width)
         if not len(inputs):
             return pa.array([[] for _ in sizes], pa.list_(pa.list_(ARROW_TYPES[value_type])))
-        return regroup(np.asarray(_loaded[token](inputs)), sizes, ARROW_TYPES[value_type])
+        return regroup(np.asarray(model(inputs)), sizes, ARROW_TYPES[value_type])
 
     return embed(patches)
 

@@ -84,22 +84,30 @@ def shuffled_examples(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "mixed_batches",
-    f"""WITH {PATCHES}, examples AS (SELECT DISTINCT sensor_id, example FROM patches),
-pos AS (SELECT sensor_id AS p, row_number() OVER (ORDER BY sensor_id) - 1 AS batch_id FROM examples WHERE sensor_id % 2 = 0 GROUP BY sensor_id),
-neg AS (SELECT sensor_id AS q, row_number() OVER (ORDER BY sensor_id) - 1 AS batch_id FROM examples WHERE sensor_id % 2 = 1 GROUP BY sensor_id),
+    f"""WITH {PATCHES}, kinds AS (
+  SELECT user_id AS sensor_id, arg_min(event_type, event_id) IN ('click', 'view') AS positive FROM events GROUP BY ALL),
+examples AS (SELECT DISTINCT sensor_id, example, positive FROM patches JOIN kinds USING (sensor_id)),
+pos AS (SELECT sensor_id AS p, row_number() OVER (ORDER BY sensor_id) - 1 AS batch_id FROM examples WHERE positive GROUP BY sensor_id),
+neg AS (SELECT sensor_id AS q, row_number() OVER (ORDER BY sensor_id) - 1 AS batch_id FROM examples WHERE NOT positive GROUP BY sensor_id),
 pairs AS (SELECT * FROM pos JOIN neg USING (batch_id))
 SELECT CAST(batch_id AS BIGINT) AS batch_id, sensor_id, CAST(example AS BIGINT) AS example,
        CAST(CASE WHEN sensor_id = p THEN 1 ELSE 0 END AS BIGINT) AS pos
 FROM pairs JOIN examples ON sensor_id IN (p, q)""",
 )
 def mixed_batches(spark: SparkSession, sf: str) -> DataFrame:
-    """Batches of paired sensors: even ids stand for positives, odd ids for negatives."""
+    """Batches of paired sensors; the kind of a sensor's first event makes it a positive or a negative."""
+    first_type = F.min_by("event_type", "event_id")
+    kinds = (
+        read(spark, sf, "events")
+        .groupBy(F.col("user_id").alias("sensor_id"))
+        .agg(first_type.isin("click", "view").cast("int").alias("positive"))
+    )
     folder = shared_folder(spark, "patches")
     # Features are computed once and stored: the pairing reads them several times.
-    arrow_patches(spark, sf).write.parquet(folder)
+    arrow_patches(spark, sf).join(kinds, "sensor_id").write.partitionBy("positive").parquet(folder)
     examples = spark.read.parquet(folder)
-    positives = examples.filter(F.col("sensor_id") % 2 == 0)
-    negatives = examples.filter(F.col("sensor_id") % 2 == 1)
+    positives = examples.filter(F.col("positive") == 1).drop("positive")
+    negatives = examples.filter(F.col("positive") == 0).drop("positive")
     mixed = pairing.mixed_batches(positives, negatives, "sensor_id", seed=7)
     return mixed.select(*big("batch_id"), "sensor_id", *big("example"), F.col("labels")[0].cast("bigint").alias("pos"))
 

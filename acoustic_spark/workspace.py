@@ -48,6 +48,9 @@ def pin_small(table: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(local_table(table.sparkSession, [tuple(r) for r in rows], table.schema))
 
 
+_shipped: set[str] = set()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per Spark context.
 
@@ -55,9 +58,9 @@ def ship_package(spark: SparkSession) -> None:
     stream does not read those, so it gets the folder on its path.
     """
     root = Path(__file__).resolve().parent
-    name = f"{root.name}.zip"
-    if any(str(f).endswith(name) for f in spark.sparkContext._python_includes):
+    if spark.sparkContext.applicationId in _shipped:
         return
+    _shipped.add(spark.sparkContext.applicationId)
     folder = tempfile.mkdtemp(prefix="acoustic-package-")
     package = shutil.make_archive(f"{folder}/{root.name}", "zip", root.parent, root.name)
     spark.sparkContext.addPyFile(package)

@@ -161,6 +161,21 @@ def test_two_layer_head(spark):
     assert np.allclose(got, 1 / (1 + np.exp(-z)))
 
 
+def test_model_is_loaded_once_per_worker(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def load():
+        import tempfile
+
+        tempfile.mkstemp(dir=folder)
+        return lambda x: x * 2.0
+
+    rows = spark.range(64).repartition(32).select(F.array(F.array(F.col("id").cast("double"))).alias("p"))
+    doubled = rows.select(scoring.embed_clips(F.col("p"), load, 1)[0][0].alias("y"))
+    assert doubled.agg(F.sum("y")).first()[0] == 2.0 * sum(range(64))
+    assert 1 <= len(list(tmp_path.iterdir())) <= 8
+
+
 # --- whole clips -----------------------------------------------------------------------
 
 CFG = DetectConfig(
