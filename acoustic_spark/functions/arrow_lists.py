@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -14,14 +16,11 @@ def _lists(sizes, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
-def list_rows(column: pa.Array) -> list[np.ndarray]:
-    """The numpy view of every list of a column (null as empty)."""
-    values = np.asarray(column.values, dtype=np.float64)
-    offsets = np.asarray(column.offsets)
-    return [
-        values[a:b] if ok else values[:0]
-        for a, b, ok in zip(offsets[:-1], offsets[1:], np.asarray(column.is_valid()))
-    ]
+def list_rows(column: pa.Array) -> Iterator[np.ndarray]:
+    """Every list of a column as doubles, one at a time (null as empty)."""
+    values, offsets = np.asarray(column.values), np.asarray(column.offsets)
+    for start, end, valid in zip(offsets[:-1], offsets[1:], np.asarray(column.is_valid())):
+        yield values[start : end if valid else start].astype(np.float64)
 
 
 def matrix_rows(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from acoustic_spark.functions.text import format_predictions, view_time
+from acoustic_spark.functions.text import format_predictions, log_time, view_time
 from acoustic_spark.operators.capture import capture_rows
 from acoustic_spark.operators.toplists import latest_per_key, top_n_per_key
 from acoustic_spark.plans.detect import detect
@@ -14,6 +14,7 @@ from acoustic_spark.plans.queries_scoring import DETECT, DETECT_CLIP, DETECTED,
 from acoustic_spark.plans.registry import query
 from acoustic_spark.plans.tables import DETECTIONS, SERIES, SMALL, clip_rows, clips, detections, read, series
 from acoustic_spark.sources.clips import from_messages, publish, to_messages
+from acoustic_spark.sources.detection_log import detection_rows
 from acoustic_spark.sources.stream import subscribe
 from acoustic_spark.streaming import detection, state
 from acoustic_spark.streaming.tables import capture_action, recent_action
@@ -57,13 +58,14 @@ def stream_lifecycle(spark: SparkSession, sf: str) -> DataFrame:
     return counts.agg(F.sum("n").alias("input_rows")).withColumn("active", F.lit(int(run.isActive)).cast("bigint"))
 
 
-MESSAGE = "key BINARY, value BINARY, offset BIGINT"
+MESSAGE = "key BINARY, value BINARY, timestamp TIMESTAMP_NTZ, offset BIGINT"
 
 
 def clip_topic(spark: SparkSession, sf: str, files: int = 4) -> str:
     """Clips published as keyed messages to a folder of a few files; returns the folder."""
     folder = shared_folder(spark, "topic")
-    messages = to_messages(clips(spark, sf, DETECT_CLIP).withColumnRenamed("seq", "offset"), None, "offset")
+    sent = clips(spark, sf, DETECT_CLIP).withColumnsRenamed({"seq": "offset", "ts": "timestamp"})
+    messages = to_messages(sent, None, "timestamp", "offset")
     publish(messages.repartition(files, "offset"), "parquet", path=folder)
     return folder
 
@@ -77,8 +79,9 @@ def clip_stream(spark: SparkSession, sf: str) -> DataFrame:
 def detection_run(spark: SparkSession, sf: str, archive: bool = False, first_only: bool = False) -> str:
     """Classify and log the whole topic, archive it when asked; returns the output folder."""
     folder = shared_folder(spark, "stream-detection")
+    classify = detect(classifier(spark, sf), DETECT, kernel="linear")
     action = detection.detection_batch(
-        detect(classifier(spark, sf), DETECT, kernel="linear"),
+        lambda rows: detection_rows(classify(rows), "archive"),
         f"{folder}/log",
         f"{folder}/archive" if archive else None,
         first_only=first_only,
@@ -92,7 +95,27 @@ def detection_run(spark: SparkSession, sf: str, archive: bool = False, first_onl
 def stream_detection(spark: SparkSession, sf: str) -> DataFrame:
     """The detection log written by the stream; equal to the batch result."""
     log = spark.read.parquet(f"{detection_run(spark, sf)}/log")
-    return detected(log.withColumn("sensor_id", F.col("sensor_id").cast("bigint")).withColumnRenamed("offset", "seq"))
+    return detected(log.withColumn("sensor_id", F.col("sensor_id").cast("bigint")).withColumnRenamed("ingest_seq", "seq"))
+
+
+@query(
+    "stream_log",
+    f"""SELECT CAST(sensor_id AS VARCHAR) AS sensor_id, seq AS ingest_seq, strftime(ts, '%Y-%m-%d_%H:%M:%S') AS at,
+       max(flag) AS flag, CAST(count(*) FILTER (WHERE rank > 0) AS BIGINT) AS n_predictions,
+       'archive/' || sensor_id || '/' || strftime(ts, '%Y-%m-%d_%H:%M:%S') || '.wav' AS path
+FROM ({DETECTED}) JOIN events ON event_id = seq GROUP BY sensor_id, seq, ts""",
+)
+def stream_log(spark: SparkSession, sf: str) -> DataFrame:
+    """One log row per clip with its time, flag and archive path."""
+    log = spark.read.parquet(f"{detection_run(spark, sf)}/log")
+    return log.select(
+        "sensor_id",
+        "ingest_seq",
+        log_time(F.col("ts")).alias("at"),
+        *big("flag"),
+        F.size("predictions").cast("bigint").alias("n_predictions"),
+        "path",
+    )
 
 
 @query(

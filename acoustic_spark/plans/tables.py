@@ -31,7 +31,9 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def series(spark: SparkSession, sf: str) -> DataFrame:
     """Samples of each sensor with their position and the sensor's sample count."""
-    events = read(spark, sf, "events").select(F.col("user_id").alias("sensor_id"), "event_id", F.col("value").alias("x"))
+    events = read(spark, sf, "events").select(
+        F.col("user_id").alias("sensor_id"), "event_id", "ts", F.col("value").alias("x")
+    )
     return with_position(events, ["sensor_id"], "event_id")
 
 
@@ -48,11 +50,16 @@ def clips(spark: SparkSession, sf: str, length: int = CLIP_SAMPLES) -> DataFrame
     return (
         series(spark, sf)
         .groupBy("sensor_id", F.floor(F.col("i") / length).alias("clip_no"))
-        .agg(F.array_sort(F.collect_list(F.struct("i", sample.alias("s")))).alias("_rows"), F.min("event_id").alias("seq"))
+        .agg(
+            F.array_sort(F.collect_list(F.struct("i", sample.alias("s")))).alias("_rows"),
+            F.min("event_id").alias("seq"),
+            F.min("ts").alias("ts"),
+        )
         .select(
             "sensor_id",
             "clip_no",
             "seq",
+            "ts",
             F.lit(SMALL.sample_rate).alias("sample_rate"),
             F.lit(1).alias("n_channels"),
             F.size("_rows").alias("n_samples"),

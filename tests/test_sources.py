@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from acoustic_spark.functions.text import parse_predictions, print_predictions
 from acoustic_spark.functions.waveform import decode_pcm16, encode_pcm16
+from acoustic_spark.schemas import DETECTIONS
 from acoustic_spark.sources import clips as C
 from acoustic_spark.sources import detection_log as L
 from acoustic_spark.sources import dimensions as D
@@ -129,6 +130,15 @@ def test_prediction_text_is_a_python_list(spark):
     assert back == dict(enumerate(values))
 
 
+def test_detection_rows(spark):
+    rows = [("s1", "2020-01-02 03:04:05.678", 9, 1, [("Gunshot", 0.5)])]
+    schema = "sensor_id STRING, timestamp STRING, offset BIGINT, flag INT, predictions ARRAY<STRUCT<label STRING, score DOUBLE>>"
+    table = spark.createDataFrame(rows, schema).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    found = L.detection_rows(table, "/clips/")
+    assert [f.dataType for f in found.schema] == [f.dataType for f in DETECTIONS]
+    assert found.first().path == "/clips/s1/2020-01-02_03:04:05.wav" and found.first().ingest_seq == 9
+
+
 def test_side_tables(spark, tmp_path):
     (tmp_path / "classes.csv").write_text('index,mid,display_name\n0,/m/a,"Gunshot, gunfire"\n1,/m/b,Speech\n2,/m/c,Children\'s\n')
     names = {r.class_id: r.display_name for r in D.read_classes(spark, str(tmp_path / "classes.csv")).collect()}
