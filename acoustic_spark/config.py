@@ -75,6 +75,11 @@ MEL_BREAK_HZ = 700.0
 # Fixed length of a published clip: 10 s at 22,050 Hz.
 CLIP_FRAMES = 220_500
 
+# Fixed values of the live capture: sample rate and the seconds a buffer holds.
+CAPTURE_RATE = 16_000
+CAPTURE_MIN_SECONDS = 5
+CAPTURE_MAX_SECONDS = 7
+
 # int16 full scale.
 FULL_SCALE = 32_768.0
 

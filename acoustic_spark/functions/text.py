@@ -72,6 +72,11 @@ def headline_colour(flag: Column) -> Column:
     return F.when(flag == 1, F.lit("r")).otherwise(F.lit("b"))
 
 
+def sound_class_title(printed: Column) -> Column:
+    """Title above the waveform, from the printed prediction list."""
+    return F.concat(F.lit("Sound class:"), printed)
+
+
 def strip_line_end(value: Column) -> Column:
     return F.rtrim(value, F.lit("\r\n"))
 

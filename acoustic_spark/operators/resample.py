@@ -39,27 +39,35 @@ def resample_series(series: DataFrame, keys: Sequence[str], source_rate: int, ta
     )
 
 
-def _converter(target_rate: int, kernel: str, zero_crossings: int, beta: float) -> Callable[[np.ndarray, int], np.ndarray]:
+def _kernel(away: np.ndarray, kernel: str, half: int, cutoff: float, beta: float) -> np.ndarray:
+    """Weights of taps at the given distances from the output position."""
+    if kernel == "linear":
+        return np.clip(1.0 - np.abs(away), 0.0, None)
+    taper = np.i0(beta * np.sqrt(np.clip(1.0 - (away / half) ** 2, 0.0, None))) / np.i0(beta)
+    return cutoff * np.sinc(cutoff * away) * taper * (np.abs(away) <= half)
+
+
+def _converter(
+    target_rate: int, kernel: str, zero_crossings: int, beta: float
+) -> Callable[[np.ndarray, int], np.ndarray]:
     if kernel not in ("sinc", "linear"):
         raise ValueError(f"unknown kernel {kernel!r}")
 
     def convert(x: np.ndarray, source_rate: int) -> np.ndarray:
         if source_rate == target_rate:
             return x
-        cutoff = min(1.0, target_rate / source_rate)
+        common = gcd(source_rate, target_rate)
+        up, down = target_rate // common, source_rate // common
+        cutoff = min(1.0, up / down)
         half = int(np.ceil(zero_crossings / cutoff)) if kernel == "sinc" else 1
-        at = np.arange(len(x) * target_rate // source_rate) * (source_rate / target_rate)
-        left = np.floor(at).astype(np.int64)
-        padded = np.pad(x, half)
-        out = np.zeros(len(at))
-        for step in range(1 - half, half + 1):
-            away = at - (left + step)
-            if kernel == "linear":
-                weight = np.clip(1.0 - np.abs(away), 0.0, None)
-            else:
-                taper = np.i0(beta * np.sqrt(np.clip(1.0 - (away / half) ** 2, 0.0, None))) / np.i0(beta)
-                weight = cutoff * np.sinc(cutoff * away) * taper * (np.abs(away) <= half)
-            out += padded[left + step + half] * weight
+        out = np.empty(len(x) * up // down)
+        windows = np.lib.stride_tricks.sliding_window_view(np.pad(x, half), 2 * half)
+        taps = np.arange(1 - half, half + 1)
+        # Every up-th output lies at the same place between two samples, so it has the same weights.
+        for phase in range(min(up, len(out))):
+            whole, part = divmod(phase * down, up)
+            same = out[phase::up]
+            same[:] = windows[whole + 1 :: down][: len(same)] @ _kernel(part / up - taps, kernel, half, cutoff, beta)
         return out
 
     return convert

@@ -31,6 +31,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame
     )
 
 
+def latest_overall(df: DataFrame, *order: str) -> DataFrame:
+    """The last row of the table by `order`."""
+    return df.orderBy(*[F.desc(c) for c in order]).limit(1)
+
+
 def recent_events(df: DataFrame, keys: Sequence[str], ts: str, seq: str, n: int = 10) -> DataFrame:
     """The `n` most recent events per key, numbered 1..n from oldest to newest."""
     newest = top_n_per_key(df, keys, [F.desc(ts), F.desc(seq)], n, "_age")

@@ -12,7 +12,9 @@ from acoustic_spark.functions.text import (
     headline_colour,
     log_time,
     predictions_json,
+    print_predictions,
     record_name,
+    sound_class_title,
     strip_line_end,
     view_time,
 )
@@ -58,6 +60,22 @@ def latest_detection(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "latest_overall",
+    f"""WITH {DETECTIONS}
+SELECT sensor_id, ingest_seq, CAST(flag AS BIGINT) AS flag, formatted AS predictions
+FROM detections ORDER BY ingest_seq DESC LIMIT 1""",
+)
+def latest_overall(spark: SparkSession, sf: str) -> DataFrame:
+    """The last appended detection of all sensors."""
+    return toplists.latest_overall(detections(spark, sf), "ingest_seq").select(
+        "sensor_id",
+        "ingest_seq",
+        F.col("flag").cast("bigint").alias("flag"),
+        format_predictions(F.col("predictions")).alias("predictions"),
+    )
+
+
 # --- sources and sinks ----------------------------------------------------------
 
 
@@ -307,7 +325,7 @@ def formatted_predictions(spark: SparkSession, sf: str) -> DataFrame:
 SELECT sensor_id, CAST(day AS VARCHAR) AS day,
        CASE WHEN flag = 1 THEN 'GUNSHOT DETECTED near ' ELSE 'No threats near ' END || sensor_id || ' at '
          || strftime(ts, '%Y-%m-%d_%H:%M:%S') AS headline,
-       CASE WHEN flag = 1 THEN 'r' ELSE 'b' END AS colour
+       CASE WHEN flag = 1 THEN 'r' ELSE 'b' END AS colour, 'Sound class:' || printed AS title
 FROM detections""",
 )
 def headlines(spark: SparkSession, sf: str) -> DataFrame:
@@ -317,6 +335,7 @@ def headlines(spark: SparkSession, sf: str) -> DataFrame:
         F.col("day").cast("string").alias("day"),
         headline(F.col("flag"), sensor, log_time(F.col("ts"))).alias("headline"),
         headline_colour(F.col("flag")).alias("colour"),
+        sound_class_title(print_predictions(F.col("predictions"))).alias("title"),
     )
 
 

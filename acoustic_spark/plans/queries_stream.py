@@ -26,20 +26,22 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     return subscribe(spark, "parquet", read(spark, sf, "events").schema, path=f"{sf}/events.parque[t]")
 
 
-def collect_stream(stream: DataFrame, folder: str, order: str = "Append") -> DataFrame:
+def collect_stream(stream: DataFrame, folder: str, mode: str = "Append") -> DataFrame:
     """Run a stream to the end of its input and give everything it wrote, with the batch id."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         detection.write_batch(batch, f"{folder}/out", batch_id)
 
-    writer = detection.micro_batches(stream, write, f"{folder}/checkpoint", available_now=True).outputMode(order)
+    writer = detection.micro_batches(stream, write, f"{folder}/checkpoint", available_now=True).outputMode(mode)
     detection.run_for(writer)
     return stream.sparkSession.read.schema(T.StructType([*stream.schema, T.StructField("batch_id", T.LongType())])).parquet(f"{folder}/out")
 
 
 @query("stream_subscribe", "SELECT event_id, CAST(user_id AS VARCHAR) AS sensor_id, props AS value FROM events")
 def stream_subscribe(spark: SparkSession, sf: str) -> DataFrame:
-    stream = event_stream(spark, sf).select("event_id", F.col("user_id").cast("string").alias("sensor_id"), F.col("props").alias("value"))
+    stream = event_stream(spark, sf).select(
+        "event_id", F.col("user_id").cast("string").alias("sensor_id"), F.col("props").alias("value")
+    )
     return collect_stream(stream, shared_folder(spark, "subscribe")).drop("batch_id")
 
 
@@ -87,7 +89,8 @@ def detection_run(spark: SparkSession, sf: str, archive: bool = False, first_onl
         first_only=first_only,
         counts_path=f"{folder}/counts",
     )
-    detection.run_for(detection.micro_batches(clip_stream(spark, sf), action, f"{folder}/checkpoint", available_now=True))
+    checkpoint = f"{folder}/checkpoint"
+    detection.run_for(detection.micro_batches(clip_stream(spark, sf), action, checkpoint, available_now=True))
     return folder
 
 
@@ -217,7 +220,8 @@ def capture_table(spark: SparkSession, sf: str) -> DataFrame:
     """The same buffers from a table kept between micro-batches, with hot sensors spread."""
     folder = shared_folder(spark, "capture-table")
     action = capture_action(folder, MIN_CHUNKS)
-    detection.run_for(detection.micro_batches(chunk_stream(spark, sf), action, f"{folder}/checkpoint", available_now=True))
+    checkpoint = f"{folder}/checkpoint"
+    detection.run_for(detection.micro_batches(chunk_stream(spark, sf), action, checkpoint, available_now=True))
     return buffer_rows(spark.read.parquet(f"{folder}/buffers"))
 
 

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from acoustic_spark.config import CAPTURE_MAX_SECONDS, CAPTURE_MIN_SECONDS, CAPTURE_RATE
+
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -85,7 +87,11 @@ class CaptureBuffer(StatefulProcessor):
 
 
 def capture_stream(
-    chunks: DataFrame, min_samples: int, max_samples: int, ready: str = "always", key_type: str = "STRING"
+    chunks: DataFrame,
+    min_samples: int = CAPTURE_MIN_SECONDS * CAPTURE_RATE,
+    max_samples: int = CAPTURE_MAX_SECONDS * CAPTURE_RATE,
+    ready: str = "always",
+    key_type: str = "STRING",
 ) -> DataFrame:
     """Filled buffers of a chunk stream (sensor_id, seq, samples)."""
     return chunks.select("sensor_id", "seq", "samples").groupBy("sensor_id").transformWithStateInPandas(
