@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as engine
+from acoustic_spark.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -36,7 +37,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(engine.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     result = engine.queries()[name](spark, SF)
     plan = plan_of(result)
