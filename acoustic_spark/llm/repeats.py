@@ -20,6 +20,7 @@ a large group is never held.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -200,8 +201,8 @@ def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Open rows of a document with its text: their children for the second digit."""
     for batch in batches:
         rows = []
-        for doc, places, text in zip(batch["doc"], batch["places"], batch["text"]):
-            data = text.encode()
+        for doc, places, text in zip(batch["doc"], batch["places"], batch["packed"]):
+            data = zlib.decompress(text)
             for place in places.tolist():
                 _, position, low, high = unpacked(place)
                 rows += children(doc, place, data[position - high : position - low + LENGTH], CELLS[0])
@@ -283,12 +284,17 @@ def _sorted_pass(rows: DataFrame, cell: int | None) -> DataFrame:
     return dealt.mapInPandas(_next_digit(cell, rows.columns), schema)
 
 
+def _pack(texts: pd.Series) -> pd.Series:
+    """Compressed UTF-8: what a shuffle of whole texts moves."""
+    return pd.Series([zlib.compress(t.encode(), 1) for t in texts], dtype=object)
+
+
 def repeated_places(texts: DataFrame) -> DataFrame:
     """(doc, place) of all runs and parts of runs whose windows start earlier too; `texts` has doc, mark and text."""
     first = _sorted_pass(texts.mapInPandas(_first_digit, ROW), None)
     first = written(first, "first-digit")
     open_ = first.where(F.col("kind") == OPEN).select("doc", "place", F.shiftright("place", 45).alias("mark")).groupBy("doc", "mark").agg(F.collect_list("place").alias("places"))
-    rows = open_.join(texts, ["doc", "mark"]).mapInPandas(_contexts, f"{ROW}, context binary")
+    rows = open_.join(texts.select("doc", "mark", F.pandas_udf(_pack, "binary")("text").alias("packed")), ["doc", "mark"]).mapInPandas(_contexts, f"{ROW}, context binary")
     for cell in (*CELLS[1:], None):
         rows = _sorted_pass(rows, cell)
     decided = first.where(F.col("kind") == DECIDED).select("doc", "place")
@@ -320,7 +326,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     rows = rows.withColumn("mark", mark_of(F.col("text")))
     places = repeated_places(rows.select("doc", "mark", "text"))
     spans = places.select("doc", "place", F.shiftright("place", 45).alias("mark")).groupBy("doc", "mark").agg(F.collect_list("place").alias("places"))
-    return rows.join(spans, ["doc", "mark"], "left").select("doc_id", "text", "places").mapInPandas(_kept, KEPT)
+    whole = rows.select("doc_id", "doc", "mark", F.pandas_udf(_pack, "binary")("text").alias("packed"))
+    return whole.join(spans, ["doc", "mark"], "left").select("doc_id", "packed", "places").mapInPandas(_kept, KEPT)
 
 
 KEPT = "doc_id long, n_bytes long, n_removed long, starts array<long>, ends array<long>, kept binary, kept_sha256 string"
@@ -329,8 +336,8 @@ KEPT = "doc_id long, n_bytes long, n_removed long, starts array<long>, ends arra
 def _kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for text, places in zip(batch["text"], batch["places"]):
-            data = text.encode()
+        for text, places in zip(batch["packed"], batch["places"]):
+            data = zlib.decompress(text)
             start, end = spans_of(np.asarray(places if places is not None else [], np.int64))
             left = b"".join(data[a:b] for a, b in zip([0, *end.tolist()], [*start.tolist(), len(data)]))
             rows.append((len(data), len(data) - len(left), start, end, left, hashlib.sha256(left).hexdigest()))
