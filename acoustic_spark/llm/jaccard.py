@@ -1,13 +1,14 @@
 """N-gram Jaccard join with token-combination prefixes.
 
 Tokens are word shingles. They have a global order, rare ones first, by the corpus count of
-a shingle's rarest word. A set's prefix is the smallest head of the order that must share a
+a shingle's rarest word; counts of words are kept in a table of fixed size. A set's prefix is the smallest head of the order that must share a
 signature with every set similar enough: a rare token is a signature by itself; frequent
 tokens are dealt into small groups and their combinations of two or three within a group
 are signatures, for which the prefix is longer. Sets with a common signature are verified.
 
 Equal sets are joined as one. Of the sets with a signature, all are compared with the first
-one; what is still in different components after that is compared pair by pair.
+one: each set with the smallest such first one at once, then with others from which it is
+still separate. What is in different components after that is compared pair by pair.
 """
 
 from __future__ import annotations
@@ -27,18 +28,21 @@ from acoustic_spark.llm.common import join_counted, text_or_empty, written
 from acoustic_spark.llm.components import components
 
 WORDS_IN_SHINGLE, PERCENT = 4, 85
-#: The most frequent words whose counts go to all tasks; the others count as rare.
-MAX_WORDS = 1 << 17
-#: Words of up to this count are rare; above, a word's level grows by one with each doubling.
-RARE = 32
-#: From this level on signatures are combinations of three, below of two.
-TRIPLES = 9
+#: Buckets of the table of word counts, one byte each; words that share one count as one.
+BUCKETS, RANGE = 1 << 24, 1 << 12
+#: A word's level grows by one with each doubling of its count. From these levels on signatures
+#: are combinations of two and of three; a word of up to 63 occurrences is rare.
+PAIRS, TRIPLES = 6, 14
 #: Tokens of a group on average, for combinations of two and of three.
 GROUP = {2: 4, 3: 5}
 #: Sets of fewer shingles have single tokens as signatures whatever their level.
 SMALL = 8
 HELD = 1 << 19
 LEVEL_BITS = 5
+#: A set's tokens as a bitmap of so many 64-bit words. Each bit that one set has alone is a token that the other lacks.
+BITMAP_WORDS = 16
+#: Sets of one signature that are compared with each other in one step.
+BLOCK = 4096
 
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
@@ -59,13 +63,14 @@ def words_of(text: str) -> list[bytes]:
 class WordHashes(dict):
     """Word to its 64-bit hash with its level in the lowest bits; forgets everything when it has grown large."""
 
-    def __init__(self, levels: dict[bytes, int]):
+    def __init__(self, levels: bytes):
         super().__init__()
         self.levels = levels
 
     def __missing__(self, word: bytes) -> int:
-        mask = (1 << LEVEL_BITS) - 1
-        self[word] = h = xxhash.xxh3_64_intdigest(word) & ~mask | self.levels.get(word, 0)
+        h = xxhash.xxh3_64_intdigest(word)
+        level = self.levels[h % BUCKETS] if self.levels else 0
+        self[word] = h = h >> LEVEL_BITS << LEVEL_BITS | level
         return h
 
 
@@ -112,7 +117,7 @@ def signatures(tokens: np.ndarray, levels: np.ndarray, percent: int = PERCENT) -
     need = errors(size, percent) + 1
     order = np.lexsort((tokens, levels))
     tokens, levels = tokens[order], levels[order]
-    rare = int(np.count_nonzero(levels == 0))
+    rare = int(np.searchsorted(levels, PAIRS))
     if rare >= need:
         return tokens[:need]
     out = [tokens[:rare]]
@@ -139,6 +144,28 @@ def signatures(tokens: np.ndarray, levels: np.ndarray, percent: int = PERCENT) -
     return np.unique(np.concatenate(out))
 
 
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    bits = np.zeros(64 * BITMAP_WORDS, np.uint8)
+    bits[tokens % np.uint64(len(bits))] = 1
+    return np.packbits(bits).view(np.uint64)
+
+
+def bitmaps(column: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint64).reshape(-1, BITMAP_WORDS)
+
+
+def may_be_similar(x: np.ndarray, n_x: np.ndarray, y: np.ndarray, n_y: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Whether bitmaps (last axis) and sizes of sets leave room for the wanted similarity; true for all similar sets."""
+    both = -(-percent * (n_x + n_y) // (100 + percent))  # tokens that similar sets have in common at least
+    lack_x = lack_y = 0
+    for i in range(BITMAP_WORDS):
+        a, b = x[..., i], y[..., i]
+        common = a & b
+        lack_x = lack_x + np.bitwise_count(a ^ common).astype(np.int32)
+        lack_y = lack_y + np.bitwise_count(b ^ common).astype(np.int32)
+    return (lack_x <= n_x - both) & (lack_y <= n_y - both)
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
         return False
@@ -147,24 +174,40 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Occurrences by bucket of the word's hash, passed on whenever HELD different words have come together."""
+
+    def frame(held: Counter) -> pd.DataFrame:
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, held), np.uint64, len(held))
+        bucket, at = np.unique(hashes % np.uint64(BUCKETS), return_inverse=True)
+        return pd.DataFrame({"bucket": bucket.astype(np.int32), "n": np.bincount(at, list(held.values()), len(bucket)).astype(np.int64)})
+
     held: Counter = Counter()
     for batch in batches:
         for text in batch["text"]:
             held.update(words_of(text))
             if len(held) >= HELD:
-                yield pd.DataFrame({"word": list(held.keys()), "n": list(held.values())})
+                yield frame(held)
                 held = Counter()
-    yield pd.DataFrame({"word": list(held.keys()), "n": list(held.values())})
+    yield frame(held)
+
+
+def _level_range(rows: pd.DataFrame) -> pd.DataFrame:
+    out = np.zeros(RANGE, np.uint8)
+    out[rows["bucket"] % RANGE] = np.minimum(np.log2(rows["n"]).astype(int), (1 << LEVEL_BITS) - 1)
+    return pd.DataFrame({"range": [int(rows["bucket"].iloc[0]) // RANGE], "levels": [out.tobytes()]})
 
 
-def word_levels(texts: DataFrame) -> dict[bytes, int]:
-    """Levels of the most frequent words, counted over all texts; at most MAX_WORDS reach the driver."""
-    counts = texts.select("text").mapInPandas(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.where(F.col("n") > RARE).orderBy(F.desc("n"), "word").limit(MAX_WORDS).collect()
-    return {bytes(r["word"]): min((r["n"] // RARE).bit_length(), (1 << LEVEL_BITS) - 1) for r in top}
+def word_levels(texts: DataFrame) -> bytes:
+    """Level of each bucket from the counts of all words of all texts; always BUCKETS bytes, joined on the driver from BUCKETS / RANGE rows."""
+    counts = texts.select("text").mapInPandas(_count_words, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    rows = counts.groupBy((F.col("bucket") / RANGE).cast("int")).applyInPandas(_level_range, "range int, levels binary").collect()
+    out = bytearray(BUCKETS)
+    for row in rows:
+        out[row["range"] * RANGE : (row["range"] + 1) * RANGE] = row["levels"]
+    return bytes(out)
 
 
-SETS = "number long, doc_id long, n_shingles long, digest binary, signatures array<long>, packed binary"
+SETS = "number long, doc_id long, n_shingles long, digest binary, signatures array<long>, bits binary, packed binary"
 
 
 def _prepared(levels) -> object:
@@ -178,8 +221,8 @@ def _prepared(levels) -> object:
                     hashes.clear()
                 tokens, level = shingles(words_of(text), hashes)
                 digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
-                rows.append((number, None if doc_id is pd.NA else doc_id, len(tokens), digest, signatures(tokens, level).view(np.int64), zlib.compress(text.encode(), 1)))
-            yield pd.DataFrame(rows, columns=["number", "doc_id", "n_shingles", "digest", "signatures", "packed"]).astype({"doc_id": "Int64"})
+                rows.append((number, None if doc_id is pd.NA else doc_id, len(tokens), digest, signatures(tokens, level).view(np.int64), bitmap(tokens).tobytes(), zlib.compress(text.encode(), 1)))
+            yield pd.DataFrame(rows, columns=["number", "doc_id", "n_shingles", "digest", "signatures", "bits", "packed"]).astype({"doc_id": "Int64"})
 
     return run
 
@@ -222,7 +265,7 @@ def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hashes = WordHashes({})
+    hashes = WordHashes(b"")
     cached: dict[int, np.ndarray] = {}
 
     def tokens(number: int, packed: bytes) -> np.ndarray:
@@ -239,13 +282,89 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.loc[keep, ["a", "b"]]
 
 
+def _near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        keep = may_be_similar(bitmaps(batch["bits_a"]), batch["n_a"].to_numpy(), bitmaps(batch["bits_b"]), batch["n_b"].to_numpy())
+        yield batch.loc[keep, ["a", "b"]]
+
+
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set numbers that are similar enough; `sets` has number, n_shingles and packed."""
-    left = sets.select(F.col("number").alias("a"), F.col("n_shingles").alias("n_a"), F.col("packed").alias("packed_a"))
-    right = sets.select(F.col("number").alias("b"), F.col("n_shingles").alias("n_b"), F.col("packed").alias("packed_b"))
-    sizes = pairs.join(left.drop("packed_a"), "a").join(right.drop("packed_b"), "b")
-    near = sizes.where(F.least("n_a", "n_b") * 100 >= PERCENT * F.greatest("n_a", "n_b")).select("a", "b")
-    return near.join(left.drop("n_a"), "a").join(right.drop("n_b"), "b").mapInPandas(_verified, "a long, b long")
+    """The pairs (a, b) of set numbers that are similar enough; `sets` has number, n_shingles, bits and packed.
+
+    Sizes and bitmaps are looked at first, texts only of pairs that these leave.
+    """
+    small_a = sets.select(F.col("number").alias("a"), F.col("n_shingles").alias("n_a"), F.col("bits").alias("bits_a"))
+    small_b = sets.select(F.col("number").alias("b"), F.col("n_shingles").alias("n_b"), F.col("bits").alias("bits_b"))
+    near = pairs.join(small_a, "a").join(small_b, "b").mapInPandas(_near, "a long, b long")
+    left = sets.select(F.col("number").alias("a"), F.col("packed").alias("packed_a"))
+    right = sets.select(F.col("number").alias("b"), F.col("packed").alias("packed_b"))
+    return near.join(left, "a").join(right, "b").mapInPandas(_verified, "a long, b long")
+
+
+class _Rows:
+    """Columns of a batch as arrays."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.keys = rows[["signature", "low", "high"]].to_numpy()
+        self.number, self.component, self.size = (rows[c].to_numpy() for c in ("number", "component", "n_shingles"))
+        self.block, self.bits, self.signatures = rows["block"].to_numpy(), bitmaps(rows["bits"]), rows["signatures"].to_numpy()
+
+    def pairs(self, begin: int, end: int) -> list[tuple[int, int]]:
+        """Pairs of one signature's block pair that sizes and bitmaps leave, in different components; each at its first common signature only."""
+        signature, low, high = self.keys[begin].tolist()
+        left = begin + np.flatnonzero(self.block[begin:end] == low)
+        right = left if low == high else begin + np.flatnonzero(self.block[begin:end] == high)
+        out = []
+        step = max(1, (1 << 20) // max(1, len(right)))
+        for first in range(0, len(left), step):
+            i, j = left[first : first + step, None], right[None, :]
+            apart = self.component[i] != self.component[j]
+            if low == high:
+                apart &= i < j
+            p, q = np.nonzero(apart)
+            if not len(p):
+                continue
+            p, q = i[p, 0], j[0, q]
+            near = may_be_similar(self.bits[p], self.size[p], self.bits[q], self.size[q])
+            for m, n in zip(p[near].tolist(), q[near].tolist()):
+                if np.intersect1d(self.signatures[m], self.signatures[n]).min() == signature:
+                    out.append((min(self.number[m], self.number[n]), max(self.number[m], self.number[n])))
+        return out
+
+
+def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs from rows sorted by (signature, low, high); one such block pair is held at a time."""
+
+    def frame(found: list[tuple[int, int]]) -> pd.DataFrame:
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+    rest = None
+    for batch in batches:
+        batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        if not len(batch):
+            continue
+        rows = _Rows(batch)
+        cuts = np.flatnonzero(np.append(True, (rows.keys[1:] != rows.keys[:-1]).any(axis=1))).tolist()
+        yield frame([x for begin, end in zip(cuts, cuts[1:]) for x in rows.pairs(begin, end)])
+        rest = batch.iloc[cuts[-1] :]
+    if rest is not None:
+        yield frame(_Rows(rest).pairs(0, len(rest)))
+
+
+def block_pairs(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets with a common signature and different components that may be similar, each once.
+
+    `open_` has signature, number and component. A large signature is cut into blocks by
+    number, and every two blocks meet in a group of their own.
+    """
+    own = open_.groupBy("number").agg(F.collect_list("signature").alias("signatures"))
+    rows = open_.join(own, "number").join(sets.select("number", "n_shingles", "bits"), "number")
+    blocks = open_.groupBy("signature").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(blocks, "signature").withColumn("block", F.pmod(F.hash("number"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("blocks", "other")
+    dealt = rows.repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high")
+    return dealt.mapInPandas(_blocks, "a long, b long")
 
 
 def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -273,22 +392,32 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     pairs = written(stars.where("b >= 0").select("a", "b").distinct(), "pairs")
     shared = stars.where("b < 0").select("signature", F.col("a").alias("number"))
     involved = pairs.select(F.col("a").alias("number")).union(pairs.select("b")).distinct()
-    sets = written(prepared.select("number", "n_shingles", "packed").join(involved, "number", "left_semi"), "involved")
-    links = written(verify(pairs, sets), "links")
+    sets = written(prepared.select("number", "n_shingles", "bits", "packed").join(involved, "number", "left_semi"), "involved")
+    nearest = written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "nearest")
+    links = written(verify(nearest, sets), "links")
     found = components(links)
 
-    # What shares a signature and is in different components yet; pairs with the first set are verified already.
+    def separate(candidates: DataFrame) -> DataFrame:
+        """Pairs of sets that are in different components so far."""
+        of_a = found.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
+        of_b = found.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
+        known = candidates.join(of_a, "a", "left").join(of_b, "b", "left")
+        return known.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+
+    def extend(candidates: DataFrame) -> None:
+        nonlocal links, found
+        more = written(verify(candidates, sets), "links")
+        if more.limit(1).count():
+            links = links.union(more)
+            found = components(links)
+
+    extend(separate(pairs.join(nearest, ["a", "b"], "left_anti")))
+
+    # Signatures whose sets are in different components yet.
     labelled = shared.join(found.withColumnRenamed("node", "number"), "number", "left").withColumn("component", F.coalesce("component", "number"))
-    labelled = labelled.join(sets.select("number", "n_shingles"), "number")
     mixed = labelled.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("signature")
-    open_ = written(labelled.join(mixed, "signature"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
-    across = x.join(y, (F.col("x.signature") == F.col("y.signature")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.number") < F.col("y.number")) & (F.least("x.n_shingles", "y.n_shingles") * 100 >= PERCENT * F.greatest("x.n_shingles", "y.n_shingles")))
-    across = across.select(F.col("x.number").alias("a"), F.col("y.number").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = written(verify(across, sets), "links")
-    if more.limit(1).count():
-        links = links.union(more)
-        found = components(links)
+    open_ = written(labelled.join(mixed, "signature").select("signature", "number", "component"), "open")
+    extend(written(block_pairs(open_, sets), "across"))
 
     degree = links.select(F.col("a").alias("number")).union(links.select("b")).groupBy("number").agg(F.count(F.lit(1)).alias("n_links"))
     each = classes.join(found.withColumnRenamed("node", "number"), "number", "left").withColumn("component", F.coalesce("component", "number"))
