@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame, functions as F
 from acoustic_spark.llm.common import text_or_empty
 
 #: Different pre-tokens remembered by a worker; then it starts anew.
-CACHE = 600_000
+CACHE = 200_000
 #: Characters of text that are encoded in one step, and of a text that is matched piece by piece.
-STEP, LONG_TEXT = 8 << 20, 1 << 20
+STEP, LONG_TEXT = 4 << 20, 1 << 20
 #: Unicode White_Space, in place of \s, which also has four control characters here.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Fixed value: the usual pattern, which `usual_pieces` cuts by character classes instead of matching it.
