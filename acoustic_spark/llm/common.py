@@ -65,7 +65,8 @@ def join_counted(df: DataFrame, counts: DataFrame, key: str, n: str, total: int)
     """
     limit = max(1.0, total * HOT_SHARE)
     hot, rest = counts.where(F.col(n) >= limit), counts.where(F.col(n) < limit)
-    return df.join(F.broadcast(hot), key).unionByName(df.join(rest, key))
+    cold = df.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return df.join(F.broadcast(hot), key).unionByName(cold.join(rest, key))
 
 
 def filter_bits(n_rows: int) -> int:
