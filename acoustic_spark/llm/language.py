@@ -23,7 +23,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 ORDERS = (5, 4, 3, 2, 1)
 #: The model keeps this many words and n-grams, the most frequent of the corpus: its size is
 #: at most (MAX_WORDS + MAX_GRAMS) * languages numbers, whatever the corpus.
-MAX_WORDS, MAX_GRAMS = 100_000, 100_000
+MAX_WORDS, MAX_GRAMS = 60_000, 60_000
 #: Different counts a task holds before it passes them on, and unknown words a worker remembers.
 HELD, REMEMBERED = 300_000, 300_000
 UNKNOWN = "und"
