@@ -29,7 +29,7 @@ from acoustic_spark.llm.components import components
 
 WORDS_IN_SHINGLE, PERCENT = 4, 85
 #: Buckets of the table of word counts, one byte each; words that share one count as one.
-BUCKETS, RANGE = 1 << 24, 1 << 12
+BUCKETS, RANGE = 1 << 24, 1 << 18
 #: A word's level grows by one with each doubling of its count. From these levels on signatures
 #: are combinations of two and of three; a word of up to 63 occurrences is rare.
 PAIRS, TRIPLES = 6, 14
@@ -307,11 +307,11 @@ class _Rows:
     def __init__(self, rows: pd.DataFrame):
         self.keys = rows[["signature", "low", "high"]].to_numpy()
         self.number, self.component, self.size = (rows[c].to_numpy() for c in ("number", "component", "n_shingles"))
-        self.block, self.bits, self.signatures = rows["block"].to_numpy(), bitmaps(rows["bits"]), rows["signatures"].to_numpy()
+        self.block, self.bits = rows["block"].to_numpy(), bitmaps(rows["bits"])
 
-    def pairs(self, begin: int, end: int) -> list[tuple[int, int]]:
-        """Pairs of one signature's block pair that sizes and bitmaps leave, in different components; each at its first common signature only."""
-        signature, low, high = self.keys[begin].tolist()
+    def pairs(self, begin: int, end: int) -> list[np.ndarray]:
+        """Pairs (smaller, larger number) of one signature's block pair that sizes and bitmaps leave, in different components."""
+        _, low, high = self.keys[begin].tolist()
         left = begin + np.flatnonzero(self.block[begin:end] == low)
         right = left if low == high else begin + np.flatnonzero(self.block[begin:end] == high)
         out = []
@@ -326,17 +326,16 @@ class _Rows:
                 continue
             p, q = i[p, 0], j[0, q]
             near = may_be_similar(self.bits[p], self.size[p], self.bits[q], self.size[q])
-            for m, n in zip(p[near].tolist(), q[near].tolist()):
-                if np.intersect1d(self.signatures[m], self.signatures[n]).min() == signature:
-                    out.append((min(self.number[m], self.number[n]), max(self.number[m], self.number[n])))
+            out.append(np.sort(np.stack([self.number[p[near]], self.number[q[near]]], axis=1), axis=1))
         return out
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs from rows sorted by (signature, low, high); one such block pair is held at a time."""
+    """Pairs from rows sorted by (signature, low, high), each once a batch; one such block pair is held at a time."""
 
-    def frame(found: list[tuple[int, int]]) -> pd.DataFrame:
-        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+    def frame(found: list[np.ndarray]) -> pd.DataFrame:
+        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+        return pd.DataFrame(pairs, columns=["a", "b"]).drop_duplicates()
 
     rest = None
     for batch in batches:
@@ -357,14 +356,13 @@ def block_pairs(open_: DataFrame, sets: DataFrame) -> DataFrame:
     `open_` has signature, number and component. A large signature is cut into blocks by
     number, and every two blocks meet in a group of their own.
     """
-    own = open_.groupBy("number").agg(F.collect_list("signature").alias("signatures"))
-    rows = open_.join(own, "number").join(sets.select("number", "n_shingles", "bits"), "number")
+    rows = open_.join(sets.select("number", "n_shingles", "bits"), "number")
     blocks = open_.groupBy("signature").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     rows = rows.join(blocks, "signature").withColumn("block", F.pmod(F.hash("number"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("blocks", "other")
     dealt = rows.repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high")
-    return dealt.mapInPandas(_blocks, "a long, b long")
+    return dealt.mapInPandas(_blocks, "a long, b long").distinct()
 
 
 def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
