@@ -212,7 +212,22 @@ def capture_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The same buffers from live state."""
     state.use_rocksdb(spark)
     filled = state.capture_stream(chunk_stream(spark, sf), MIN_CHUNKS, MAX_CHUNKS, key_type="BIGINT")
-    return buffer_rows(collect_stream(filled, shared_folder(spark, "capture")), "buffer")
+    return buffer_rows(collect_stream(filled, shared_folder(spark, "capture")).where("rejected IS NULL"), "buffer")
+
+
+@query(
+    "capture_detection",
+    f"""WITH {SERIES}, {clip_rows(DETECT_CLIP)} SELECT * FROM ({DETECTED}) AS d
+WHERE seq IN (SELECT min(event_id) FROM clip_rows GROUP BY sensor_id, clip_no HAVING count(*) = {DETECT_CLIP})""",
+)
+def capture_detection(spark: SparkSession, sf: str) -> DataFrame:
+    """Live buffers of int16 chunks classified as they fill; one event is one chunk of one sample."""
+    state.use_rocksdb(spark)
+    sample = F.round(F.col("value") * 10).cast("smallint")
+    chunks = event_stream(spark, sf).select(F.col("user_id").alias("sensor_id"), F.col("event_id").alias("seq"), F.array(sample).alias("samples"))
+    buffers = state.capture_stream(chunks, DETECT_CLIP, DETECT_CLIP, key_type="BIGINT")
+    found = state.captured_clips(buffers, SMALL.sample_rate).transform(detect(classifier(spark, sf), DETECT, kernel="linear"))
+    return detected(collect_stream(found, shared_folder(spark, "capture-detection")))
 
 
 @query("capture_table", f"SELECT * EXCLUDE (buffer) FROM ({BUFFERS})")

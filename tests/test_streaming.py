@@ -56,14 +56,32 @@ def test_capture_ready_once_per_batch(spark, tmp_path):
     assert got[0][5] == [5.0] + [float(s) for s in range(6, 12) for _ in range(2)]
 
 
-def test_capture_rejects_bad_settings_and_order(spark, tmp_path):
+def test_capture_rejects_bad_settings():
     for bad in ((8, 7, "always"), (1, 2, "sometimes")):
         with pytest.raises(ValueError):
             state.CaptureBuffer(*bad)
-    write_files(spark, str(tmp_path / "in"), [[chunk("a", 3), chunk("a", 2)]], CHUNKS)
-    stream = subscribe(spark, "parquet", CHUNKS, path=str(tmp_path / "in"))
-    with pytest.raises(Exception, match="came after"):
-        run_stream(spark, tmp_path, state.capture_stream(stream, 10, 14))
+
+
+def test_capture_orders_a_batch_and_rejects_late_chunks(spark, tmp_path):
+    """Chunks of a batch in any order; late, repeated and broken ones come back with a reason."""
+    batches = [[("a", i, [float(i)] * 2) for i in (6, 0, 3, 1, 2, 5, 4)], [("a", 3, [9.0]), ("a", 7, [7.0, 7.0]), ("a", 8, None), ("a", None, [1.0]), ("a", 9, [None])]]
+    write_files(spark, str(tmp_path / "in"), batches, CHUNKS)
+    stream = subscribe(spark, "parquet", CHUNKS, path=str(tmp_path / "in"), maxFilesPerTrigger="1")
+    got = [r[2:] for r in run_stream(spark, tmp_path, state.capture_stream(stream, 8, 10))]
+    filled = [r for r in got if r[-1] is None]
+    assert [(r[0], r[1], r[2], list(r[3])) for r in filled] == [(0, 0, 3, [0.0, 0.0, 1.0, 1.0, 2.0, 2.0, 3.0, 3.0]), (1, 4, 7, [4.0, 4.0, 5.0, 5.0, 6.0, 6.0, 7.0, 7.0])]
+    assert sorted((r[-1], r[1]) for r in got if r[-1] is not None) == [("late", 3), ("no samples", 8), ("no samples", 9), ("no sequence number", None)]
+
+
+@pytest.mark.parametrize("mixed", [True, False])
+def test_capture_of_several_files(spark, tmp_path, mixed):
+    """Six files, with rows mixed over them or with disjoint ranges, give the buffers of one."""
+    chunks = spark.range(600).select((F.col("id") % 4).cast("string").alias("sensor_id"), F.col("id").alias("seq"), F.array(F.col("id").cast("smallint")).alias("samples"))
+    spread = chunks.repartition(6, F.xxhash64("seq")) if mixed else chunks.repartitionByRange(6, "seq")
+    spread.write.parquet(str(tmp_path / "in"))
+    stream = subscribe(spark, "parquet", chunks.schema, path=str(tmp_path / "in"))
+    got = run_stream(spark, tmp_path, state.captured_clips(state.capture_stream(stream, 5, 7)))
+    assert sorted((r[1], r[2], r[5]) for r in got) == sorted((str(k), n, [k + 4 * (5 * n + j) for j in range(5)]) for k in range(4) for n in range(30))
 
 
 def test_capture_table(spark, tmp_path):
