@@ -33,17 +33,23 @@ def record_name(epoch_seconds: Column) -> Column:
 
 
 def epoch_seconds(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp")) / F.lit(1e6)
+    """Seconds since 1970 of the printed time, read as UTC: the session's time zone does not matter."""
+    printed = F.concat(ts.cast("timestamp_ntz").cast("string"), F.lit("Z"))
+    return F.unix_micros(printed.cast("timestamp")) / F.lit(1e6)
 
 
 def two_decimals(score: Column) -> Column:
-    """Text of a score in 0..1 with two decimals, rounded on its exact binary value.
+    """Text of a score with two decimals, rounded on its exact binary value, halves to even.
 
     `format_string` rounds the printed digits instead (0.145 and 0.125 differ).
-    In units of 2^-56 the hundredfold of the score fits a BIGINT.
+    The whole part is taken off first, which is exact; in units of 2^-56 the hundredfold of
+    the rest fits a BIGINT. Numbers from 2^53 on have no fraction.
     """
     unit = 56
-    scaled = score * F.lit(float(1 << unit))
+    size = F.abs(score)
+    fractional = size < F.lit(float(1 << 53))
+    whole = F.when(fractional, F.floor(size)).cast("bigint")
+    scaled = (size - whole) * F.lit(float(1 << unit))
     below = F.floor(scaled).cast("bigint")
     rest = (scaled - below) * 100
     # Anything below one unit counts as one, so that it still breaks a tie.
@@ -51,8 +57,10 @@ def two_decimals(score: Column) -> Column:
     # Half to even: add just under a half, and one more when the cents are odd.
     odd = F.shiftright(hundredfold, unit).bitwiseAND(F.lit(1))
     cents = F.shiftright(hundredfold + F.lit((1 << (unit - 1)) - 1) + odd, unit)
-    exact = (cents.cast("decimal(10,0)") / 100).cast("decimal(12,2)").cast("string")
-    return F.when((score >= 0) & (score <= 1), exact).otherwise(F.format_string("%.2f", score))
+    total = whole.cast("decimal(16,0)") + cents.cast("decimal(4,0)") / F.lit(100).cast("decimal(3,0)")
+    sign = F.when(score < 0, F.lit("-")).otherwise(F.lit(""))
+    exact = F.concat(sign, total.cast("decimal(18,2)").cast("string"))
+    return F.when(fractional, exact).otherwise(F.format_string("%.2f", score))
 
 
 def format_predictions(predictions: Column) -> Column:

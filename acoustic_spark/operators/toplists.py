@@ -6,17 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Spark keeps n rows per key in every map task (WindowGroupLimit) up to this rank;
-# see spark.sql.optimizer.windowGroupLimitThreshold.
-MAX_TOP_N = 1000
-
 
 def top_n_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank"
 ) -> DataFrame:
-    """The first `n` rows of each key in the given total order, with their 1-based rank."""
-    if not 0 < n <= MAX_TOP_N:
-        raise ValueError(f"n must be 1..{MAX_TOP_N}; use positions.first_n for longer lists")
+    """The first `n` rows of each key in the given total order, with their 1-based rank.
+
+    Every map task keeps n rows per key while n is at most
+    spark.sql.optimizer.windowGroupLimitThreshold; beyond it all rows of a key cross the shuffle.
+    """
+    if n < 1:
+        raise ValueError("n must be at least 1")
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
