@@ -22,12 +22,8 @@ class FeatureConfig:
     def __post_init__(self) -> None:
         if self.window < 1 or self.hop < 1 or self.patch_frames < 1 or self.bands < 1:
             raise ValueError("window, hop, patch_frames and bands must be positive")
-        if self.lower_hz < 0:
-            raise ValueError(f"lower edge {self.lower_hz} must be >= 0")
-        if self.lower_hz >= self.upper_hz:
-            raise ValueError(f"lower edge {self.lower_hz} >= upper edge {self.upper_hz}")
-        if self.upper_hz > self.sample_rate / 2:
-            raise ValueError(f"upper edge {self.upper_hz} is above Nyquist {self.sample_rate / 2}")
+        if not 0 <= self.lower_hz < self.upper_hz <= self.sample_rate / 2:
+            raise ValueError(f"bands of {self.lower_hz}..{self.upper_hz} Hz do not lie within 0..{self.sample_rate / 2} Hz")
 
     @property
     def fft(self) -> int:

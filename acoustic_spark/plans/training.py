@@ -84,7 +84,8 @@ def fit_head(
         model = trainer.fit(rows)
         history = list(model.summary().objectiveHistory)
         model.write().overwrite().save(f"{folder}/model-{epoch}")
-        log = metric_rows(spark, history, epoch, epoch * iterations)
+        # A history has the loss before the first iteration too.
+        log = metric_rows(spark, history, epoch, epoch * (iterations + 1))
         log.coalesce(1).write.mode("append").parquet(f"{folder}/epochs")
     return model
 
