@@ -17,15 +17,17 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from acoustic_spark.llm.common import text_or_empty
+from acoustic_spark.llm.common import fresh, text_or_empty
 
 #: Different pre-tokens remembered by a worker; then it starts anew.
-CACHE = 200_000
+CACHE = 150_000
 #: Characters of text that are encoded in one step, and of a text that is matched piece by piece.
-STEP, LONG_TEXT = 4 << 20, 1 << 20
+STEP, LONG_TEXT = 2 << 20, 1 << 20
 #: Unicode White_Space, in place of \s, which also has four control characters here.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Fixed value: the usual pattern, which `usual_pieces` cuts by character classes instead of matching it.
@@ -233,7 +235,7 @@ class Bpe:
         self.start = np.cumsum(self.length) - self.length
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each text."""
+        """Ids of each text; pre-tokens are gathered over STEP characters."""
         begin = 0
         while begin < len(texts):
             end, size = begin, 0
@@ -274,19 +276,35 @@ def _shared(data: bytes, pattern: str) -> Bpe:
     return _loaded[key]
 
 
+def steps(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts cut into parts of about STEP bytes, a longer text by itself."""
+    size = np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64)
+    part = (np.cumsum(size) - size) // STEP
+    cuts = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(texts)]
+    for begin, end in zip(cuts, cuts[1:]):
+        yield texts.slice(begin, end - begin)
+
+
 def coder(df: DataFrame, ranks_path: str, pattern: str) -> tuple[Callable, Callable]:
-    """Column functions (encode, decode): text to array<int>, array<int> to binary.
+    """Column functions (encode, decode): text to a struct of ids (array<int>) and decoded (binary, the bytes of these ids), array<int> to binary.
 
     The driver reads the vocabulary file (a few MB) and sends it to the workers. A null text
     counts as empty and gives no ids; null ids give null; ids that the vocabulary lacks are an error.
+    Both results of `encode` come from one function, so that a task has one Python worker; it passes
+    them on in steps of STEP characters.
     """
     data = df.sparkSession.sparkContext.broadcast((Path(ranks_path).read_bytes(), pattern))
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("ids array<int>, decoded binary")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = _shared(*data.value)
         for texts in batches:
-            yield pd.Series(list(bpe.encode(texts.tolist())), dtype=object)
+            for part in steps(texts):
+                ids = list(bpe.encode([t or "" for t in part.to_pylist()]))
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(ends, np.concatenate([np.empty(0, np.int32), *ids]))
+                decoded = pa.array([bpe.decode(i.tolist()) for i in ids], pa.binary())
+                yield pa.StructArray.from_arrays([lists, decoded], ["ids", "decoded"])
 
     @F.pandas_udf("binary")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -304,7 +322,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str =
     text gives no ids; texts of any length are encoded whole. Rows stay one to one, repeated
     ones too; an empty table gives an empty result. Columns named ids and decoded are replaced.
     """
-    encode, decode = coder(docs, ranks_path, pattern)
+    encode, _ = coder(docs, ranks_path, pattern)
     keep = [c for c in docs.columns if c not in ("ids", "decoded")]
-    coded = docs.select(*keep, encode(text_or_empty(text)).alias("ids"))
-    return coded.withColumn("decoded", decode("ids"))
+    coded = fresh(docs, "coded")[0]
+    rows = docs.withColumn(coded, encode(text_or_empty(text)))
+    return rows.select(*keep, F.col(f"{coded}.ids").alias("ids"), F.col(f"{coded}.decoded").alias("decoded"))
