@@ -12,15 +12,12 @@ import numpy as np
 
 Model = Callable[[np.ndarray], np.ndarray]
 
-MAX_MODELS = 4
-
 _models: dict[str, Model] = {}
 
 
 def loaded(token: str, load: Callable[[], Model]) -> Model:
-    """The model of `token`, loaded on first use; the oldest goes when there are too many."""
+    """The model of `token`, which stands for its loader, loaded on first use; a worker keeps only the current one."""
     if token not in _models:
-        while len(_models) >= MAX_MODELS:
-            del _models[next(iter(_models))]
+        _models.clear()
         _models[token] = load()
     return _models[token]

@@ -27,6 +27,11 @@ def archive_path(folder: Column, ts: Column) -> Column:
     return F.concat(folder, log_time(ts), F.lit(".wav"))
 
 
+def clip_path(folder: str, sensor: Column, ts: Column, seq: Column) -> Column:
+    """Path that names one clip in archive and log; the sequence number keeps clips of one second apart."""
+    return F.concat(F.lit(f"{folder.rstrip('/')}/"), sensor.cast("string"), F.lit("/"), log_time(ts), F.lit("_"), seq.cast("string"), F.lit(".wav"))
+
+
 def record_name(epoch_seconds: Column) -> Column:
     """File name from the rounded epoch; halves go to the even second."""
     return F.concat(F.lit("record_"), F.bround(epoch_seconds).cast("bigint"), F.lit(".wav"))

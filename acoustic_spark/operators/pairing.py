@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from acoustic_spark.operators.positions import SLICE_ROWS, first_n, with_position
+from acoustic_spark.operators.positions import SLICE_ROWS, first_n, order_positions
 
 
 def with_any_label(meta: DataFrame, labels: Column, wanted: Sequence[str]) -> DataFrame:
@@ -14,22 +14,20 @@ def with_any_label(meta: DataFrame, labels: Column, wanted: Sequence[str]) -> Da
     return meta.filter(F.arrays_overlap(labels, F.array(*[F.lit(w) for w in wanted])))
 
 
-def balanced(meta: DataFrame, label: str, seq: str, per_class: int, slice_rows: int = SLICE_ROWS, dense: bool = True) -> DataFrame:
+def balanced(meta: DataFrame, label: str, seq: str, per_class: int, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """The first `per_class` clips of each subclass by `seq`."""
-    return first_n(meta, [label], seq, per_class, "_i", "_n", slice_rows, dense).drop("_i", "_n")
+    return first_n(meta, [label], seq, per_class, "_i", "_n", slice_rows).drop("_i", "_n")
 
 
-def pair_by_position(
-    positives: DataFrame, negatives: DataFrame, seq: str, slice_rows: int = SLICE_ROWS, dense: bool = True
-) -> tuple[DataFrame, DataFrame]:
+def pair_by_position(positives: DataFrame, negatives: DataFrame, seq: str) -> tuple[DataFrame, DataFrame]:
     """Pair the i-th positive with the i-th negative by `seq`; positives left over come second.
 
-    Both sides are numbered by the sliced position, so no side passes one task.
+    `seq` is a number or a path. Both sides are numbered over range-sorted partitions, so
+    no side passes one task.
     """
 
     def numbered(side: DataFrame, name: str) -> DataFrame:
-        ids = side.select(F.lit(0).alias("_side"), F.col(seq).alias(name))
-        return with_position(ids, ["_side"], name, "rank", "_n", slice_rows, dense).select("rank", name)
+        return order_positions(side.select(F.col(seq).alias(name)), name, "rank")
 
     pos, neg = numbered(positives, "pos_id"), numbered(negatives, "neg_id")
     return pos.join(neg, "rank"), pos.join(neg, "rank", "left_anti")
@@ -52,16 +50,14 @@ def shuffle_rows(rows: DataFrame, seed: int, *identity: str) -> DataFrame:
     return rows.orderBy(F.xxhash64(*identity, F.lit(seed)), *identity)
 
 
-def mixed_batches(
-    positives: DataFrame, negatives: DataFrame, key: str, seed: int, slice_rows: int = SLICE_ROWS, dense: bool = True
-) -> DataFrame:
+def mixed_batches(positives: DataFrame, negatives: DataFrame, key: str, seed: int) -> DataFrame:
     """Batches of all pairs at once: the examples of the i-th positive and i-th negative clip.
 
     Both inputs are stored tables with one row per example and the clip in `key`,
     as they are read more than once. The order inside a batch is a seeded random
     one, by `batch_order`.
     """
-    pairs, _ = pair_by_position(positives.select(key).distinct(), negatives.select(key).distinct(), key, slice_rows, dense)
+    pairs, _ = pair_by_position(positives.select(key).distinct(), negatives.select(key).distinct(), key)
     pos = positives.join(pairs.select(F.col("rank").alias("batch_id"), F.col("pos_id").alias(key)), key)
     neg = negatives.join(pairs.select(F.col("rank").alias("batch_id"), F.col("neg_id").alias(key)), key)
     return concatenate(pos, neg).withColumn("batch_order", F.xxhash64(key, "example", F.lit(seed)))

@@ -12,11 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from acoustic_spark.workspace import pin_small
+from acoustic_spark.workspace import shared_folder
 
 SLICE_ROWS = 1 << 20
 BLOCK_SLICES = 1 << 20
-MAX_PINNED_SLICES = 100_000
 
 
 def _slice(number: str, size: int) -> Column:
@@ -24,11 +23,11 @@ def _slice(number: str, size: int) -> Column:
     return F.call_function("div", F.col(number), F.lit(size)).cast("long")
 
 
-def slice_starts(df: DataFrame, keys: Sequence[str], seq: str, slice_rows: int, dense: bool) -> DataFrame:
+def slice_starts(df: DataFrame, keys: Sequence[str], seq: str, slice_rows: int) -> DataFrame:
     """Per (key, slice): position of its first row, and the row count of the whole key.
 
-    With sparse numbers a key may have about as many slices as rows. Its slices are
-    then summed in blocks first, so that no window sees more than a block of them.
+    With wide gaps in the numbers a key may have about as many slices as rows, so they
+    are summed in blocks first: no window sees more than a block of them.
     """
     sizes = (
         df.select(*keys, _slice(seq, slice_rows).alias("_slice"))
@@ -40,9 +39,6 @@ def slice_starts(df: DataFrame, keys: Sequence[str], seq: str, slice_rows: int,
         rows = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(size).over(rows), F.lit(0))
 
-    if dense:
-        total = F.sum("_rows").over(Window.partitionBy(*keys))
-        return sizes.select(*keys, "_slice", before("_rows", "_slice", *keys).alias("_start"), total.alias("_total"))
     blocked = sizes.withColumn("_block", _slice("_slice", BLOCK_SLICES))
     blocks = (
         blocked.groupBy(*keys, "_block")
@@ -67,14 +63,12 @@ def with_position(
     position: str = "i",
     total: str = "n",
     slice_rows: int = SLICE_ROWS,
-    dense: bool = True,
 ) -> DataFrame:
     """Add the 0-based position by `seq` within `keys`, and the row count of the key.
 
-    `seq` must be a unique BIGINT and `keys` must not be null. An ingest counter is
-    dense; for numbers with wide gaps, such as hashes, set `dense` to False.
+    `seq` must be a unique BIGINT and `keys` must not be null; its numbers may have gaps.
     """
-    starts = slice_starts(df, keys, seq, slice_rows, dense)
+    starts = slice_starts(df, keys, seq, slice_rows)
     local = Window.partitionBy(*keys, "_slice").orderBy(seq)
     # The window comes first: its sort order also serves the join with the starts.
     return (
@@ -95,15 +89,13 @@ def first_n(
     position: str = "i",
     total: str = "n",
     slice_rows: int = SLICE_ROWS,
-    dense: bool = True,
 ) -> DataFrame:
     """The first `n` rows of each key by `seq`, exact for any `n`.
 
-    Only slices that start before position `n` are numbered. Their list is short
-    unless there are very many keys, so it is broadcast when its size allows, and
-    all other rows leave before any shuffle.
+    Only slices that start before position `n` are numbered; the adaptive planner
+    broadcasts their list when its measured size allows.
     """
-    starts = pin_small(slice_starts(df, keys, seq, slice_rows, dense).filter(F.col("_start") < n), MAX_PINNED_SLICES)
+    starts = slice_starts(df, keys, seq, slice_rows).filter(F.col("_start") < n)
     local = Window.partitionBy(*keys, "_slice").orderBy(seq)
     return (
         df.withColumn("_slice", _slice(seq, slice_rows))
@@ -113,3 +105,23 @@ def first_n(
         .withColumnRenamed("_total", total)
         .drop("_slice", "_start")
     )
+
+
+def order_positions(df: DataFrame, key: str, position: str = "i") -> DataFrame:
+    """(key, 0-based position) of all rows in the order of `key`, a column of any type that sorts.
+
+    The keys are range-partitioned and sorted within partitions; a partition's start comes
+    from the row counts of those before it, one row each. The sorted keys are written to
+    the shared folder first, as a second run may cut the ranges elsewhere. A repeated key
+    has as many positions as rows.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark, "ordered")
+    placed = df.select(key).repartitionByRange(key).sortWithinPartitions(key)
+    marked = placed.select(key, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_id"))
+    marked.write.parquet(folder)
+    rows = spark.read.schema(marked.schema).parquet(folder)
+    parts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("_part", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return rows.join(starts, "_part").select(key, (F.col("_id") + F.col("_shift")).alias(position))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
@@ -74,7 +75,7 @@ def embed_rows(
 
 def embed_clips(patches: Column, load_model: ModelLoader, width: int, value_type: str = "float") -> Column:
     """Embeddings of all patches of each clip; one model call covers an Arrow batch of clips."""
-    token = uuid.uuid4().hex
+    token = hashlib.sha256(cloudpickle.dumps(load_model)).hexdigest()
 
     @F.arrow_udf(f"array<array<{value_type}>>")
     def embed(column: pa.Array) -> pa.Array:
@@ -219,8 +220,7 @@ def top_scores(scores: DataFrame, keys: Sequence[str], cfg: DetectConfig = Detec
 
 def name_classes(scores: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with their display name, and the rows of unknown classes."""
-    small = pin_small(classes.select("class_id", "display_name"), MAX_DICTIONARY_ROWS)
-    named = scores.join(small, "class_id", "left").withColumnRenamed("display_name", "label")
+    named = scores.join(classes.select("class_id", "display_name"), "class_id", "left").withColumnRenamed("display_name", "label")
     return named.filter(F.col("label").isNotNull()), named.filter(F.col("label").isNull()).drop("label")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from acoustic_spark.functions.text import format_predictions, log_time, view_time
+from acoustic_spark.functions.text import clip_path, format_predictions, log_time, view_time
 from acoustic_spark.operators.capture import capture_rows
 from acoustic_spark.operators.toplists import latest_per_key, top_n_per_key
 from acoustic_spark.plans.detect import detect
@@ -88,6 +88,7 @@ def detection_run(spark: SparkSession, sf: str, archive: bool = False, first_onl
         f"{folder}/archive" if archive else None,
         first_only=first_only,
         counts_path=f"{folder}/counts",
+        clip_path=clip_path("archive", F.col("sensor_id"), F.col("timestamp"), F.col("offset")),
     )
     checkpoint = f"{folder}/checkpoint"
     detection.run_for(detection.micro_batches(clip_stream(spark, sf), action, checkpoint, available_now=True))
@@ -105,7 +106,7 @@ def stream_detection(spark: SparkSession, sf: str) -> DataFrame:
     "stream_log",
     f"""SELECT CAST(sensor_id AS VARCHAR) AS sensor_id, seq AS ingest_seq, strftime(ts, '%Y-%m-%d_%H:%M:%S') AS at,
        max(flag) AS flag, CAST(count(*) FILTER (WHERE rank > 0) AS BIGINT) AS n_predictions,
-       'archive/' || sensor_id || '/' || strftime(ts, '%Y-%m-%d_%H:%M:%S') || '.wav' AS path
+       'archive/' || sensor_id || '/' || strftime(ts, '%Y-%m-%d_%H:%M:%S') || '_' || seq || '.wav' AS path
 FROM ({DETECTED}) JOIN events ON event_id = seq GROUP BY sensor_id, seq, ts""",
 )
 def stream_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,6 +141,22 @@ def stream_archive(spark: SparkSession, sf: str) -> DataFrame:
     return archived.join(logged, "sensor_id", "full").select("sensor_id", "archived", "logged", "n_samples")
 
 
+@query(
+    "archived_samples",
+    f"""WITH {SERIES}, {clip_rows(DETECT_CLIP)}, named AS (
+  SELECT sensor_id, clip_no, min(event_id) AS seq FROM clip_rows GROUP BY ALL)
+SELECT 'archive/' || sensor_id || '/' || strftime(e.ts, '%Y-%m-%d_%H:%M:%S') || '_' || seq || '.wav' AS path,
+       CAST(pos AS BIGINT) AS pos, s AS sample
+FROM clip_rows JOIN named USING (sensor_id, clip_no) JOIN events e ON e.event_id = seq""",
+)
+def archived_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """Samples of every logged clip, found in the archive by the logged path."""
+    folder = detection_run(spark, sf, archive=True)
+    logged = spark.read.parquet(f"{folder}/log").select("path")
+    found = logged.join(spark.read.parquet(f"{folder}/archive").select("path", "samples"), "path")
+    return found.select("path", F.posexplode("samples").alias("pos", "sample")).select("path", *big("pos", "sample"))
+
+
 @query(
     "stream_first_record",
     f"""WITH {SERIES} SELECT CAST(count(DISTINCT (sensor_id, i // {DETECT_CLIP})) AS BIGINT) AS received,

@@ -45,6 +45,20 @@ def paired_examples(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select(*big("rank"), "pos_id", "neg_id")
 
 
+@query(
+    "paired_paths",
+    """WITH paths AS (SELECT '/clips/' || doc_id || '.wav' AS path, quality FROM labels),
+pos AS (SELECT path AS pos_id, row_number() OVER (ORDER BY path) - 1 AS rank FROM paths WHERE quality = 1),
+neg AS (SELECT path AS neg_id, row_number() OVER (ORDER BY path) - 1 AS rank FROM paths WHERE quality = 0)
+SELECT CAST(rank AS BIGINT) AS rank, pos_id, neg_id FROM pos JOIN neg USING (rank)""",
+)
+def paired_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of file paths, in the order of the paths."""
+    path = F.concat(F.lit("/clips/"), "doc_id", F.lit(".wav")).alias("path")
+    pairs, _ = pairing.pair_by_position(*[side.select(path) for side in sides(spark, sf)], "path")
+    return pairs.select(*big("rank"), "pos_id", "neg_id")
+
+
 @query(
     "unpaired_positives",
     f"WITH {PAIRS} SELECT CAST(rank AS BIGINT) AS rank, pos_id FROM pos WHERE rank NOT IN (SELECT rank FROM neg)",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from acoustic_spark.functions.text import archive_path, log_time, parse_predictions, print_predictions, strip_line_end
+from acoustic_spark.functions.text import clip_path, log_time, parse_predictions, print_predictions, strip_line_end
 
 _ROW = "sensor_id STRING, dt STRING, flag STRING, list STRING, path STRING, extra STRING"
 
@@ -71,15 +71,14 @@ def write_log_text(detections: DataFrame, path: str) -> None:
 
 
 def detection_rows(classified: DataFrame, folder: str, ts: str = "timestamp", seq: str = "offset") -> DataFrame:
-    """Classified clips in the columns of the log: one time per clip, which also names its archive path."""
+    """Classified clips in the columns of the log: sensor, time and sequence number name its archive path."""
     at = F.col(ts).cast("timestamp_ntz")
-    sensor_folder = F.concat(F.lit(f"{folder.rstrip('/')}/"), F.col("sensor_id").cast("string"), F.lit("/"))
     return classified.select(
         F.col("sensor_id").cast("string").alias("sensor_id"),
         at.alias("ts"),
         F.col("flag"),
         F.col("predictions"),
-        archive_path(sensor_folder, at).alias("path"),
+        clip_path(folder, F.col("sensor_id"), at, F.col(seq)).alias("path"),
         F.col(seq).cast("bigint").alias("ingest_seq"),
     )
 

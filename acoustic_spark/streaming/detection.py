@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from acoustic_spark.functions.text import predictions_json
@@ -32,24 +32,27 @@ def detection_batch(
     first_only: bool = False,
     order: Sequence[str] = ("offset",),
     counts_path: str | None = None,
+    clip_path: Column | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Action for `foreachBatch`: archive the clips, then log their detections.
 
-    The archive comes first, so a logged path always exists. `first_only` keeps
+    The archive comes first, and keeps `clip_path` as its column path: with the path of
+    the log there, a logged clip is always found by it. `first_only` keeps
     the first record of each batch; `counts_path` then holds what was left out.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         rows = first_record(batch, *order) if first_only else batch
         if archive_path is not None:
-            with by_sensor(rows) as placed:
+            kept = rows if clip_path is None else rows.withColumn("path", clip_path)
+            with by_sensor(kept) as placed:
                 write_batch(placed, archive_path, batch_id, "sensor_id")
         write_batch(classify(rows), log_path, batch_id)
         if counts_path is not None:
             received = batch.agg(F.count(F.lit(1)).alias("received"))
-            kept = F.least("received", F.lit(1)) if first_only else F.col("received")
+            used = F.least("received", F.lit(1)) if first_only else F.col("received")
             write_batch(
-                received.withColumn("kept", kept.cast("bigint")).withColumn("dropped", F.col("received") - F.col("kept")),
+                received.withColumn("kept", used.cast("bigint")).withColumn("dropped", F.col("received") - F.col("kept")),
                 counts_path,
                 batch_id,
             )

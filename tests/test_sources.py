@@ -136,7 +136,7 @@ def test_detection_rows(spark):
     table = spark.createDataFrame(rows, schema).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     found = L.detection_rows(table, "/clips/")
     assert [f.dataType for f in found.schema] == [f.dataType for f in DETECTIONS]
-    assert found.first().path == "/clips/s1/2020-01-02_03:04:05.wav" and found.first().ingest_seq == 9
+    assert found.first().path == "/clips/s1/2020-01-02_03:04:05_9.wav" and found.first().ingest_seq == 9
 
 
 def test_side_tables(spark, tmp_path):
