@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from acoustic_spark.llm.common import join_counted, text_or_empty, written
 from acoustic_spark.llm.components import components
 
+#: Words of a shingle and wanted similarity where a caller names no others.
 WORDS_IN_SHINGLE, PERCENT = 4, 85
 #: Buckets of the table of word counts, one byte each; words that share one count as one.
 BUCKETS, RANGE = 1 << 24, 1 << 18
@@ -210,7 +211,7 @@ def word_levels(texts: DataFrame) -> bytes:
 SETS = "number long, doc_id long, n_shingles long, digest binary, signatures array<long>, bits binary, packed binary"
 
 
-def _prepared(levels) -> object:
+def _prepared(levels, n: int, percent: int) -> object:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes(levels.value)
         for batch in batches:
@@ -219,9 +220,9 @@ def _prepared(levels) -> object:
             for number, doc_id, text in zip(batch["number"], ids, batch["text"]):
                 if len(hashes) > HELD:
                     hashes.clear()
-                tokens, level = shingles(words_of(text), hashes)
+                tokens, level = shingles(words_of(text), hashes, n)
                 digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
-                rows.append((number, None if doc_id is pd.NA else doc_id, len(tokens), digest, signatures(tokens, level).view(np.int64), bitmap(tokens).tobytes(), zlib.compress(text.encode(), 1)))
+                rows.append((number, None if doc_id is pd.NA else doc_id, len(tokens), digest, signatures(tokens, level, percent).view(np.int64), bitmap(tokens).tobytes(), zlib.compress(text.encode(), 1)))
             yield pd.DataFrame(rows, columns=["number", "doc_id", "n_shingles", "digest", "signatures", "bits", "packed"]).astype({"doc_id": "Int64"})
 
     return run
@@ -264,41 +265,47 @@ def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             first, second = number[begin], number[begin + 1] if n_open > 1 else None
 
 
-def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hashes = WordHashes(b"")
-    cached: dict[int, np.ndarray] = {}
+def _verified(n: int, percent: int) -> object:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes(b"")
+        cached: dict[int, np.ndarray] = {}
 
-    def tokens(number: int, packed: bytes) -> np.ndarray:
-        if number not in cached:
-            if len(cached) > 200:
-                cached.clear()
-            cached[number] = shingles(words_of(zlib.decompress(packed).decode()), hashes)[0]
-        return cached[number]
+        def tokens(number: int, packed: bytes) -> np.ndarray:
+            if number not in cached:
+                if len(cached) > 200:
+                    cached.clear()
+                cached[number] = shingles(words_of(zlib.decompress(packed).decode()), hashes, n)[0]
+            return cached[number]
 
-    for batch in batches:
-        if len(hashes) > HELD:
-            hashes.clear()
-        keep = [similar(tokens(a, x), tokens(b, y)) for a, b, x, y in zip(batch["a"], batch["b"], batch["packed_a"], batch["packed_b"])]
-        yield batch.loc[keep, ["a", "b"]]
+        for batch in batches:
+            if len(hashes) > HELD:
+                hashes.clear()
+            keep = [similar(tokens(a, x), tokens(b, y), percent) for a, b, x, y in zip(batch["a"], batch["b"], batch["packed_a"], batch["packed_b"])]
+            yield batch.loc[keep, ["a", "b"]]
 
+    return run
 
-def _near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        keep = may_be_similar(bitmaps(batch["bits_a"]), batch["n_a"].to_numpy(), bitmaps(batch["bits_b"]), batch["n_b"].to_numpy())
-        yield batch.loc[keep, ["a", "b"]]
 
+def _near(percent: int) -> object:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = may_be_similar(bitmaps(batch["bits_a"]), batch["n_a"].to_numpy(), bitmaps(batch["bits_b"]), batch["n_b"].to_numpy(), percent)
+            yield batch.loc[keep, ["a", "b"]]
+
+    return run
 
-def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+
+def verify(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs (a, b) of set numbers that are similar enough; `sets` has number, n_shingles, bits and packed.
 
     Sizes and bitmaps are looked at first, texts only of pairs that these leave.
     """
     small_a = sets.select(F.col("number").alias("a"), F.col("n_shingles").alias("n_a"), F.col("bits").alias("bits_a"))
     small_b = sets.select(F.col("number").alias("b"), F.col("n_shingles").alias("n_b"), F.col("bits").alias("bits_b"))
-    near = pairs.join(small_a, "a").join(small_b, "b").mapInPandas(_near, "a long, b long")
+    near = pairs.join(small_a, "a").join(small_b, "b").mapInPandas(_near(percent), "a long, b long")
     left = sets.select(F.col("number").alias("a"), F.col("packed").alias("packed_a"))
     right = sets.select(F.col("number").alias("b"), F.col("packed").alias("packed_b"))
-    return near.join(left, "a").join(right, "b").mapInPandas(_verified, "a long, b long")
+    return near.join(left, "a").join(right, "b").mapInPandas(_verified(n, percent), "a long, b long")
 
 
 class _Rows:
@@ -309,7 +316,7 @@ class _Rows:
         self.number, self.component, self.size = (rows[c].to_numpy() for c in ("number", "component", "n_shingles"))
         self.block, self.bits = rows["block"].to_numpy(), bitmaps(rows["bits"])
 
-    def pairs(self, begin: int, end: int) -> list[np.ndarray]:
+    def pairs(self, begin: int, end: int, percent: int) -> list[np.ndarray]:
         """Pairs (smaller, larger number) of one signature's block pair that sizes and bitmaps leave, in different components."""
         _, low, high = self.keys[begin].tolist()
         left = begin + np.flatnonzero(self.block[begin:end] == low)
@@ -325,32 +332,35 @@ class _Rows:
             if not len(p):
                 continue
             p, q = i[p, 0], j[0, q]
-            near = may_be_similar(self.bits[p], self.size[p], self.bits[q], self.size[q])
+            near = may_be_similar(self.bits[p], self.size[p], self.bits[q], self.size[q], percent)
             out.append(np.sort(np.stack([self.number[p[near]], self.number[q[near]]], axis=1), axis=1))
         return out
 
 
-def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _blocks(percent: int) -> object:
     """Pairs from rows sorted by (signature, low, high), each once a batch; one such block pair is held at a time."""
 
     def frame(found: list[np.ndarray]) -> pd.DataFrame:
         pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
         return pd.DataFrame(pairs, columns=["a", "b"]).drop_duplicates()
 
-    rest = None
-    for batch in batches:
-        batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        if not len(batch):
-            continue
-        rows = _Rows(batch)
-        cuts = np.flatnonzero(np.append(True, (rows.keys[1:] != rows.keys[:-1]).any(axis=1))).tolist()
-        yield frame([x for begin, end in zip(cuts, cuts[1:]) for x in rows.pairs(begin, end)])
-        rest = batch.iloc[cuts[-1] :]
-    if rest is not None:
-        yield frame(_Rows(rest).pairs(0, len(rest)))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            if not len(batch):
+                continue
+            rows = _Rows(batch)
+            cuts = np.flatnonzero(np.append(True, (rows.keys[1:] != rows.keys[:-1]).any(axis=1))).tolist()
+            yield frame([x for begin, end in zip(cuts, cuts[1:]) for x in rows.pairs(begin, end, percent)])
+            rest = batch.iloc[cuts[-1] :]
+        if rest is not None:
+            yield frame(_Rows(rest).pairs(0, len(rest), percent))
+
+    return run
 
 
-def block_pairs(open_: DataFrame, sets: DataFrame) -> DataFrame:
+def block_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of sets with a common signature and different components that may be similar, each once.
 
     `open_` has signature, number and component. A large signature is cut into blocks by
@@ -362,14 +372,14 @@ def block_pairs(open_: DataFrame, sets: DataFrame) -> DataFrame:
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("blocks", "other")
     dealt = rows.repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high")
-    return dealt.mapInPandas(_blocks, "a long, b long").distinct()
+    return dealt.mapInPandas(_blocks(percent), "a long, b long").distinct()
 
 
-def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = WORDS_IN_SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links for each row of docs.
 
-    A document's set is its distinct 4-word shingles (all its words as one if they are
-    fewer); documents link when 100 * intersection >= 85 * union. component_id is the
+    A document's set is its distinct n-word shingles (all its words as one if they are
+    fewer); documents link when 100 * intersection >= percent * union. component_id is the
     smallest doc_id reachable by links, n_links the links found of its set (a spanning part
     of them, copies not counted). A null text or one without words has an empty set, links
     with nothing and is its own component. Rows that repeat a doc_id count each; a null
@@ -378,7 +388,7 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     levels = docs.sparkSession.sparkContext.broadcast(word_levels(rows))
     numbered = rows.withColumn("number", F.monotonically_increasing_id())
-    prepared = written(numbered.mapInPandas(_prepared(levels), SETS), "sets")
+    prepared = written(numbered.mapInPandas(_prepared(levels, n, percent), SETS), "sets")
 
     classes = prepared.where("digest is not null").groupBy("digest").agg(F.min("number").alias("number"), F.min("doc_id").alias("smallest"), F.count(F.lit(1)).alias("n_class"))
     classes = written(classes, "classes")
@@ -392,7 +402,7 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     involved = pairs.select(F.col("a").alias("number")).union(pairs.select("b")).distinct()
     sets = written(prepared.select("number", "n_shingles", "bits", "packed").join(involved, "number", "left_semi"), "involved")
     nearest = written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "nearest")
-    links = written(verify(nearest, sets), "links")
+    links = written(verify(nearest, sets, n, percent), "links")
     found = components(links)
 
     def separate(candidates: DataFrame) -> DataFrame:
@@ -404,7 +414,7 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
     def extend(candidates: DataFrame) -> None:
         nonlocal links, found
-        more = written(verify(candidates, sets), "links")
+        more = written(verify(candidates, sets, n, percent), "links")
         if more.limit(1).count():
             links = links.union(more)
             found = components(links)
@@ -415,7 +425,7 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     labelled = shared.join(found.withColumnRenamed("node", "number"), "number", "left").withColumn("component", F.coalesce("component", "number"))
     mixed = labelled.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("signature")
     open_ = written(labelled.join(mixed, "signature").select("signature", "number", "component"), "open")
-    extend(written(block_pairs(open_, sets), "across"))
+    extend(written(block_pairs(open_, sets, percent), "across"))
 
     degree = links.select(F.col("a").alias("number")).union(links.select("b")).groupBy("number").agg(F.count(F.lit(1)).alias("n_links"))
     each = classes.join(found.withColumnRenamed("node", "number"), "number", "left").withColumn("component", F.coalesce("component", "number"))

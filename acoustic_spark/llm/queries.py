@@ -95,7 +95,7 @@ SELECT n.doc_id, n.n::BIGINT AS n_shingles, least(n.doc_id, coalesce(min(r.b), n
 
 @query("op5_jaccard_join", _OP5)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.join_similar(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return jaccard.join_similar(table(spark, sf_dir, "documents"), n=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
 @query("op6_mix_budget")

@@ -17,6 +17,8 @@ from acoustic_spark.workspace import ship_package
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Documents whose language has a smaller probability than this are rejected, as are those without letters.
 MIN_SCORE = 0.4
+#: Near copies have so many percent of their shingles of so many words in common, or more.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +37,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of linked documents."""
     ship_package(spark)
-    dropped = jaccard.join_similar(docs).where("doc_id <> component_id").select("doc_id")
+    dropped = jaccard.join_similar(docs, n=NEAR_WORDS, percent=NEAR_PERCENT).where("doc_id <> component_id").select("doc_id")
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
 
 
