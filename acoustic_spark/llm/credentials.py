@@ -25,7 +25,8 @@ BASE = {
     "access": (r"AKIA[A-Z0-9]{14,}", 18, 0),
     "hex": (r"[0-9a-f]{16,}", 16, 0),
 }
-#: A bare candidate: a run of so many of these characters with a lower case letter, an upper case letter and a digit.
+#: A bare candidate: a run of so many of these characters or more with a lower case letter, an upper case letter and a digit.
+#: BARE_MOST is a limit of the SQL equivalent alone.
 BARE, BARE_LEAST, BARE_MOST = r"[A-Za-z0-9+/_-]{20,}", 20, 200
 KINDS = (*BASE, "live")
 
@@ -71,7 +72,7 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", owner: str
     """One row per row of docs: doc_id, base_spans, all_spans (arrays of spans), n_shared (candidates that are copied examples).
 
     A document is a repository, its source the owner. Candidates are the values of base
-    spans and bare random-looking tokens outside them; one with a digit that at most
+    spans and bare random-looking tokens of any length outside them; one that at most
     MAX_OWNERS owners and MAX_REPOSITORIES documents have in the whole corpus gets a span of
     kind live. A null text counts as empty; null sources are one owner, rows of one doc_id
     one repository. Rows that repeat doc_id and text get equal results. An empty table gives
@@ -81,10 +82,9 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", owner: str
     base = base.withColumn("key", F.struct("doc_id", F.xxhash64("text").alias("h")))
     base = base.withColumn("base_spans", F.concat(*[matches(F.col("text"), p, k, g, n) for k, (p, n, g) in BASE.items()]))
     bare = matches(F.col("text"), BARE, "live", 0, BARE_LEAST)
-    bare = F.filter(bare, lambda b: (F.length(b["value"]) <= BARE_MOST) & b["value"].rlike("[a-z]") & b["value"].rlike("[A-Z]"))
+    bare = F.filter(bare, lambda b: b["value"].rlike("[a-z]") & b["value"].rlike("[A-Z]") & b["value"].rlike("[0-9]"))
     clear = F.filter(bare, lambda b: ~F.exists(F.col("base_spans"), lambda s: (s["start"] < b["end"]) & (b["start"] < s["end"])))
-    candidates = F.filter(F.concat("base_spans", clear), lambda s: s["value"].rlike("[0-9]"))
-    live = F.transform(candidates, lambda s: F.struct(
+    live = F.transform(F.concat("base_spans", clear), lambda s: F.struct(
         (s["end"] - F.length(s["value"])).alias("start"), F.lit(KINDS.index("live")).alias("rank"), s["end"].alias("end"), F.lit("live").alias("kind"), F.sha2(s["value"], 256).alias("value"),
     ))
     found = written(base.withColumn("candidates", F.array_distinct(live)).drop("text"), "candidates")

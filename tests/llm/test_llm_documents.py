@@ -52,6 +52,15 @@ def test_secrets(docs, nothing):
     assert credentials.scan(nothing).count() == 0
 
 
+def test_secrets_of_any_length_and_without_digits(docs):
+    own, copied = "Ab1/" * 75, "Cd2+" * 100
+    texts = [f"session {own} end", f"see {copied} here", f"and {copied}", "password = CorrectHorseBattery", "password = ExampleExample", "secret: ExampleExample", "NoDigitsInThisBareTokenAtAll"]
+    live = {}
+    for r in collected(credentials.scan(docs([(i, t, None, f"s{i}") for i, t in enumerate(texts)]))):
+        live[r["doc_id"]] = {texts[r["doc_id"]][s.start : s.end] for s in r["all_spans"] if s.kind == "live"}, r["n_shared"]
+    assert live == {0: ({own}, 0), 1: (set(), 1), 2: (set(), 1), 3: ({"CorrectHorseBattery"}, 0), 4: (set(), 1), 5: (set(), 1), 6: (set(), 0)}
+
+
 def test_secrets_awkward(awkward):
     assert credentials.scan(awkward).count() == 14
 
