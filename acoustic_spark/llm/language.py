@@ -10,22 +10,22 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from acoustic_spark.llm.common import fresh, text_or_empty, written
+from acoustic_spark.llm.common import fresh, join_counted, text_or_empty, written
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Lengths of character n-grams, longest first; a word is taken with a mark at both ends.
 ORDERS = (5, 4, 3, 2, 1)
-#: The model keeps this many words and n-grams, the most frequent of the corpus: its size is
-#: at most (MAX_WORDS + MAX_GRAMS) * languages numbers, whatever the corpus.
-MAX_WORDS, MAX_GRAMS = 60_000, 60_000
-#: Different counts a task holds before it passes them on, and unknown words a worker remembers.
-HELD, REMEMBERED = 300_000, 300_000
+#: The most frequent words and n-grams go to every task. This bounds the broadcast only: all
+#: others keep their counts and are joined by shuffle.
+HOT_WORDS, HOT_GRAMS = 60_000, 60_000
+#: Different counts a task holds before it passes them on.
+HELD = 300_000
 UNKNOWN = "und"
 SMOOTHING = 0.5
 
@@ -43,53 +43,48 @@ def grams(word: str, order: int) -> list[str]:
 
 
 @dataclass
-class Model:
-    """Languages, and for each known word and n-gram its log frequency in each of them."""
+class Statistics:
+    """Languages, and for all words and n-grams how often each language has them (in this order).
+
+    `words` and `grams` have item, all and counts; sizes are the sums by language. `hot` is
+    what every task gets of them.
+    """
 
     languages: list[str]
+    words: DataFrame
+    grams: DataFrame
+    word_sizes: list[float]
+    gram_sizes: list[float]
+    hot: Hot
+
+
+@dataclass
+class Hot:
+    """Log frequencies of the most frequent words, and the most frequent n-grams."""
+
     words: dict[str, int]
-    grams: dict[str, int]
     word_scores: np.ndarray
-    gram_scores: np.ndarray
-    rows: dict[str, int] = field(default_factory=dict)
-    extra: list[np.ndarray] = field(default_factory=list)
-
-    def backoff(self, word: str) -> np.ndarray:
-        """Mean score of the word's longest known n-grams; zeros if it has none."""
-        for order in ORDERS:
-            found = [self.grams[g] for g in grams(word, order) if g in self.grams]
-            if found:
-                return self.gram_scores[found].mean(axis=0)
-        return np.zeros(len(self.languages))
+    grams: frozenset[str]
 
-    def predict(self, text: str) -> tuple[str, float]:
-        """The most probable language (the first by name of equal ones) and its probability; `und` without letters or languages."""
+    def split(self, text: str) -> tuple[bool, np.ndarray, list[str], list[int]]:
+        """Whether text has words, the summed scores of its hot ones, and the others with their counts."""
         counts = Counter(words(text))
-        if not counts or not self.languages:
-            return UNKNOWN, 0.0
-        if len(self.rows) > REMEMBERED:
-            self.rows, self.extra = {}, []
-        total = np.zeros(len(self.languages))
-        known, weights, seen, often = [], [], [], []
-        for word, n in counts.items():
-            at = self.words.get(word)
-            if at is not None:
-                known.append(at)
-                weights.append(n)
-                continue
-            at = self.rows.get(word)
-            if at is None:
-                at = self.rows[word] = len(self.extra)
-                self.extra.append(self.backoff(word))
-            seen.append(at)
-            often.append(n)
-        if known:
-            total += np.array(weights, float) @ self.word_scores[known]
-        if seen:
-            total += np.array(often, float) @ np.array([self.extra[i] for i in seen])
-        share = np.exp(total - total.max())
-        best = int(np.argmax(total))
-        return self.languages[best], float(share[best] / share.sum())
+        hot = [(self.words[w], n) for w, n in counts.items() if w in self.words]
+        total = np.zeros(self.word_scores.shape[1])
+        if hot:
+            at, n = zip(*hot)
+            total = np.array(n, float) @ self.word_scores[list(at)]
+        others = [w for w in counts if w not in self.words]
+        return bool(counts), total, others, [counts[w] for w in others]
+
+    def pieces(self, word: str) -> Iterator[tuple[int, str, int]]:
+        """Order, n-gram and occurrences, for the orders down to the first with a hot n-gram: that one surely is known."""
+        for order in ORDERS:
+            found = Counter(grams(word, order))
+            for gram, n in found.items():
+                yield order, gram, n
+            if not self.grams.isdisjoint(found):
+                return
 
 
 def _counted(rows: Iterator[tuple[str, str, int]], kind: str) -> Iterator[pd.DataFrame]:
@@ -119,21 +114,21 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield from _counted(rows, "gram")
 
 
-def _scores(rows: list, item: str, languages: list[str], totals: dict[str, int]) -> tuple[dict[str, int], np.ndarray]:
-    """Rows of item and counts by language (map) as numbers of the items and their log frequencies."""
-    n = np.array([[r["by"].get(lang, 0) for lang in languages] for r in rows], float).reshape(len(rows), len(languages))
-    size = np.array([totals[lang] for lang in languages], float)
-    return {r[item]: i for i, r in enumerate(rows)}, np.log((n + SMOOTHING) / (size + SMOOTHING * max(1, len(rows))))
+def _table(counts: DataFrame, item: str, languages: list[str]) -> DataFrame:
+    """Every item once, with all occurrences and those of each language."""
+    by = F.map_from_entries(F.collect_list(F.struct("lang", "n")))
+    whole = counts.groupBy(F.col(item).alias("item")).agg(F.sum("n").alias("all"), by.alias("by"))
+    each = F.array(*[F.coalesce(F.col("by")[F.lit(lang)], F.lit(0).cast("long")) for lang in languages])
+    return written(whole.select("item", "all", each.cast("array<long>").alias("counts")), f"{item}_table")
 
 
-def _top(counts: DataFrame, item: str, most: int) -> list:
-    """The most frequent items, ties by code point, each with its counts by language."""
-    whole = counts.groupBy(item).agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-    return whole.orderBy(F.desc("all"), item).limit(most).collect()
+def _scores(counts: str, sizes: list[float]) -> F.Column:
+    """Log frequencies by language of an item with these counts."""
+    return F.array(*[F.log((F.col(counts)[i] + F.lit(SMOOTHING)) / F.lit(size)) for i, size in enumerate(sizes)])
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """The model of all rows with a language; counts cover every word of every text."""
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Statistics:
+    """The counts of every word and n-gram of every text of all rows with a language."""
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), text_or_empty(text).alias("text"))
     counts = rows.mapInPandas(_count_words, "lang string, word string, n long")
     counts = written(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
@@ -141,9 +136,15 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     gram_totals = {r["lang"]: r["n"] for r in gram_counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
-    known, word_scores = _scores(_top(counts, "word", MAX_WORDS), "word", languages, totals)
-    pieces, gram_scores = _scores(_top(gram_counts, "gram", MAX_GRAMS), "gram", languages, gram_totals)
-    return Model(languages, known, pieces, word_scores, gram_scores)
+    whole, pieces = _table(counts, "word", languages), _table(gram_counts, "gram", languages)
+    n_words, n_grams = whole.count(), pieces.count()
+    sizes = [totals[lang] + SMOOTHING * max(1, n_words) for lang in languages]
+    gram_sizes = [gram_totals[lang] + SMOOTHING * max(1, n_grams) for lang in languages]
+    top = whole.orderBy(F.desc("all"), "item").limit(HOT_WORDS).select("item", "counts").toPandas()
+    n = np.array(top["counts"].tolist(), float).reshape(len(top), len(languages))
+    top_grams = pieces.orderBy(F.desc("all"), "item").limit(HOT_GRAMS).select("item").toPandas()
+    hot = Hot({w: i for i, w in enumerate(top["item"])}, np.log((n + SMOOTHING) / np.array(sizes)), frozenset(top_grams["item"]))
+    return Statistics(languages, whole, pieces, sizes, gram_sizes, hot)
 
 
 def is_held_out(doc_id: str) -> F.Column:
@@ -151,26 +152,76 @@ def is_held_out(doc_id: str) -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def _summed(scores: str, times: str, n: int) -> list[F.Column]:
+    return [F.sum(F.col(scores)[i] * F.col(times)).alias(f"s{i}") for i in range(n)]
+
+
+def _backoff(unknown: DataFrame, model: Statistics, shared) -> DataFrame:
+    """item, n_rows and scores of words (item, n_rows) without a count: the mean of their longest known n-grams. Words without any are left out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(w, m, *piece) for w, m in zip(batch["item"], batch["n_rows"]) for piece in shared.value.pieces(w)]
+            yield pd.DataFrame(rows, columns=["word", "n_rows", "order", "item", "times"])
+
+    n = len(model.languages)
+    pieces = written(unknown.select("item", "n_rows").mapInPandas(run, "word string, n_rows long, order int, item string, times long"), "pieces")
+    known = pieces.groupBy("item").agg(F.count(F.lit(1)).alias("n_pieces")).join(model.grams.select("item", "counts"), "item")
+    found = join_counted(pieces, known.select("item", "n_pieces", _scores("counts", model.gram_sizes).alias("scores")), "item", "n_pieces", pieces.count())
+    by_order = found.groupBy("word", "order").agg(F.max("n_rows").alias("n_rows"), F.sum("times").alias("times"), *_summed("scores", "times", n))
+    scores = F.array(*[F.col(f"s{i}") / F.col("times") for i in range(n)])
+    longest = by_order.groupBy("word").agg(F.max("n_rows").alias("n_rows"), F.max_by(scores, "order").alias("scores"))
+    return longest.select(F.col("word").alias("item"), "n_rows", "scores")
+
+
+def identify(docs: DataFrame, model: Statistics, text: str = "text") -> DataFrame:
     """`docs` with lang_pred and score (0 to 1). A null text or one without letters gives `und` and 0.
 
+    The language is the most probable one, the first by name of equal ones; without any
+    language it is `und`. Every word counts by the whole statistics: a task adds up the hot
+    ones, all others meet their counts, or those of their n-grams, in joins. Texts are told
+    apart by 16 bytes of their SHA-256.
+
     Every row keeps its place, repeated rows get equal results, an empty table gives an
     empty result. Columns of these names are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    found = fresh(docs, "found")[0]
-
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            yield pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score"])
-
     keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    out = docs.withColumn(found, predict(text_or_empty(text)))
-    return out.select(*keep, F.col(f"{found}.lang_pred").alias("lang_pred"), F.col(f"{found}.score").alias("score"))
+    n = len(model.languages)
+    if not n:
+        return docs.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    shared = docs.sparkSession.sparkContext.broadcast(model.hot)
+    digest = F.substring(F.unhex(F.sha2(text_or_empty(text).cast("binary"), 256)), 1, 16)
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(key, *shared.value.split(t)) for key, t in zip(batch["key"], batch["text"])]
+            yield pd.DataFrame(rows, columns=["key", "worded", "sums", "words", "ns"])
+
+    parts = docs.select(digest.alias("key"), text_or_empty(text).alias("text"))
+    parts = written(parts.mapInPandas(split, "key binary, worded boolean, sums array<double>, words array<string>, ns array<long>"), "parts")
+    cold = parts.select("key", F.explode(F.arrays_zip("words", "ns")).alias("w")).select("key", F.col("w.words").alias("item"), F.col("w.ns").alias("n"))
+    seen = written(cold.groupBy("item").agg(F.count(F.lit(1)).alias("n_rows")), "seen")
+    table = model.words.select("item", "counts")
+    known = seen.join(table, "item").select("item", "n_rows", _scores("counts", model.word_sizes).alias("scores"))
+    rest = _backoff(seen.join(table.select("item"), "item", "left_anti"), model, shared)
+    vectors = written(known.unionByName(rest), "vectors")
+    n_cold = seen.agg(F.sum("n_rows")).first()[0] or 0
+    added = join_counted(cold, vectors, "item", "n_rows", n_cold).groupBy("key").agg(*_summed("scores", "n", n))
+
+    # Rows of equal texts have one key: what their words add comes once for each of them.
+    whole = parts.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.max("worded").alias("worded"), *[F.max(F.col("sums")[i]).alias(f"t{i}") for i in range(n)])
+    whole = whole.join(added, "key", "left")
+    totals = F.array(*[F.col(f"t{i}") + F.coalesce(F.col(f"s{i}"), F.lit(0.0)) / F.col("copies") for i in range(n)])
+    whole = whole.select("key", "copies", "worded", totals.alias("totals")).withColumn("top", F.array_max("totals"))
+    best = F.element_at(F.array(*map(F.lit, model.languages)), F.array_position("totals", F.col("top")).cast("int"))
+    share = 1 / F.aggregate("totals", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.col("top")))
+    key, copies, lang, score = fresh(docs, "key", "copies", "lang", "score")
+    found = whole.select(F.col("key").alias(key), F.col("copies").alias(copies), F.when(F.col("worded"), best).otherwise(UNKNOWN).alias(lang), F.when(F.col("worded"), share).otherwise(0.0).alias(score))
+    out = join_counted(docs.withColumn(key, digest), written(found, "found"), key, copies, parts.count())
+    return out.select(*keep, F.col(lang).alias("lang_pred"), F.col(score).alias("score"))
 
 
 def identify_all(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
-    """`docs` with held_out, lang_pred and score; the model is learned from rows that are not held out and have a language."""
+    """`docs` with held_out, lang_pred and score; the statistics are those of all rows that are not held out and have a language."""
     docs = docs.withColumn("held_out", is_held_out(doc_id))
     return identify(docs, fit(docs.where(~F.col("held_out")), text, lang), text)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -279,3 +280,46 @@ def test_language(spark, awkward, nothing):
     assert len(rows) == 14
     assert {r["lang_pred"] for r in rows if not (r["text"] or "").strip()} == {"und"}
     assert language.identify_all(nothing).count() == 0
+
+
+def brute_language(train, text):
+    """Scores by the counts of all words and n-grams of (text, lang) rows."""
+    word, gram = defaultdict(Counter), defaultdict(Counter)
+    for t, lang in train:
+        for w in language.words(t):
+            word[lang][w] += 1
+            gram[lang].update(g for order in language.ORDERS for g in language.grams(w, order))
+    langs, scores = sorted(word), {}
+    for name, counts in (("word", word), ("gram", gram)):
+        size = len(set().union(*counts.values()))
+        scores[name] = lambda x, counts=counts, size=size: np.array([np.log((counts[a][x] + 0.5) / (counts[a].total() + 0.5 * size)) for a in langs])
+    total = np.zeros(len(langs))
+    for w in language.words(text):
+        if any(word[a][w] for a in langs):
+            total += scores["word"](w)
+            continue
+        for order in language.ORDERS:
+            known = [g for g in language.grams(w, order) if any(gram[a][g] for a in langs)]
+            if known:
+                total += np.mean([scores["gram"](g) for g in known], axis=0)
+                break
+    share = np.exp(total - total.max())
+    return langs[int(np.argmax(total))], float(share.max() / share.sum())
+
+
+def test_language_keeps_all_counts(docs, monkeypatch):
+    """Results are those of the whole statistics, however few words and n-grams go to every task."""
+    rng = random.Random(9)
+    stems = {a: ["".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(60)] for a, letters in (("xa", "abcdef"), ("xb", "bcdefg"), ("xc", "cdefgh"))}
+    rows = [(i, " ".join(rng.choice(stems[a]) + rng.choice(["", "e", "dd"]) for _ in range(rng.randint(1, 6))), a) for i, a in enumerate(rng.choices(sorted(stems), k=120))]
+    rows += [(1000 + i, t, None) for i, t in enumerate(["zzz", "abba zzz", "a", rows[0][1], rows[0][1], "", "1 2"])]
+    data = docs([(i, t, a, None) for i, t, a in rows])
+    train = [(t, a) for i, t, a in rows if a and zlib.crc32(str(i).encode()) % 5]
+    for most in (60_000, 5):
+        monkeypatch.setattr(language, "HOT_WORDS", most)
+        monkeypatch.setattr(language, "HOT_GRAMS", most)
+        out = {r["doc_id"]: r for r in collected(language.identify_all(data))}
+        assert len(out) == len(rows)
+        for i, t, _ in rows:
+            expected = brute_language(train, t) if language.words(t) else ("und", 0.0)
+            assert (out[i]["lang_pred"], pytest.approx(out[i]["score"], abs=1e-9)) == expected
