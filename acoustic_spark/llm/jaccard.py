@@ -375,22 +375,24 @@ def block_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInPandas(_blocks(percent), "a long, b long").distinct()
 
 
-def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = WORDS_IN_SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and n_links for each row of docs.
+def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = WORDS_IN_SHINGLE, percent: int = PERCENT, number: str | None = None) -> DataFrame:
+    """number, doc_id, n_shingles, component_id, n_links and kept for each row of docs.
 
     A document's set is its distinct n-word shingles (all its words as one if they are
     fewer); documents link when 100 * intersection >= percent * union. component_id is the
     smallest doc_id reachable by links, n_links the links found of its set (a spanning part
     of them, copies not counted). A null text or one without words has an empty set, links
     with nothing and is its own component. Rows that repeat a doc_id count each; a null
-    doc_id comes after all others. An empty table gives an empty result; other columns are not read.
+    doc_id comes after all others. `number` names a column of row numbers that stay the same
+    when docs is read again; without it rows get numbers of their own. kept is true for one
+    row of each component, that of the smallest doc_id and then number. An empty table gives an empty result; other columns are not read.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"), (F.monotonically_increasing_id() if number is None else F.col(number)).alias("number"))
     levels = docs.sparkSession.sparkContext.broadcast(word_levels(rows))
-    numbered = rows.withColumn("number", F.monotonically_increasing_id())
-    prepared = written(numbered.mapInPandas(_prepared(levels, n, percent), SETS), "sets")
+    prepared = written(rows.mapInPandas(_prepared(levels, n, percent), SETS), "sets")
 
-    classes = prepared.where("digest is not null").groupBy("digest").agg(F.min("number").alias("number"), F.min("doc_id").alias("smallest"), F.count(F.lit(1)).alias("n_class"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("number").alias("row"))
+    classes = prepared.where("digest is not null").groupBy("digest").agg(F.min("number").alias("number"), F.min(order).alias("smallest"), F.count(F.lit(1)).alias("n_class"))
     classes = written(classes, "classes")
     first = prepared.select("number", "n_shingles", "signatures").join(classes.select("number"), "number", "left_semi")
     postings = first.select("number", F.explode("signatures").alias("signature"))
@@ -430,9 +432,9 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     degree = links.select(F.col("a").alias("number")).union(links.select("b")).groupBy("number").agg(F.count(F.lit(1)).alias("n_links"))
     each = classes.join(found.withColumnRenamed("node", "number"), "number", "left").withColumn("component", F.coalesce("component", "number"))
     each = each.join(degree, "number", "left").na.fill({"n_links": 0})
-    ids = each.groupBy("component").agg(F.min("smallest").alias("component_id"))
-    each = each.join(ids, "component").select("digest", "component_id", "n_class", "n_links")
-    narrow = prepared.select("doc_id", "n_shingles", "digest")
+    ids = each.groupBy("component").agg(F.min("smallest").alias("best"))
+    each = each.join(ids, "component").select("digest", F.col("best.id").alias("component_id"), F.col("best.row").alias("kept_row"), "n_class", "n_links")
+    narrow = prepared.select("number", "doc_id", "n_shingles", "digest")
     linked = join_counted(narrow.where("digest is not null"), each, "digest", "n_class", prepared.count())
-    alone = narrow.where("digest is null").withColumns({"component_id": F.col("doc_id"), "n_class": F.lit(1).cast("long"), "n_links": F.lit(0).cast("long")})
-    return linked.unionByName(alone).select("doc_id", "n_shingles", "component_id", "n_links")
+    alone = narrow.where("digest is null").withColumns({"component_id": F.col("doc_id"), "kept_row": F.col("number"), "n_class": F.lit(1).cast("long"), "n_links": F.lit(0).cast("long")})
+    return linked.unionByName(alone).select("number", "doc_id", "n_shingles", "component_id", "n_links", (F.col("number") == F.col("kept_row")).alias("kept"))

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from acoustic_spark.llm import bpe, exact_dedup, jaccard, language, mixing
-from acoustic_spark.llm.common import written
+from acoustic_spark.llm.common import fresh, written
 from acoustic_spark.workspace import ship_package
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -35,10 +35,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of linked documents."""
+    """Keeps one document of each group of linked documents: the smallest id, nulls last, and one row of a repeated id."""
     ship_package(spark)
-    dropped = jaccard.join_similar(docs, n=NEAR_WORDS, percent=NEAR_PERCENT).where("doc_id <> component_id").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    row = fresh(docs, "row")[0]
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    dropped = jaccard.join_similar(numbered, n=NEAR_WORDS, percent=NEAR_PERCENT, number=row).where("not kept").select(F.col("number").alias(row))
+    return numbered.join(dropped, row, "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
