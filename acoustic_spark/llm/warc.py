@@ -160,12 +160,10 @@ class Inflated:
                 self.plain += got
                 return True
 
-    def until(self, mark: bytes, most: int = 1 << 20) -> bytes | None:
-        """Bytes up to and with `mark`; None at the end of the stream."""
+    def until(self, mark: bytes) -> bytes | None:
+        """Bytes up to and with `mark`, however many; None at the end of the stream."""
         at = self.plain.find(mark)
         while at < 0:
-            if len(self.plain) > most:
-                raise ValueError("record head is too long")
             seen = max(0, len(self.plain) - len(mark))
             if not self._more():
                 if self.plain:
