@@ -152,7 +152,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id
     `every`. Ties go to the smaller id. Vectors that are null or empty or hold a null or
     non-finite component take no part, nor do rows without an id. Only vectors of equal
     length meet. A row with the query's own id is not its candidate; an id that repeats
-    with other rows counts once, by its best score. Other columns are not read; an empty
+    with other rows counts once, by its best score, and as a query all its vectors are
+    tried, each candidate by its best score with any of them. Other columns are not read; an empty
     table gives an empty result.
 
     Queries go out in blocks of QUERY_BLOCK, which bounds what a task or the driver holds;
@@ -160,16 +161,19 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, vec_id: str = "vec_id
     """
     spark = vectors.sparkSession
     whole = vectors.where(valid(embedding) & F.col(vec_id).isNotNull()).select(F.col(vec_id).cast("long").alias("vec_id"), scaled(embedding).alias("v"))
-    queries = whole.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
+    queries = whole.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"])
     schema = "query_id long, vec_id long, score long"
     found = spark.createDataFrame([], schema)
     last = None
     while True:
-        block = queries if last is None else queries.where(F.col("vec_id") > last)
-        block = block.orderBy("vec_id").limit(QUERY_BLOCK).collect()
+        block = queries
+        if last is not None:
+            v = F.array(*[F.lit(x).cast("long") for x in last["v"]])
+            block = queries.where((F.col("vec_id") > last["vec_id"]) | (F.col("vec_id") == last["vec_id"]) & (F.col("v") > v))
+        block = block.orderBy("vec_id", "v").limit(QUERY_BLOCK).collect()
         if not block:
             break
-        last = block[-1]["vec_id"]
+        last = block[-1]
         by_length: dict[int, tuple[list, list]] = {}
         for row in block:
             ids, rows = by_length.setdefault(len(row["v"]), ([], []))
