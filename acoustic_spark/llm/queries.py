@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acoustic_spark.llm import bpe, credentials, exact_dedup, html_template, jaccard, language, mixing, repeats, topk, warc
+from acoustic_spark.llm import bpe, credentials, exact_dedup, html_template, jaccard, language, line_hash, mixing, prefix_trie, repeats, topk, warc, whitening
 from acoustic_spark.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
@@ -196,3 +196,80 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return done.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+_OP12 = rf"""
+WITH l AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
+),
+e AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key FROM l
+),
+k AS (
+  SELECT line_key, max(doc_id) AS last FROM e WHERE length(line_key) >= {line_hash.LEAST_CHARS}
+  GROUP BY line_key HAVING count(DISTINCT doc_id) >= {line_hash.LEAST_DOCS}
+),
+f AS (SELECT e.*, k.last IS NOT NULL AND e.doc_id <> k.last AS gone FROM e LEFT JOIN k ON k.line_key = e.line_key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM f GROUP BY doc_id
+"""
+
+
+@query("op12_line_hash", _OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_hash.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+_OP13 = f"""
+WITH crc AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)
+),
+own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) - 1 AS r
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+c AS (
+  SELECT conv_id, conv_id - conv_id % {prefix_trie.FAMILY} AS family, xor(list_reduce(
+    list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), 4294967295) % {prefix_trie.HEADS} AS h
+  FROM (SELECT DISTINCT conv_id FROM own), crc
+),
+turns AS (
+  SELECT c.conv_id, r, role, text FROM c JOIN own ON own.conv_id = c.family AND r < h
+  UNION ALL SELECT c.conv_id, r, role, text FROM c JOIN own ON own.conv_id = c.conv_id AND r >= h
+),
+seq AS (
+  SELECT conv_id, list(sha256(length(role) || ':' || role || text) ORDER BY r) FILTER (r IS NOT NULL) AS k, list(length(text) ORDER BY r) AS n
+  FROM c LEFT JOIN turns USING (conv_id) GROUP BY conv_id
+),
+m AS (
+  SELECT conv_id, d, k[1:d] AS p, d = len(k) AS ends, CASE WHEN d > 0 THEN n[d] ELSE 0 END AS chars
+  FROM (SELECT conv_id, coalesce(k, []) AS k, n, unnest(range(0, coalesce(len(k), 0) + 1)) AS d FROM seq)
+),
+node AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM m GROUP BY p, d
+),
+kids AS (SELECT p[1 : d - 1] AS p, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+below AS (
+  SELECT p[1:a] AS p, sum((n_convs - 1) * chars) AS saved, count(*) FILTER (n_children IS NULL) AS n_leaves
+  FROM (SELECT node.*, n_children, unnest(range(0, d + 1)) AS a FROM node LEFT JOIN kids USING (p)) GROUP BY ALL
+)
+SELECT node.conv_id, node.d AS depth, up.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved::BIGINT AS saved_tokens, node.ends_sha256
+FROM node JOIN below ON below.p = node.p LEFT JOIN kids ON kids.p = node.p LEFT JOIN node up ON node.d > 0 AND up.p = node.p[1 : node.d - 1]
+"""
+
+
+@query("op13_prefix_trie", _OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))

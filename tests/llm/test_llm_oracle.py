@@ -24,7 +24,7 @@ def test_query(spark, name):
     assert len(found)
     if name in queries.SQL:
         con = duckdb.connect()
-        for table in ("documents", "pages", "embeddings"):
+        for table in ("documents", "pages", "embeddings", "conversations"):
             con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
         expected = con.execute(queries.SQL[name]).df()
         assert sorted(found.columns) == sorted(expected.columns)
