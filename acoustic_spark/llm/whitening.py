@@ -23,6 +23,8 @@ SCALE, SHIFT, LARGEST = 64, 1_000_000, float(1 << 40)
 COMPONENTS = 16
 #: Vectors of a stored block.
 BLOCK = 4096
+#: Groups in which the tasks' sums are added up; so many come to the driver.
+SLOTS = 32
 #: Approximations kept besides the wanted ones, steps of MINRES for a correction, and its wanted reduction.
 EXTRA, INNER, REDUCED = 4, 6, 0.01
 #: Residuals, relative to the largest eigenvalue, that count as rounding; eigenvalues that count as zero.
@@ -76,7 +78,7 @@ class Centre:
 
 
 def total(blocks: DataFrame, centre: Centre, of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-    """Sum of a flat array over all blocks of centred vectors: added up within tasks, then between them by place."""
+    """Sum of a flat array over all blocks of centred vectors: added up within tasks, then in SLOTS groups of tasks, then here."""
     dims = len(centre.whole)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,9 +90,13 @@ def total(blocks: DataFrame, centre: Centre, of: Callable[[np.ndarray], np.ndarr
         if out is not None:
             yield pa.RecordBatch.from_arrays([pa.array([out.tolist()], pa.list_(pa.float64()))], names=["part"])
 
-    parts = blocks.mapInArrow(run, "part array<double>").select(F.posexplode("part").alias("at", "v"))
-    rows = parts.groupBy("at").agg(F.sum("v").alias("v")).collect()
-    return np.array([r["v"] for r in sorted(rows, key=lambda r: r["at"])])
+    def summed(group: pa.Table) -> pa.Table:
+        parts = group["part"].combine_chunks().flatten().to_numpy().reshape(group.num_rows, -1)
+        return pa.table({"part": pa.array([parts.sum(axis=0).tolist()], pa.list_(pa.float64()))})
+
+    parts = blocks.mapInArrow(run, "part array<double>").withColumn("slot", F.spark_partition_id() % SLOTS)
+    rows = parts.groupBy("slot").applyInArrow(summed, "part array<double>").collect()
+    return np.sum([r["part"] for r in rows], axis=0)
 
 
 def minres(apply: Product, rhs: np.ndarray, steps: int, reduced: float) -> np.ndarray:
