@@ -81,7 +81,7 @@ def repeat_filter(hashes: DataFrame, columns: list[str], n_rows: int) -> DataFra
     """First pass of the two-pass Bloom filter: bitmaps of the slots that two or more rows set.
 
     Each of `columns` (independent 64-bit hashes of the value) sets one slot a row. The
-    result (bucket, bits) has at most filter_bits(n_rows) / 32768 rows of 4 KB.
+    result (bucket, bits) has at most filter_bits(n_rows) / 32768 rows of 4 KB for each column.
     """
     bits = filter_bits(n_rows)
     slots = hashes.select(F.explode(F.array(*[F.col(c).bitwiseAND(F.lit(bits - 1)) + F.lit(i * bits) for i, c in enumerate(columns)])).alias("slot"))
@@ -102,13 +102,15 @@ def maybe_repeated(df: DataFrame, bitmaps: DataFrame, columns: list[str], n_rows
     """Second pass: df with `flag`, true if every slot of the row is one that two or more rows set.
 
     A row whose value another row has is always flagged; a row of a single value rarely.
-    The bitmaps are broadcast; their size is bounded by MAX_FILTER_BITS.
+    Each column's bitmaps are broadcast, MAX_FILTER_BITS at most (128 MB). Beyond MAX_FILTER_BITS / 16
+    rows the slots fill up and more rows of single values are flagged, which costs their shuffle but no result.
     """
     bits = filter_bits(n_rows)
     flags = []
     for i, c in enumerate(columns):
         bucket, found, slot = fresh(df, f"bucket{i}", f"bits{i}", f"slot{i}")
-        side = F.broadcast(bitmaps.select(F.col("bucket").alias(bucket), F.col("bits").alias(found)))
+        of_column = F.col("bucket").between(i * bits // BITMAP_BITS + 1, (i + 1) * bits // BITMAP_BITS)
+        side = F.broadcast(bitmaps.where(of_column).select(F.col("bucket").alias(bucket), F.col("bits").alias(found)))
         df = df.withColumn(slot, F.col(c).bitwiseAND(F.lit(bits - 1)) + F.lit(i * bits + 1))
         df = df.join(side, F.bitmap_bucket_number(slot) == F.col(bucket), "left")
         df = df.withColumn(slot, bit_set(F.col(found), F.bitmap_bit_position(slot))).drop(bucket, found)

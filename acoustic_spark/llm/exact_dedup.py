@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from acoustic_spark.llm.common import SPACE, fresh, join_counted, maybe_repeated, repeat_filter, text_or_empty
+from acoustic_spark.llm.common import SPACE, fresh, join_counted, maybe_repeated, repeat_filter, text_or_empty, written
 
 
 def mark_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -24,18 +24,20 @@ def mark_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     """
     added = ["keep_id", "group_size", "kept", "text_sha256"]
     docs = docs.drop(*added) if text not in added and doc_id not in added else docs
-    h1, h2, order, flag, best = fresh(docs, "h1", "h2", "order", "flag", "best")
+    h1, h2, row, order, flag, best = fresh(docs, "h1", "h2", "row", "order", "flag", "best")
+    # Written once: texts are hashed a single time, and a row keeps its number whatever is lost later.
     hashed = docs.withColumn("text_sha256", F.sha2(F.regexp_replace(text_or_empty(text), SPACE, " "), 256))
+    hashed = written(hashed.withColumn(row, F.monotonically_increasing_id()), "hashed")
     hashed = hashed.withColumns({h1: F.xxhash64("text_sha256"), h2: F.xxhash64(F.lit(1), "text_sha256")})
-    n_rows = docs.count()
-    bitmaps = repeat_filter(hashed.select(h1, h2), [h1, h2], n_rows)
+    n_rows = hashed.count()
+    bitmaps = written(repeat_filter(hashed.select(h1, h2), [h1, h2], n_rows), "bitmaps")
     flagged = maybe_repeated(hashed, bitmaps, [h1, h2], n_rows, flag).drop(h1, h2)
 
-    single = flagged.where(~F.col(flag)).drop(flag)
+    single = flagged.where(~F.col(flag)).drop(flag, row)
     single = single.withColumns({"keep_id": F.col(doc_id), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)})
 
     many = flagged.where(F.col(flag)).drop(flag)
-    many = many.withColumn(order, F.struct(F.col(doc_id).isNull().alias("last"), F.col(doc_id).alias("id"), F.monotonically_increasing_id().alias("row")))
+    many = many.withColumn(order, F.struct(F.col(doc_id).isNull().alias("last"), F.col(doc_id).alias("id"), F.col(row).alias("row"))).drop(row)
     groups = many.groupBy("text_sha256").agg(F.count(F.lit(1)).alias("group_size"), F.min(order).alias(best))
     joined = join_counted(many, groups, "text_sha256", "group_size", n_rows)
     joined = joined.withColumns({"keep_id": F.col(f"{best}.id"), "kept": F.col(order) == F.col(best)}).drop(order, best)
