@@ -40,16 +40,17 @@ def assign_types(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
     Only rows whose digest two or more rows may have are shuffled.
     """
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), text_or_empty(html).alias("html"))
-    rows = rows.withColumn("sha1", F.sha1(F.col("html").cast("binary")))
-    rows = rows.withColumns({"h1": F.xxhash64("sha1"), "h2": F.xxhash64(F.lit(1), "sha1")})
-    n_rows = pages.count()
-    flagged = maybe_repeated(rows, repeat_filter(rows.select("h1", "h2"), ["h1", "h2"], n_rows), ["h1", "h2"], n_rows, "flag")
+    rows = rows.withColumns({"sha1": F.sha1(F.col("html").cast("binary")), "row": F.monotonically_increasing_id()})
+    rows = written(rows, "hashed").withColumns({"h1": F.xxhash64("sha1"), "h2": F.xxhash64(F.lit(1), "sha1")})
+    n_rows = rows.count()
+    bitmaps = written(repeat_filter(rows.select("h1", "h2"), ["h1", "h2"], n_rows), "bitmaps")
+    flagged = maybe_repeated(rows, bitmaps, ["h1", "h2"], n_rows, "flag")
     flagged = flagged.drop("h1", "h2").withColumn("flag", F.col("flag") & (F.octet_length("html") >= least))
     none = F.lit(None).cast("long")
-    single = flagged.where(~F.col("flag")).drop("flag").withColumns({"record_type": F.lit("response"), "refers_to": none})
+    single = flagged.where(~F.col("flag")).drop("flag", "row").withColumns({"record_type": F.lit("response"), "refers_to": none})
 
     many = flagged.where("flag").drop("flag")
-    many = many.withColumn("order", F.struct(F.col("page_id").isNull().alias("last"), F.col("page_id").alias("id"), F.monotonically_increasing_id().alias("row")))
+    many = many.withColumn("order", F.struct(F.col("page_id").isNull().alias("last"), F.col("page_id").alias("id"), "row")).drop("row")
     groups = many.groupBy("sha1").agg(F.count(F.lit(1)).alias("n"), F.min("order").alias("best"))
     joined = join_counted(many, groups, "sha1", "n", n_rows)
     first = F.col("order") == F.col("best")
