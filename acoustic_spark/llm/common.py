@@ -40,7 +40,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes the folders of written tables that nothing reads any more."""
+    for table in tables:
+        jvm, session = table.sparkSession._jvm, table.sparkSession._jsparkSession
+        path = jvm.org.apache.hadoop.fs.Path(table.written_at)
+        path.getFileSystem(session.sessionState().newHadoopConf()).delete(path, True)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from acoustic_spark.llm.common import written
+from acoustic_spark.llm.common import discard, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,6 +23,10 @@ def components(links: DataFrame) -> DataFrame:
         root = labels.select(F.col("node").alias("component"), F.col("component").alias("root"))
         jumped = written(lower.join(root, "component").select("node", "was", F.least("component", "root").alias("component")), "labels")
         moved = jumped.where("component <> was").limit(1).count()
-        labels = jumped.select("node", "component")
+        discard(labels)
+        labels = jumped
         if not moved:
-            return labels
+            discard(edges)
+            found = labels.select("node", "component")
+            found.written_at = labels.written_at
+            return found

@@ -24,7 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from acoustic_spark.llm.common import join_counted, text_or_empty, written
+from acoustic_spark.llm.common import discard, join_counted, text_or_empty, written
 from acoustic_spark.llm.components import components
 
 #: Words of a shingle and wanted similarity where a caller names no others.
@@ -419,15 +419,24 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
         more = written(verify(candidates, sets, n, percent), "links")
         if more.limit(1).count():
             links = links.union(more)
+            discard(found)
             found = components(links)
 
-    extend(separate(pairs.join(nearest, ["a", "b"], "left_anti")))
+    across = separate(pairs.join(nearest, ["a", "b"], "left_anti"))
+    extend(across)
+    discard(pairs, nearest)
 
-    # Signatures whose sets are in different components yet.
+    # Signatures whose sets are in different components yet. Of those that have the same sets only one is looked at:
+    # long texts that are almost similar share hundreds.
     labelled = shared.join(found.withColumnRenamed("node", "number"), "number", "left").withColumn("component", F.coalesce("component", "number"))
-    mixed = labelled.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("signature")
+    members = [F.bit_xor(F.xxhash64(F.lit(seed), "number")).alias(f"members{seed}") for seed in (1, 2)]
+    mixed = labelled.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"), *members).where("low < high")
+    mixed = mixed.groupBy("n", "members1", "members2").agg(F.min("signature").alias("signature")).select("signature")
     open_ = written(labelled.join(mixed, "signature").select("signature", "number", "component"), "open")
-    extend(written(block_pairs(open_, sets, percent), "across"))
+    discard(stars)
+    across = written(block_pairs(open_, sets, percent), "across")
+    extend(across)
+    discard(open_, across, sets)
 
     degree = links.select(F.col("a").alias("number")).union(links.select("b")).groupBy("number").agg(F.count(F.lit(1)).alias("n_links"))
     each = classes.join(found.withColumnRenamed("node", "number"), "number", "left").withColumn("component", F.coalesce("component", "number"))
@@ -437,4 +446,7 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     narrow = prepared.select("number", "doc_id", "n_shingles", "digest")
     linked = join_counted(narrow.where("digest is not null"), each, "digest", "n_class", prepared.count())
     alone = narrow.where("digest is null").withColumns({"component_id": F.col("doc_id"), "kept_row": F.col("number"), "n_class": F.lit(1).cast("long"), "n_links": F.lit(0).cast("long")})
-    return linked.unionByName(alone).select("number", "doc_id", "n_shingles", "component_id", "n_links", (F.col("number") == F.col("kept_row")).alias("kept"))
+    done = linked.unionByName(alone).select("number", "doc_id", "n_shingles", "component_id", "n_links", (F.col("number") == F.col("kept_row")).alias("kept"))
+    done = written(done, "linked")
+    discard(prepared, classes)
+    return done
