@@ -295,17 +295,25 @@ def _near(percent: int) -> object:
     return run
 
 
+def near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of set numbers for which sizes and bitmaps leave room; `sets` has number, n_shingles and bits."""
+    small_a = sets.select(F.col("number").alias("a"), F.col("n_shingles").alias("n_a"), F.col("bits").alias("bits_a"))
+    small_b = sets.select(F.col("number").alias("b"), F.col("n_shingles").alias("n_b"), F.col("bits").alias("bits_b"))
+    return pairs.join(small_a, "a").join(small_b, "b").mapInPandas(_near(percent), "a long, b long")
+
+
 def verify(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of set numbers that are similar enough; `sets` has number, n_shingles, bits and packed.
+    """A written table of the pairs (a, b) that are similar enough; `sets` has number and packed.
 
-    Sizes and bitmaps are looked at first, texts only of pairs that these leave.
+    Only texts of these pairs are moved.
     """
-    small_a = sets.select(F.col("number").alias("a"), F.col("n_shingles").alias("n_a"), F.col("bits").alias("bits_a"))
-    small_b = sets.select(F.col("number").alias("b"), F.col("n_shingles").alias("n_b"), F.col("bits").alias("bits_b"))
-    near = pairs.join(small_a, "a").join(small_b, "b").mapInPandas(_near(percent), "a long, b long")
-    left = sets.select(F.col("number").alias("a"), F.col("packed").alias("packed_a"))
-    right = sets.select(F.col("number").alias("b"), F.col("packed").alias("packed_b"))
-    return near.join(left, "a").join(right, "b").mapInPandas(_verified(n, percent), "a long, b long")
+    involved = pairs.select(F.col("a").alias("number")).union(pairs.select("b")).distinct()
+    texts = written(sets.select("number", "packed").join(involved, "number", "left_semi"), "texts")
+    left = texts.select(F.col("number").alias("a"), F.col("packed").alias("packed_a"))
+    right = texts.select(F.col("number").alias("b"), F.col("packed").alias("packed_b"))
+    links = written(pairs.join(left, "a").join(right, "b").mapInPandas(_verified(n, percent), "a long, b long"), "links")
+    discard(texts)
+    return links
 
 
 class _Rows:
@@ -394,17 +402,18 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("number").alias("row"))
     classes = prepared.where("digest is not null").groupBy("digest").agg(F.min("number").alias("number"), F.min(order).alias("smallest"), F.count(F.lit(1)).alias("n_class"))
     classes = written(classes, "classes")
-    first = prepared.select("number", "n_shingles", "signatures").join(classes.select("number"), "number", "left_semi")
+    # Of equal sets the first one stands for all; the list of the others is shorter than that of the first ones.
+    repeated = classes.where("n_class > 1").select("digest", F.col("number").alias("stands"))
+    copies = prepared.select("number", "digest").join(repeated, "digest").where("number <> stands").select("number")
+    first = prepared.where("digest is not null").select("number", "signatures").join(copies, "number", "left_anti")
     postings = first.select("number", F.explode("signatures").alias("signature"))
     grouped = postings.repartition("signature").sortWithinPartitions("signature", "number")
     stars = written(grouped.mapInPandas(_stars, "signature long, a long, b long"), "stars")
 
-    pairs = written(stars.where("b >= 0").select("a", "b").distinct(), "pairs")
+    pairs = written(near(stars.where("b >= 0").select("a", "b").distinct(), prepared, percent), "pairs")
     shared = stars.where("b < 0").select("signature", F.col("a").alias("number"))
-    involved = pairs.select(F.col("a").alias("number")).union(pairs.select("b")).distinct()
-    sets = written(prepared.select("number", "n_shingles", "bits", "packed").join(involved, "number", "left_semi"), "involved")
     nearest = written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "nearest")
-    links = written(verify(nearest, sets, n, percent), "links")
+    links = verify(nearest, prepared, n, percent)
     found = components(links)
 
     def separate(candidates: DataFrame) -> DataFrame:
@@ -416,15 +425,15 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
 
     def extend(candidates: DataFrame) -> None:
         nonlocal links, found
-        more = written(verify(candidates, sets, n, percent), "links")
+        more = verify(candidates, prepared, n, percent)
         if more.limit(1).count():
             links = links.union(more)
             discard(found)
             found = components(links)
 
-    across = separate(pairs.join(nearest, ["a", "b"], "left_anti"))
-    extend(across)
-    discard(pairs, nearest)
+    others = written(separate(pairs.join(nearest, ["a", "b"], "left_anti")), "others")
+    extend(others)
+    discard(pairs, nearest, others)
 
     # Signatures whose sets are in different components yet. Of those that have the same sets only one is looked at:
     # long texts that are almost similar share hundreds.
@@ -434,9 +443,9 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     mixed = mixed.groupBy("n", "members1", "members2").agg(F.min("signature").alias("signature")).select("signature")
     open_ = written(labelled.join(mixed, "signature").select("signature", "number", "component"), "open")
     discard(stars)
-    across = written(block_pairs(open_, sets, percent), "across")
+    across = written(block_pairs(open_, prepared, percent), "across")
     extend(across)
-    discard(open_, across, sets)
+    discard(open_, across)
 
     degree = links.select(F.col("a").alias("number")).union(links.select("b")).groupBy("number").agg(F.count(F.lit(1)).alias("n_links"))
     each = classes.join(found.withColumnRenamed("node", "number"), "number", "left").withColumn("component", F.coalesce("component", "number"))

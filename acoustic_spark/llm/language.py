@@ -16,9 +16,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from acoustic_spark.llm.common import fresh, join_counted, text_or_empty, written
+from acoustic_spark.llm.common import discard, fresh, join_counted, text_or_empty, written
 
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = re.compile(r"[^\W\d_]+")  # and numbers that are no digits, which `words` leaves out
+#: Different words for each task that counts their n-grams.
+WORDS_A_TASK = 50_000
 #: Lengths of character n-grams, longest first; a word is taken with a mark at both ends.
 ORDERS = (5, 4, 3, 2, 1)
 #: The most frequent words and n-grams go to every task. This bounds the broadcast only: all
@@ -31,7 +33,11 @@ SMOOTHING = 0.5
 
 
 def words(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    """Runs of letters, in lower case."""
+    found = LETTERS.findall(text.lower())
+    if text.isascii():
+        return found
+    return [x for w in found for x in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
 
 
 def grams(word: str, order: int) -> list[str]:
@@ -132,11 +138,13 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Statistics:
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), text_or_empty(text).alias("text"))
     counts = rows.mapInPandas(_count_words, "lang string, word string, n long")
     counts = written(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
-    gram_counts = written(counts.mapInPandas(_count_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    tasks = 1 + counts.count() // WORDS_A_TASK
+    gram_counts = written(counts.repartition(tasks, "word").mapInPandas(_count_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     gram_totals = {r["lang"]: r["n"] for r in gram_counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
     whole, pieces = _table(counts, "word", languages), _table(gram_counts, "gram", languages)
+    discard(counts, gram_counts)
     n_words, n_grams = whole.count(), pieces.count()
     sizes = [totals[lang] + SMOOTHING * max(1, n_words) for lang in languages]
     gram_sizes = [gram_totals[lang] + SMOOTHING * max(1, n_grams) for lang in languages]
@@ -156,8 +164,11 @@ def _summed(scores: str, times: str, n: int) -> list[F.Column]:
     return [F.sum(F.col(scores)[i] * F.col(times)).alias(f"s{i}") for i in range(n)]
 
 
-def _backoff(unknown: DataFrame, model: Statistics, shared) -> DataFrame:
-    """item, n_rows and scores of words (item, n_rows) without a count: the mean of their longest known n-grams. Words without any are left out."""
+def _backoff(unknown: DataFrame, model: Statistics, shared) -> tuple[DataFrame, DataFrame]:
+    """item, n_rows and scores of words (item, n_rows) without a count: the mean of their longest known n-grams. Words without any are left out.
+
+    Also the written table that this reads.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -171,7 +182,7 @@ def _backoff(unknown: DataFrame, model: Statistics, shared) -> DataFrame:
     by_order = found.groupBy("word", "order").agg(F.max("n_rows").alias("n_rows"), F.sum("times").alias("times"), *_summed("scores", "times", n))
     scores = F.array(*[F.col(f"s{i}") / F.col("times") for i in range(n)])
     longest = by_order.groupBy("word").agg(F.max("n_rows").alias("n_rows"), F.max_by(scores, "order").alias("scores"))
-    return longest.select(F.col("word").alias("item"), "n_rows", "scores")
+    return longest.select(F.col("word").alias("item"), "n_rows", "scores"), pieces
 
 
 def identify(docs: DataFrame, model: Statistics, text: str = "text") -> DataFrame:
@@ -203,9 +214,10 @@ def identify(docs: DataFrame, model: Statistics, text: str = "text") -> DataFram
     seen = written(cold.groupBy("item").agg(F.count(F.lit(1)).alias("n_rows")), "seen")
     table = model.words.select("item", "counts")
     known = seen.join(table, "item").select("item", "n_rows", _scores("counts", model.word_sizes).alias("scores"))
-    rest = _backoff(seen.join(table.select("item"), "item", "left_anti"), model, shared)
+    rest, pieces = _backoff(seen.join(table.select("item"), "item", "left_anti"), model, shared)
     vectors = written(known.unionByName(rest), "vectors")
     n_cold = seen.agg(F.sum("n_rows")).first()[0] or 0
+    discard(pieces, seen)
     added = join_counted(cold, vectors, "item", "n_rows", n_cold).groupBy("key").agg(*_summed("scores", "n", n))
 
     # Rows of equal texts have one key: what their words add comes once for each of them.
@@ -217,11 +229,16 @@ def identify(docs: DataFrame, model: Statistics, text: str = "text") -> DataFram
     share = 1 / F.aggregate("totals", F.lit(0.0), lambda acc, x: acc + F.exp(x - F.col("top")))
     key, copies, lang, score = fresh(docs, "key", "copies", "lang", "score")
     found = whole.select(F.col("key").alias(key), F.col("copies").alias(copies), F.when(F.col("worded"), best).otherwise(UNKNOWN).alias(lang), F.when(F.col("worded"), share).otherwise(0.0).alias(score))
-    out = join_counted(docs.withColumn(key, digest), written(found, "found"), key, copies, parts.count())
+    found, n_rows = written(found, "found"), parts.count()
+    discard(parts, vectors)
+    out = join_counted(docs.withColumn(key, digest), found, key, copies, n_rows)
     return out.select(*keep, F.col(lang).alias("lang_pred"), F.col(score).alias("score"))
 
 
 def identify_all(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
     """`docs` with held_out, lang_pred and score; the statistics are those of all rows that are not held out and have a language."""
     docs = docs.withColumn("held_out", is_held_out(doc_id))
-    return identify(docs, fit(docs.where(~F.col("held_out")), text, lang), text)
+    model = fit(docs.where(~F.col("held_out")), text, lang)
+    done = identify(docs, model, text)
+    discard(model.words, model.grams)
+    return done

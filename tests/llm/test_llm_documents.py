@@ -323,3 +323,10 @@ def test_language_keeps_all_counts(docs, monkeypatch):
         for i, t, _ in rows:
             expected = brute_language(train, t) if language.words(t) else ("und", 0.0)
             assert (out[i]["lang_pred"], pytest.approx(out[i]["score"], abs=1e-9)) == expected
+
+
+def test_numbers_are_no_letters(docs):
+    assert language.words("Straße² ½ ①Ⅷ x²y 𝛼1b") == ["straße", "x", "y", "𝛼", "b"]
+    rows = [(i, t, lang, None) for i, (t, lang) in enumerate([("the cat", "en"), ("der Hund", "de"), ("² ½", "en"), ("Ⅷ", "de"), ("① 7", None)] * 4)]
+    out = collected(language.identify_all(docs(rows)))
+    assert {r["lang_pred"] for r in out if r["doc_id"] % 5 > 1} == {"und"} and {r["score"] for r in out if r["doc_id"] % 5 > 1} == {0.0}
