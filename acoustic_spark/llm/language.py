@@ -35,7 +35,7 @@ SMOOTHING = 0.5
 def words(text: str) -> list[str]:
     """Runs of letters, in lower case."""
     found = LETTERS.findall(text.lower())
-    if text.isascii():
+    if text.isascii() or "".join(found).isalpha():
         return found
     return [x for w in found for x in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
 
@@ -93,17 +93,6 @@ class Hot:
                 return
 
 
-def _counted(rows: Iterator[tuple[str, str, int]], kind: str) -> Iterator[pd.DataFrame]:
-    """Sums of (language, item, n), passed on whenever HELD different ones have come together."""
-    held: Counter = Counter()
-    for lang, item, n in rows:
-        held[lang, item] += n
-        if len(held) >= HELD:
-            yield pd.DataFrame([(a, b, c) for (a, b), c in held.items()], columns=["lang", kind, "n"])
-            held.clear()
-    yield pd.DataFrame([(a, b, c) for (a, b), c in held.items()], columns=["lang", kind, "n"])
-
-
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held: dict[str, Counter] = {}
     for batch in batches:
@@ -116,8 +105,17 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    rows = ((lang, g, n) for batch in batches for lang, word, n in zip(batch["lang"], batch["word"], batch["n"]) for order in ORDERS for g in grams(word, order))
-    yield from _counted(rows, "gram")
+    held: dict[str, dict[str, int]] = {}
+    for batch in batches:
+        for at, (lang, word, n) in enumerate(zip(batch["lang"], batch["word"], batch["n"])):
+            each = held.setdefault(lang, {})
+            for order in ORDERS:
+                for gram in grams(word, order):
+                    each[gram] = each.get(gram, 0) + n
+            if at % 1000 == 0 and sum(map(len, held.values())) >= HELD:
+                yield pd.DataFrame([(a, g, c) for a, some in held.items() for g, c in some.items()], columns=["lang", "gram", "n"])
+                held = {}
+    yield pd.DataFrame([(a, g, c) for a, some in held.items() for g, c in some.items()], columns=["lang", "gram", "n"])
 
 
 def _table(counts: DataFrame, item: str, languages: list[str]) -> DataFrame:
