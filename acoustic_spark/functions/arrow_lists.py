@@ -16,11 +16,17 @@ def _lists(sizes, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), values)
 
 
-def list_rows(column: pa.Array) -> Iterator[np.ndarray]:
-    """Every list of a column as doubles, one at a time (null as empty)."""
+def raw_rows(column: pa.Array) -> Iterator[np.ndarray]:
+    """Every list of a column as a view of its values, whatever their type (null as empty)."""
     values, offsets = np.asarray(column.values), np.asarray(column.offsets)
     for start, end, valid in zip(offsets[:-1], offsets[1:], np.asarray(column.is_valid())):
-        yield values[start : end if valid else start].astype(np.float64)
+        yield values[start : end if valid else start]
+
+
+def list_rows(column: pa.Array) -> Iterator[np.ndarray]:
+    """Every list of a column as doubles, one at a time (null as empty)."""
+    for values in raw_rows(column):
+        yield values.astype(np.float64)
 
 
 def matrix_rows(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -57,28 +57,16 @@ def frame_arrays(clips: DataFrame, samples: str, window: int, hop: int) -> DataF
     )
 
 
-def patch_rows(features: DataFrame, keys: Sequence[str], patch_frames: int, bands: int) -> DataFrame:
-    """Group feature rows (key, example, frame, band, v) into patches; an incomplete last patch is left out.
-
-    The patch is a row-major array of `patch_frames * bands` values.
-    """
-    cell = (F.col("frame") % patch_frames) * bands + F.col("band")
-    return (
-        features.groupBy(*keys, "example")
-        .agg(F.array_sort(F.collect_list(F.struct(cell.alias("cell"), F.col("v")))).alias("_cells"))
-        .filter(F.size("_cells") == patch_frames * bands)
-        .select(*keys, "example", F.col("_cells.v").alias("patch"))
-    )
-
-
-def patch_clips(series: DataFrame, keys: Sequence[str], cfg: FeatureConfig) -> DataFrame:
+def patch_clips(series: DataFrame, keys: Sequence[str], cfg: FeatureConfig, whole: bool = True) -> DataFrame:
     """Cut a series of any length into one sample array per patch, with the overlap it needs.
 
     A sample goes to the one or two patches whose windows read it, so the shuffle
     moves the data about once, and the arrays hold `cfg.patch_samples` values
-    however long the series is. Everything after this step is row by row.
+    however long the series is. Everything after this step is row by row. Without `whole`
+    there is a last, shorter array for the frames that fill no patch.
     """
-    n_patches = F.floor(frame_count(F.col("n"), cfg.window, cfg.hop) / cfg.patch_frames)
+    patches = frame_count(F.col("n"), cfg.window, cfg.hop) / cfg.patch_frames
+    n_patches = F.floor(patches) if whole else F.ceil(patches)
     rows = explode_range(
         series,
         "example",

@@ -1,35 +1,29 @@
-"""Magnitude spectrum, mel filter bank and log-mel features, in a join form and an Arrow form."""
+"""Magnitude spectrum, mel filter bank, log-mel features and patches.
+
+There is one form for all sizes. The windows of the clips of an Arrow batch are stacked into blocks,
+whichever clip they come from, and a block is transformed at once; what is held besides
+samples and results is one block, however long a clip is. A long series is cut into
+one array per patch first, so it takes the same path.
+"""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from acoustic_spark.config import MEL_BREAK_HZ, MEL_Q, FeatureConfig
-from acoustic_spark.functions.arrow_lists import ARROW_TYPES, list_rows, nested
-from acoustic_spark.functions.spectral import hertz_to_mel, periodic_hann
-from acoustic_spark.operators.frames import frame_rows, patch_rows
-
-# The join form multiplies every frame by window * bins; beyond this the Arrow form is used.
-MAX_BASIS_ROWS = 1 << 14
+from acoustic_spark.functions.arrow_lists import ARROW_TYPES, matrix_lists, raw_rows, regroup
+from acoustic_spark.functions.spectral import hertz_to_mel
+from acoustic_spark.operators.frames import patch_clips
 
-
-def basis_table(spark: SparkSession, window: int, fft: int) -> DataFrame:
-    """Windowed cosine and sine weights: `window * (fft/2 + 1)` rows (b, k, c, s)."""
-    bins = fft // 2 + 1
-    if window * bins > MAX_BASIS_ROWS:
-        raise ValueError(f"{window * bins} basis rows; use the Arrow form")
-    angle = F.col("k") * F.col("b") * F.lit(2 * math.pi) / F.lit(fft)
-    hann = periodic_hann(F.col("k"), window)
-    return (
-        spark.range(window)
-        .select(F.col("id").cast("int").alias("k"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("b"))
-        .select("b", "k", (hann * F.cos(angle)).alias("c"), (hann * F.sin(angle)).alias("s"))
-    )
+# Windows that are transformed at once, and patches of an output batch.
+BLOCK_WINDOWS = 1024
+BLOCK_PATCHES = 64
 
 
 def mel_table(spark: SparkSession, cfg: FeatureConfig) -> DataFrame:
@@ -57,52 +51,6 @@ def mel_table(spark: SparkSession, cfg: FeatureConfig) -> DataFrame:
     )
 
 
-def magnitude_rows(frames: DataFrame, keys: Sequence[str], window: int, fft: int) -> DataFrame:
-    """Join form: one row (key, frame, b, mag) per frame and bin.
-
-    The basis is generated and its size is checked, so it is always safe to broadcast.
-    """
-    basis = F.broadcast(basis_table(frames.sparkSession, window, fft))
-    re, im = F.sum(F.col("x") * F.col("c")), F.sum(F.col("x") * F.col("s"))
-    return (
-        frames.join(basis, "k")
-        .groupBy(*keys, "frame", "b")
-        .agg(F.sqrt(re * re + im * im).alias("mag"))
-    )
-
-
-def log_mel_rows(spectrum: DataFrame, keys: Sequence[str], cfg: FeatureConfig) -> DataFrame:
-    """Join form: one row (key, frame, band, v) with the log of the weighted sum."""
-    mel = F.broadcast(mel_table(spectrum.sparkSession, cfg))
-    return (
-        spectrum.join(mel, "b")
-        .groupBy(*keys, "frame", "band")
-        .agg(F.ln(F.sum(F.col("mag") * F.col("w")) + F.lit(cfg.log_offset)).alias("v"))
-    )
-
-
-def series_log_mel(series: DataFrame, keys: Sequence[str], cfg: FeatureConfig) -> DataFrame:
-    """Frames, spectrum and log-mel of a series in the join form.
-
-    One shuffle by (key, patch) serves the spectrum, the mel sums and the patches,
-    because their grouping keys all contain it.
-    """
-    frames = frame_rows(series, keys, cfg.window, cfg.hop).withColumn(
-        "example", F.floor(F.col("frame") / cfg.patch_frames)
-    )
-    placed = frames.repartition(*keys, "example")
-    spectrum = magnitude_rows(placed, [*keys, "example"], cfg.window, cfg.fft)
-    return log_mel_rows(spectrum, [*keys, "example"], cfg)
-
-
-def series_patches(series: DataFrame, keys: Sequence[str], cfg: FeatureConfig) -> DataFrame:
-    """Join form of the whole feature step: (key, example, patch)."""
-    return patch_rows(series_log_mel(series, keys, cfg), keys, cfg.patch_frames, cfg.bands)
-
-
-# --- Arrow form -----------------------------------------------------------------
-
-
 def _mel_matrix(cfg: FeatureConfig) -> np.ndarray:
     def mel(hz):
         return MEL_Q * np.log1p(np.asarray(hz) / MEL_BREAK_HZ)
@@ -122,44 +70,82 @@ def _windows(samples: np.ndarray, window: int, hop: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(samples, window)[::hop]
 
 
-def magnitudes(samples: Column, window: int, hop: int, fft: int) -> Column:
-    """Arrow form: array of frames, each an array of fft/2+1 magnitudes."""
+def _window_counts(rows: list[np.ndarray], window: int, hop: int, multiple: int = 1) -> list[int]:
+    """Complete windows of each row, cut to a multiple."""
+    counts = (max(0, (len(x) - window) // hop + 1) for x in rows)
+    return [n // multiple * multiple for n in counts]
 
-    @F.arrow_udf("array<array<double>>")
-    def spectrum(column: pa.Array) -> pa.Array:
-        hann = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(window) / window)
-        rows = [
-            np.abs(np.fft.rfft(_windows(x, window, hop) * hann, fft)) for x in list_rows(column)
-        ]
-        return nested(rows, pa.float64())
 
-    return spectrum(samples)
+def _stacked(rows: list[np.ndarray], counts: list[int], window: int, hop: int) -> Iterator[np.ndarray]:
+    """The windows of all rows, in order, as blocks of doubles; each block is overwritten by the next."""
+    block, at = np.empty((BLOCK_WINDOWS, window)), 0
+    for x, count in zip(rows, counts):
+        views = _windows(x, window, hop)
+        first = 0
+        while first < count:
+            n = min(BLOCK_WINDOWS - at, count - first)
+            block[at : at + n] = views[first : first + n]
+            at, first = at + n, first + n
+            if at == BLOCK_WINDOWS:
+                yield block
+                at = 0
+    if at:
+        yield block[:at]
+
+
+def _hann(window: int) -> np.ndarray:
+    return 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(window) / window)
+
+
+def _spectrum_kernel(window: int, fft: int) -> Callable[[np.ndarray], np.ndarray]:
+    hann = _hann(window)
+    return lambda block: np.abs(np.fft.rfft(block * hann, fft))
+
+
+def _log_mel_kernel(cfg: FeatureConfig, scale: float = 1.0) -> Callable[[np.ndarray], np.ndarray]:
+    hann, weights = _hann(cfg.window) / scale, _mel_matrix(cfg)
+    return lambda block: np.log(np.abs(np.fft.rfft(block * hann, cfg.fft)) @ weights + cfg.log_offset)
 
 
-def _log_mel_kernel(cfg: FeatureConfig) -> Callable[[np.ndarray], np.ndarray]:
-    hann = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(cfg.window) / cfg.window)
-    weights = _mel_matrix(cfg)
+def _transformed(
+    rows: list[np.ndarray], counts: list[int], window: int, hop: int, width: int, kernel: Callable[[np.ndarray], np.ndarray], kind: str
+) -> np.ndarray:
+    """One matrix of `width` values for each window of all rows."""
+    out, at = np.empty((sum(counts), width), kind), 0
+    for block in _stacked(rows, counts, window, hop):
+        out[at : at + len(block)] = kernel(block)
+        at += len(block)
+    return out
 
-    def log_mel(x: np.ndarray) -> np.ndarray:
-        spectrum = np.abs(np.fft.rfft(_windows(x, cfg.window, cfg.hop) * hann, cfg.fft))
-        return np.log(spectrum @ weights + cfg.log_offset)
 
-    return log_mel
+def magnitudes(samples: Column, window: int, hop: int, fft: int) -> Column:
+    """Array of frames, each an array of fft/2+1 magnitudes."""
+
+    @F.arrow_udf("array<array<double>>")
+    def spectrum(column: pa.Array) -> pa.Array:
+        rows = list(raw_rows(column))
+        counts = _window_counts(rows, window, hop)
+        out = _transformed(rows, counts, window, hop, fft // 2 + 1, _spectrum_kernel(window, fft), "double")
+        return regroup(out, np.array(counts), pa.float64())
+
+    return spectrum(samples)
 
 
 def log_mel(samples: Column, cfg: FeatureConfig) -> Column:
-    """Arrow form: array of frames, each an array of `bands` log-mel values."""
+    """Array of frames, each an array of `bands` log-mel values."""
 
     @F.arrow_udf("array<array<double>>")
     def features(column: pa.Array) -> pa.Array:
-        kernel = _log_mel_kernel(cfg)
-        return nested([kernel(x) for x in list_rows(column)], pa.float64())
+        rows = list(raw_rows(column))
+        counts = _window_counts(rows, cfg.window, cfg.hop)
+        out = _transformed(rows, counts, cfg.window, cfg.hop, cfg.bands, _log_mel_kernel(cfg), "double")
+        return regroup(out, np.array(counts), pa.float64())
 
     return features(samples)
 
 
 def patches(samples: Column, cfg: FeatureConfig, scale: float = 1.0) -> Column:
-    """Arrow form: array of complete patches, each a row-major array of patch_frames * bands values.
+    """Array of complete patches, each a row-major array of patch_frames * bands values.
 
     Integer samples cross to Python as they are; `scale` divides them there.
     """
@@ -167,42 +153,67 @@ def patches(samples: Column, cfg: FeatureConfig, scale: float = 1.0) -> Column:
 
     @F.arrow_udf(f"array<array<{cfg.value_type}>>")
     def cut(column: pa.Array) -> pa.Array:
-        kernel = _log_mel_kernel(cfg)
-        rows = []
-        for x in list_rows(column):
-            features = kernel(x / scale)
-            count = len(features) // cfg.patch_frames
-            rows.append(features[: count * cfg.patch_frames].reshape(count, cfg.patch_frames * cfg.bands))
-        return nested(rows, value_type)
+        rows = list(raw_rows(column))
+        counts = _window_counts(rows, cfg.window, cfg.hop, cfg.patch_frames)
+        out = _transformed(rows, counts, cfg.window, cfg.hop, cfg.bands, _log_mel_kernel(cfg, scale), cfg.value_type)
+        return regroup(out.reshape(-1, cfg.patch_frames * cfg.bands), np.array(counts) // cfg.patch_frames, value_type)
 
     return cut(samples)
 
 
+def patch_batches(batches: Iterator[pa.RecordBatch], samples: str, cfg: FeatureConfig, scale: float = 1.0) -> Iterator[pa.RecordBatch]:
+    """One row per patch, in batches of BLOCK_PATCHES at most: a clip of any length is walked block by block."""
+    kernel, value_type = _log_mel_kernel(cfg, scale), ARROW_TYPES[cfg.value_type]
+    for batch in batches:
+        rest = batch.drop_columns([samples])
+        for at, x in enumerate(raw_rows(batch[samples])):
+            whole = _window_counts([x], cfg.window, cfg.hop, cfg.patch_frames)[0] // cfg.patch_frames
+            for first in range(0, whole, BLOCK_PATCHES):
+                count = min(BLOCK_PATCHES, whole - first)
+                # The piece ends with the overlap that its last window reads.
+                piece = x[first * cfg.patch_hop : (first + count - 1) * cfg.patch_hop + cfg.patch_samples]
+                found = _transformed([piece], [count * cfg.patch_frames], cfg.window, cfg.hop, cfg.bands, kernel, cfg.value_type)
+                patch = matrix_lists(found.reshape(count, -1), value_type)
+                kept = rest.take(pa.array(np.full(count, at)))
+                example = pa.array(np.arange(first, first + count, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays([*kept.columns, example, patch], names=[*rest.schema.names, "example", "patch"])
+
+
 def clip_patches(clips: DataFrame, samples: str, cfg: FeatureConfig, scale: float = 1.0) -> DataFrame:
-    """One row per patch of a clip table; narrow, no shuffle."""
-    cut = patches(F.col(samples), cfg, scale)
-    return clips.withColumn("_patches", cut).drop(samples).select(
-        *[c for c in clips.columns if c != samples],
-        F.posexplode("_patches").alias("example", "patch"),
-    )
+    """One row per patch of a clip table; narrow, no shuffle, and no clip's patches are held together."""
+    kept = T.StructType([f for f in clips.schema.fields if f.name != samples])
+    schema = kept.add("example", T.IntegerType()).add("patch", T.ArrayType(T.FloatType() if cfg.value_type == "float" else T.DoubleType()))
+    return clips.mapInArrow(lambda batches: patch_batches(batches, samples, cfg, scale), schema)
 
 
-def spectrum_rows(
-    series: DataFrame, keys: Sequence[str], window: int, hop: int, fft: int, form: str | None = None
-) -> DataFrame:
-    """Magnitude rows (key, frame, b, mag) of a series; by default in the cheaper form for these sizes."""
-    frames = frame_rows(series, keys, window, hop)
-    if form is None:
-        form = "join" if window * (fft // 2 + 1) <= MAX_BASIS_ROWS else "arrow"
-    if form == "join":
-        return magnitude_rows(frames, keys, window, fft)
-    arrays = frames.groupBy(*keys, "frame").agg(
-        F.array_sort(F.collect_list(F.struct("k", "x"))).alias("_rows")
-    )
-    single = magnitudes(F.col("_rows.x"), window, window, fft)
-    return arrays.select(*keys, "frame", single.alias("_mags")).select(
-        *keys, "frame", F.posexplode(F.col("_mags")[0]).alias("b", "mag")
-    )
+def _blocks(series: DataFrame, keys: Sequence[str], window: int, hop: int, size: int) -> DataFrame:
+    """Arrays of the samples of `size` frames, the last one of a key shorter: (key, example, samples)."""
+    framing = FeatureConfig(window=window, hop=hop, patch_frames=size)
+    return patch_clips(series, keys, framing, whole=False)
+
+
+def _frame_values(blocks: DataFrame, keys: Sequence[str], size: int, values: Column, position: str, name: str) -> DataFrame:
+    frames = blocks.select(*keys, "example", F.posexplode(values).alias("_at", "_values"))
+    frame = (F.col("example") * size + F.col("_at")).alias("frame")
+    return frames.select(*keys, "example", frame, F.posexplode("_values").alias(position, name))
+
+
+def spectrum_rows(series: DataFrame, keys: Sequence[str], window: int, hop: int, fft: int, size: int = 96) -> DataFrame:
+    """Magnitude rows (key, frame, b, mag) of a series, transformed in blocks of `size` frames."""
+    blocks = _blocks(series, keys, window, hop, size)
+    return _frame_values(blocks, keys, size, magnitudes(F.col("samples"), window, hop, fft), "b", "mag").drop("example")
+
+
+def series_log_mel(series: DataFrame, keys: Sequence[str], cfg: FeatureConfig) -> DataFrame:
+    """Log-mel rows (key, example, frame, band, v) of a series; one shuffle brings the samples of each patch together."""
+    blocks = _blocks(series, keys, cfg.window, cfg.hop, cfg.patch_frames)
+    return _frame_values(blocks, keys, cfg.patch_frames, log_mel(F.col("samples"), cfg), "band", "v")
+
+
+def series_patches(series: DataFrame, keys: Sequence[str], cfg: FeatureConfig) -> DataFrame:
+    """The whole feature step of a series: (key, example, patch)."""
+    cut = patch_clips(series, keys, cfg)
+    return cut.select(*keys, "example", patches(F.col("samples"), cfg)[0].alias("patch"))
 
 
 def feature_rows(patches_table: DataFrame, keys: Sequence[str], bands: int) -> DataFrame:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from acoustic_spark.config import PRESET_16000, PRESET_22050, FeatureConfig
 from acoustic_spark.functions.spectral import hertz_to_mel, periodic_hann
 from acoustic_spark.functions.waveform import channel_count, checked_int16, mono_array, normalise, sample_time
 from acoustic_spark.operators import frames, spectrum
+from acoustic_spark.operators.positions import with_position
 from acoustic_spark.operators.resample import resample_array, resample_series
 from acoustic_spark.plans.registry import query
 from acoustic_spark.plans.tables import CLIP_SAMPLES, SERIES, SMALL, clip_rows, clips, read, series
@@ -207,19 +210,21 @@ MAGNITUDES = f"""WITH {SPECTRUM}
 SELECT sensor_id, CAST(frame AS BIGINT) AS frame, CAST(b AS BIGINT) AS b, round(mag, 6) AS mag FROM spectrum"""
 
 
-def _magnitudes(spark: SparkSession, sf: str, form: str) -> DataFrame:
-    rows = spectrum.spectrum_rows(series(spark, sf), KEY, W, HOP, FFT, form)
+def _magnitudes(rows: DataFrame) -> DataFrame:
     return rows.select("sensor_id", *big("frame", "b"), F.round("mag", 6).alias("mag"))
 
 
 @query("magnitude_spectrum", MAGNITUDES)
 def magnitude_spectrum(spark: SparkSession, sf: str) -> DataFrame:
-    return _magnitudes(spark, sf, "join")
+    return _magnitudes(spectrum.spectrum_rows(series(spark, sf), KEY, W, HOP, FFT))
 
 
 @query("magnitude_spectrum_arrow", MAGNITUDES)
 def magnitude_spectrum_arrow(spark: SparkSession, sf: str) -> DataFrame:
-    return _magnitudes(spark, sf, "arrow")
+    """The same from one array for each frame."""
+    rows = frames.frame_rows(series(spark, sf), KEY, W, HOP).groupBy(*KEY, "frame").agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("_rows"))
+    mags = rows.select(*KEY, "frame", spectrum.magnitudes(F.col("_rows.x"), W, W, FFT)[0].alias("_mags"))
+    return _magnitudes(mags.select(*KEY, "frame", F.posexplode("_mags").alias("b", "mag")))
 
 
 @query("mel_scale", "SELECT event_id, round(1127.0 * ln(1.0 + value * 100 / 700.0), 6) AS mel FROM events")
@@ -284,6 +289,69 @@ def patch_table_arrow(spark: SparkSession, sf: str) -> DataFrame:
     return _patch_rows(arrow_patches(spark, sf))
 
 
+# --- the same at the real settings ------------------------------------------------
+# `embeddings` stands for recordings, one for ten labels: the values of its vectors, in the
+# order of the vectors, are the samples.
+
+
+def recording(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.floor(F.col("label") / 10).alias("sensor_id")
+    values = read(spark, sf, "embeddings").select(label, "vec_id", F.posexplode("embedding").alias("pos", "x"))
+    return with_position(values.select("sensor_id", (F.col("vec_id") * 64 + F.col("pos")).alias("seq"), F.col("x").cast("double").alias("x")), KEY, "seq")
+
+
+def preset_sql(cfg: FeatureConfig) -> str:
+    """SQL of the log-mel table at a preset; the transform is a sum over the window for each frame and bin."""
+    return f"""WITH series AS (
+  SELECT sensor_id, x, row_number() OVER (PARTITION BY sensor_id ORDER BY seq) - 1 AS i, count(*) OVER (PARTITION BY sensor_id) AS n FROM (
+    SELECT CAST(label // 10 AS BIGINT) AS sensor_id, vec_id * 64 + unnest(range(len(embedding))) AS seq, unnest(embedding)::DOUBLE AS x FROM embeddings)),
+frames AS (
+  SELECT sensor_id, frame, i - frame * {cfg.hop} AS k, x FROM (
+    SELECT *, unnest(range(greatest(0, CAST(ceil((i - {cfg.window - 1}) / {cfg.hop}.0) AS BIGINT)), i // {cfg.hop} + 1)) AS frame FROM series)
+  WHERE n >= {cfg.window} AND frame <= (n - {cfg.window}) // {cfg.hop}),
+basis AS (
+  SELECT k, b, h * cos(angle) AS c, h * sin(angle) AS s FROM (
+    SELECT k, b, 0.5 - 0.5 * cos(2 * pi() * k / {cfg.window}) AS h, 2 * pi() * ((k * b) % {cfg.fft}) / {cfg.fft} AS angle
+    FROM range({cfg.window}) AS ks(k), range({cfg.bins}) AS bs(b))),
+spectrum AS (
+  SELECT sensor_id, frame, b, sqrt(pow(sum(x * c), 2) + pow(sum(x * s), 2)) AS mag FROM frames JOIN basis USING (k) GROUP BY ALL),
+{mel_sql(cfg)},
+log_mel AS (
+  SELECT sensor_id, frame, band, ln(sum(mag * w) + {cfg.log_offset}) AS v FROM spectrum JOIN mel USING (b) GROUP BY ALL)"""
+
+
+def preset_patches_sql(cfg: FeatureConfig) -> str:
+    return f"""{preset_sql(cfg)}
+SELECT sensor_id, CAST(frame // {cfg.patch_frames} AS BIGINT) AS example, CAST(frame % {cfg.patch_frames} AS BIGINT) AS frame,
+       CAST(band AS BIGINT) AS band, round(v, 6) AS v
+FROM log_mel QUALIFY count(*) OVER (PARTITION BY sensor_id, frame // {cfg.patch_frames}) = {cfg.patch_frames * cfg.bands}"""
+
+
+def preset_patches(spark: SparkSession, sf: str, cfg: FeatureConfig) -> DataFrame:
+    cut = spectrum.series_patches(recording(spark, sf), KEY, replace(cfg, value_type="double"))
+    return spectrum.feature_rows(cut, KEY, cfg.bands).select("sensor_id", *big("example", "frame", "band"), F.round("v", 6).alias("v"))
+
+
+@query(
+    "log_mel_22050",
+    f"""{preset_sql(PRESET_22050)}
+SELECT sensor_id, CAST(frame AS BIGINT) AS frame, CAST(band AS BIGINT) AS band, round(v, 6) AS v FROM log_mel""",
+)
+def log_mel_22050(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spectrum.series_log_mel(recording(spark, sf), KEY, PRESET_22050)
+    return rows.select("sensor_id", *big("frame", "band"), F.round("v", 6).alias("v"))
+
+
+@query("patches_22050", preset_patches_sql(PRESET_22050))
+def patches_22050(spark: SparkSession, sf: str) -> DataFrame:
+    return preset_patches(spark, sf, PRESET_22050)
+
+
+@query("patches_16000", preset_patches_sql(PRESET_16000))
+def patches_16000(spark: SparkSession, sf: str) -> DataFrame:
+    return preset_patches(spark, sf, PRESET_16000)
+
+
 RESIZE = 60
 
 
