@@ -20,14 +20,14 @@ def normalise_array(samples: Column) -> Column:
 
 
 def channel_count(n_samples: Column, n_frames: Column | int) -> Column:
-    """Channels of an interleaved buffer that should hold `n_frames` frames."""
+    """Channels of an interleaved buffer that holds `n_frames` frames; null if no whole number of them does."""
     frames = F.lit(n_frames) if isinstance(n_frames, int) else n_frames
-    return F.floor(n_samples / frames).cast("int")
+    return F.when((frames > 0) & (n_samples >= frames) & (n_samples % frames == 0), F.call_function("div", n_samples, frames)).cast("int")
 
 
 def mono_array(samples: Column, n_channels: Column) -> Column:
-    """Mean over the channels of an interleaved array."""
-    frames = F.floor(F.size(samples) / n_channels).cast("int")
+    """Mean over the channels of an interleaved array, of its whole frames; null without a channel or a whole frame."""
+    frames = F.when(n_channels > 0, F.floor(F.size(samples) / n_channels)).cast("int")
     mixed = F.transform(
         F.sequence(F.lit(0), frames - 1),
         lambda f: F.aggregate(

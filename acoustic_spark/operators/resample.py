@@ -104,7 +104,9 @@ def mono_signal(
     zero_crossings: int = 16,
     beta: float = 8.6,
 ) -> Column:
-    """Mean over the interleaved channels at the target rate; an incomplete last frame is left out.
+    """Mean over the interleaved channels at the target rate.
+
+    An incomplete last frame is left out (the intake rejects such clips); without a channel there is no signal.
 
     One Arrow step for both, so that it joins up with the decoding before it and
     the features after it.
@@ -112,6 +114,8 @@ def mono_signal(
     convert = _converter(target_rate, kernel, zero_crossings, beta)
 
     def mix(x: np.ndarray, channels: int) -> np.ndarray:
+        if channels < 1:
+            return x[:0]
         return x if channels == 1 else x[: len(x) // channels * channels].reshape(-1, channels).mean(axis=1)
 
     @F.arrow_udf("array<double>")

@@ -13,7 +13,7 @@ from acoustic_spark.plans.queries_features import big
 from acoustic_spark.plans.queries_scoring import DETECT, DETECT_CLIP, DETECTED, classifier, detected
 from acoustic_spark.plans.registry import query
 from acoustic_spark.plans.tables import DETECTIONS, SERIES, SMALL, clip_rows, clips, detections, read, series
-from acoustic_spark.sources.clips import from_messages, publish, to_messages
+from acoustic_spark.sources.clips import checked_messages, from_messages, publish, to_messages
 from acoustic_spark.sources.detection_log import detection_rows
 from acoustic_spark.sources.stream import subscribe
 from acoustic_spark.streaming import detection, state
@@ -95,6 +95,63 @@ def detection_run(spark: SparkSession, sf: str, archive: bool = False, first_onl
     return folder
 
 
+# Every event is a message whose payload is the start of its text, of 0 to 10 bytes: whole clips of
+# INTAKE_FRAMES frames, and every kind of reject.
+INTAKE_FRAMES = 2
+INTAKE = f"""intake AS (
+  SELECT *, CASE WHEN n_bytes = 0 THEN 'empty' WHEN n_bytes % 2 <> 0 THEN 'odd' WHEN n_bytes // 2 < {INTAKE_FRAMES} THEN 'short'
+    WHEN n_bytes // 2 % {INTAKE_FRAMES} <> 0 THEN 'uneven' END AS reason FROM (
+    SELECT *, strlen(payload) AS n_bytes FROM (
+      SELECT event_id, user_id, CASE WHEN event_id % 11 > 0 THEN substr(props, 1, event_id % 11) ELSE '' END AS payload FROM events)))"""
+
+
+def intake_messages(events: DataFrame) -> DataFrame:
+    start = F.substring(F.col("props").cast("binary"), F.lit(1), (F.col("event_id") % 11).cast("int"))
+    return events.select(
+        F.col("user_id").cast("string").cast("binary").alias("key"), start.alias("value"), F.col("ts").alias("timestamp"), F.col("event_id").alias("offset")
+    )
+
+
+@query(
+    "message_intake",
+    f"""WITH {INTAKE}
+SELECT event_id, CAST(user_id AS VARCHAR) AS sensor_id, CAST(n_bytes AS BIGINT) AS n_bytes, coalesce(reason, '') AS reason,
+       CASE WHEN reason IS NULL THEN CAST(n_bytes // 2 // {INTAKE_FRAMES} AS BIGINT) ELSE 0 END AS n_channels,
+       CASE WHEN reason IS NULL THEN CAST(list_sum(list_transform(range(1, n_bytes + 1),
+         lambda b: CASE WHEN b % 2 = 1 THEN 1 ELSE 256 END * ascii(substr(payload, b, 1)))) AS BIGINT) ELSE 0 END AS total
+FROM intake""",
+)
+def message_intake(spark: SparkSession, sf: str) -> DataFrame:
+    """Every message as a clip, with its channels and the sum of its samples, or as a reject with its reason."""
+    rows = checked_messages(intake_messages(read(spark, sf, "events")), INTAKE_FRAMES)
+    total = F.aggregate(F.coalesce("samples", F.array().cast("array<smallint>")), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return rows.select(
+        F.col("offset").alias("event_id"), "sensor_id", "n_bytes", F.coalesce("reason", F.lit("")).alias("reason"),
+        F.coalesce(F.col("n_channels").cast("bigint"), F.lit(0).cast("bigint")).alias("n_channels"), total.alias("total"),
+    )
+
+
+@query(
+    "stream_intake",
+    f"""WITH {INTAKE}
+SELECT 'received' AS outcome, count(*) AS n FROM intake UNION ALL SELECT 'logged', count(*) FILTER (reason IS NULL) FROM intake
+UNION ALL SELECT 'counted rejects', count(reason) FROM intake UNION ALL SELECT reason, count(*) FROM intake WHERE reason IS NOT NULL GROUP BY reason""",
+)
+def stream_intake(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream of all messages: what was received, logged, and rejected for each reason, as its counts, log and rejects say."""
+    folder = shared_folder(spark, "intake")
+    stream = checked_messages(intake_messages(event_stream(spark, sf)), INTAKE_FRAMES)
+    action = detection.detection_batch(
+        lambda rows: rows.drop("samples"), f"{folder}/log", counts_path=f"{folder}/counts", rejects_path=f"{folder}/rejects"
+    )
+    detection.run_for(detection.micro_batches(stream, action, f"{folder}/checkpoint", available_now=True))
+    counts = spark.read.parquet(f"{folder}/counts")
+    sums = [counts.agg(F.sum(c).alias("n")).select(F.lit(name).alias("outcome"), "n") for c, name in (("received", "received"), ("rejected", "counted rejects"))]
+    logged = spark.read.parquet(f"{folder}/log").agg(F.count(F.lit(1)).alias("n")).select(F.lit("logged").alias("outcome"), "n")
+    reasons = spark.read.parquet(f"{folder}/rejects").groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    return sums[0].unionByName(sums[1]).unionByName(logged).unionByName(reasons)
+
+
 @query("stream_detection", DETECTED)
 def stream_detection(spark: SparkSession, sf: str) -> DataFrame:
     """The detection log written by the stream; equal to the batch result."""

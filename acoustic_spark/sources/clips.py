@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from acoustic_spark.functions.waveform import decode_pcm16, encode_pcm16
+from acoustic_spark.functions.waveform import channel_count, decode_pcm16, encode_pcm16
 
 # Fixed layout of the canonical 44-byte header (1-based byte positions).
 WAV_HEADER_BYTES = 44
@@ -28,35 +28,59 @@ def _little_endian(value: Column, size: int) -> Column:
     return F.concat(*[F.substring(digits, 2 * b + 1, 2) for b in reversed(range(size))])
 
 
-def parse_wav(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(path, content) rows to clips, and the files that are not 16-bit PCM with a canonical header."""
-    content = F.col("content")
-    text = lambda at, size: F.substring(content, at, size).cast("string")
-    valid = F.coalesce(
-        (F.length(content) >= WAV_HEADER_BYTES)
-        & (text(1, 4) == "RIFF")
-        & (text(9, 4) == "WAVE")
-        & (text(37, 4) == "data")
-        & (_number(content, 21, 2) == _PCM)
-        & (_number(content, _BITS_AT, 2) == 16)
-        & (_number(content, _DATA_SIZE_AT, 4) <= F.length(content) - WAV_HEADER_BYTES)
-        & (_number(content, _DATA_SIZE_AT, 4) % 2 == 0)
-        & (_number(content, _CHANNELS_AT, 2) > 0),
-        F.lit(False),
+def first_reason(*rules: tuple[str, Column]) -> Column:
+    """The name of the first rule that holds; null if none does. A rule that gives null does not hold."""
+    reason = F.lit(None).cast("string")
+    for name, broken in reversed(rules):
+        reason = F.when(broken, name).otherwise(reason)
+    return reason
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    """The rows of a checked table that are clips."""
+    return rows.filter("reason IS NULL").drop("n_bytes", "reason")
+
+
+def rejected(rows: DataFrame) -> DataFrame:
+    """The others, with the size of their content and the reason; contents are not decoded for them."""
+    return rows.filter("reason IS NOT NULL").drop("sample_rate", "n_channels", "n_samples", "samples")
+
+
+def checked_wav(files: DataFrame) -> DataFrame:
+    """(path, content) rows to clips with n_bytes and reason; where a reason is given the clip columns are null.
+
+    Reasons, the first that holds: `header` (no canonical header of 44 bytes), `format` (not PCM), `bits` (not 16),
+    `channels` (none), `size` (more data announced than there is), `uneven` (the data end within a frame).
+    """
+    content = F.coalesce("content", F.lit(b""))
+    text = lambda at, size: F.substring(content, at, size)
+    size, channels = _number(content, _DATA_SIZE_AT, 4), _number(content, _CHANNELS_AT, 2)
+    header = (text(1, 4) == F.lit(b"RIFF")) & (text(9, 4) == F.lit(b"WAVE")) & (text(37, 4) == F.lit(b"data"))
+    reason = first_reason(
+        ("header", (F.length(content) < WAV_HEADER_BYTES) | ~header),
+        ("format", _number(content, 21, 2) != _PCM),
+        ("bits", _number(content, _BITS_AT, 2) != 16),
+        ("channels", channels == 0),
+        ("size", size > F.length(content) - WAV_HEADER_BYTES),
+        ("uneven", size % (channels * 2) != 0),
     )
-    size = _number(content, _DATA_SIZE_AT, 4).cast("int")
-    clips = (
-        files.filter(valid)
-        .select(
-            *[c for c in files.columns if c != "content"],
-            _number(content, _RATE_AT, 4).cast("int").alias("sample_rate"),
-            _number(content, _CHANNELS_AT, 2).cast("int").alias("n_channels"),
-            F.floor(size / 2).cast("int").alias("n_samples"),
-            decode_pcm16(F.substring(content, F.lit(WAV_HEADER_BYTES + 1), size)).alias("samples"),
-        )
+    rows = files.withColumns({"n_bytes": F.length(content).cast("long"), "reason": reason})
+    whole = lambda value: F.when(F.col("reason").isNull(), value)
+    return rows.select(
+        *[c for c in files.columns if c != "content"],
+        whole(_number(content, _RATE_AT, 4).cast("int")).alias("sample_rate"),
+        whole(channels.cast("int")).alias("n_channels"),
+        whole(F.floor(size / 2).cast("int")).alias("n_samples"),
+        decode_pcm16(whole(F.substring(content, F.lit(WAV_HEADER_BYTES + 1), size.cast("int")))).alias("samples"),
+        "n_bytes",
+        "reason",
     )
-    rejects = files.filter(~valid).select("path", F.length("content").alias("n_bytes"))
-    return clips, rejects
+
+
+def parse_wav(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(path, content) rows to clips, and the files that are none with n_bytes and reason."""
+    rows = checked_wav(files)
+    return accepted(rows), rejected(rows)
 
 
 def read_wav(spark: SparkSession, folder: str, glob: str = "*.wav") -> tuple[DataFrame, DataFrame]:
@@ -101,25 +125,39 @@ def publish_stream(messages: DataFrame, checkpoint: str, fmt: str = "kafka", **o
     return messages.writeStream.format(fmt).options(**options).option("checkpointLocation", checkpoint)
 
 
-def from_messages(messages: DataFrame, n_frames: int | None = None, sample_rate: int = 22_050) -> DataFrame:
-    """Sensor id and samples of each message.
+def checked_messages(messages: DataFrame, n_frames: int | None = None, sample_rate: int = 22_050) -> DataFrame:
+    """Sensor id and samples of each message, with n_bytes and reason; where a reason is given the clip columns are null.
 
     With `n_frames` the channel count is the payload length over it; otherwise
-    the clip is mono. Empty payloads are left out, as there is nothing to classify.
+    the clip is mono. Reasons, the first that holds: `empty` (no payload or one without bytes), `odd` (half a sample
+    at the end), `short` (fewer samples than frames), `uneven` (the samples fill no whole number of channels).
+    Whatever a message holds, it ends neither a job nor a stream.
     """
-    n_samples = F.floor(F.length("value") / 2).cast("int")
-    channels = F.lit(1) if n_frames is None else F.floor(n_samples / n_frames).cast("int")
+    size = F.coalesce(F.length("value"), F.lit(0))
+    n_samples = F.floor(size / 2).cast("int")
+    rules = [("empty", size == 0), ("odd", size % 2 != 0)]
+    if n_frames is not None:
+        rules += [("short", n_samples < n_frames), ("uneven", n_samples % n_frames != 0)]
     rest = [c for c in messages.columns if c not in ("key", "value")]
-    return messages.filter(F.length("value") > 0).select(
+    rows = messages.withColumns({"n_bytes": size.cast("long"), "reason": first_reason(*rules)})
+    whole = lambda value: F.when(F.col("reason").isNull(), value)
+    return rows.select(
         F.col("key").cast("string").alias("sensor_id"),
         *rest,
-        F.lit(sample_rate).alias("sample_rate"),
-        channels.alias("n_channels"),
-        n_samples.alias("n_samples"),
-        decode_pcm16(F.col("value")).alias("samples"),
+        whole(F.lit(sample_rate)).alias("sample_rate"),
+        whole(F.lit(1) if n_frames is None else channel_count(n_samples, n_frames)).alias("n_channels"),
+        whole(n_samples).alias("n_samples"),
+        decode_pcm16(whole(F.col("value"))).alias("samples"),
+        "n_bytes",
+        "reason",
     )
 
 
+def from_messages(messages: DataFrame, n_frames: int | None = None, sample_rate: int = 22_050) -> DataFrame:
+    """The clips among the messages; `checked_messages` has the others too."""
+    return accepted(checked_messages(messages, n_frames, sample_rate))
+
+
 # --- archive ----------------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from acoustic_spark.functions.text import predictions_json
 from acoustic_spark.operators.toplists import first_record
-from acoustic_spark.sources.clips import by_sensor
+from acoustic_spark.sources.clips import accepted, by_sensor, rejected
 
 TRIGGER = "2 seconds"
 
@@ -33,29 +33,32 @@ def detection_batch(
     order: Sequence[str] = ("offset",),
     counts_path: str | None = None,
     clip_path: Column | None = None,
+    rejects_path: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Action for `foreachBatch`: archive the clips, then log their detections.
 
     The archive comes first, and keeps `clip_path` as its column path: with the path of
-    the log there, a logged clip is always found by it. `first_only` keeps
-    the first record of each batch; `counts_path` then holds what was left out.
+    the log there, a logged clip is always found by it. A batch that has a column reason, as
+    `checked_messages` gives it, is split by it: only rows without one are clips, the others go to `rejects_path`. `first_only` keeps
+    the first clip of each batch; `counts_path` then holds what was left out. Rows are counted in a pass of their own that decodes
+    nothing (metrics observed within the other jobs count twice where a plan samples its input for a sort).
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        rows = first_record(batch, *order) if first_only else batch
+        checked = batch if "reason" in batch.columns else batch.withColumns({"reason": F.lit(None).cast("string"), "n_bytes": F.lit(None).cast("long")})
+        rows = first_record(accepted(checked), *order) if first_only else accepted(checked)
         if archive_path is not None:
             kept = rows if clip_path is None else rows.withColumn("path", clip_path)
             with by_sensor(kept) as placed:
                 write_batch(placed, archive_path, batch_id, "sensor_id")
         write_batch(classify(rows), log_path, batch_id)
+        if rejects_path is not None:
+            write_batch(rejected(checked), rejects_path, batch_id)
         if counts_path is not None:
-            received = batch.agg(F.count(F.lit(1)).alias("received"))
-            used = F.least("received", F.lit(1)) if first_only else F.col("received")
-            write_batch(
-                received.withColumn("kept", used.cast("bigint")).withColumn("dropped", F.col("received") - F.col("kept")),
-                counts_path,
-                batch_id,
-            )
+            counted = checked.agg(F.count(F.lit(1)).alias("received"), F.count("reason").alias("rejected"))
+            clips = F.col("received") - F.col("rejected")
+            used = F.least(clips, F.lit(1).cast("long")) if first_only else clips
+            write_batch(counted.select("received", used.alias("kept"), (clips - used).alias("dropped"), "rejected"), counts_path, batch_id)
 
     return run
 

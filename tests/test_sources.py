@@ -34,6 +34,30 @@ def test_wav_folder(spark, tmp_path):
     assert sorted(r.path.rsplit("/", 1)[1] for r in rejects.collect()) == ["cut.wav", "float.wav"]
 
 
+def test_every_wav_file_is_a_clip_or_has_a_reason(spark, tmp_path):
+    good = wav_bytes([1, 2, 3, 4], 2)
+    files = {
+        "good": good, "header": b"", "header2": good[:43], "header3": b"RIFX" + good[4:], "format": wav_bytes([1], code=3), "bits": wav_bytes([1], bits=8),
+        "channels": wav_bytes([1], channels=0), "size": good[:-2], "uneven": wav_bytes([1, 2, 3], 2), "uneven2": good[:40] + struct.pack("<I", 7) + good[44:],
+    }
+    df = spark.createDataFrame([(n, bytearray(c)) for n, c in files.items()] + [("header4", None)], "path STRING, content BINARY")
+    clips, rejects = C.parse_wav(df)
+    assert [(r.path, r.samples, r.n_channels) for r in clips.collect()] == [("good", [1, 2, 3, 4], 2)]
+    found = {r.path: r.reason for r in rejects.collect()}
+    assert found == {n: n.rstrip("234") for n in [*files, "header4"] if n != "good"}
+
+
+def test_messages_of_any_content(spark):
+    values = {"ok": b"\1\0\2\0", "two": b"\1\0\2\0\3\0\4\0", "empty": b"", "none": None, "odd": b"\1\0\2", "short": b"\1\0", "uneven": b"\1\0\2\0\3\0"}
+    df = spark.createDataFrame([(bytearray(k.encode()), v if v is None else bytearray(v)) for k, v in values.items()], "key BINARY, value BINARY")
+    rows = {r.sensor_id: r for r in C.checked_messages(df, 2).collect()}
+    assert {k: r.reason for k, r in rows.items()} == {"ok": None, "two": None, "empty": "empty", "none": "empty", "odd": "odd", "short": "short", "uneven": "uneven"}
+    assert (rows["ok"].samples, rows["ok"].n_channels, rows["two"].n_channels) == ([1, 2], 1, 2)
+    assert all(r.samples is None and r.n_channels is None for r in rows.values() if r.reason)
+    assert {r.sensor_id for r in C.rejected(C.checked_messages(df)).collect()} == {"empty", "none", "odd"}  # mono of any length
+    assert C.from_messages(df, 2).count() == 2
+
+
 def test_wav_content(spark):
     df = spark.createDataFrame([([1, -2, 3, 300],)], "samples ARRAY<SMALLINT>")
     content = df.select(C.wav_content(F.col("samples"), F.lit(2), F.lit(16_000))).first()[0]
