@@ -79,6 +79,37 @@ def latest_overall(spark: SparkSession, sf: str) -> DataFrame:
 # --- sources and sinks ----------------------------------------------------------
 
 
+def wav_folder(spark: SparkSession, sf: str, spoil: bool = False) -> str:
+    """Every clip as a WAV file; with `spoil` some are cut, or have a header that says something else. Returns the folder."""
+    folder = shared_folder(spark, "wav")
+    content = clip_source.wav_content(F.col("samples"), F.col("n_channels"), F.col("sample_rate"))
+    if spoil:
+        start, rest = F.substring(content, F.lit(1), F.lit(22)), F.substring(content, F.lit(25), F.length(content))
+        spoilt = {1: F.substring(content, F.lit(1), F.lit(30)), 2: F.substring(content, F.lit(1), F.length(content) - 1)}
+        spoilt |= {3: F.concat(start, F.lit(b"\0\0"), rest), 4: F.concat(start, F.lit(b"\3\0"), rest)}
+        for case, bad in spoilt.items():
+            content = F.when(F.col("clip_no") % 5 == case, bad).otherwise(content)
+    path = F.concat(F.lit("clips/"), F.col("sensor_id"), F.lit("/"), F.col("clip_no"), F.lit(".wav"))
+    clip_source.write_files(clips(spark, sf).select(path.alias("path"), content.alias("content")), folder)
+    return folder
+
+
+@query(
+    "wav_rejects",
+    f"""WITH {SERIES}, {clip_rows()}, files AS (SELECT DISTINCT sensor_id, clip_no, n_samples FROM clip_rows)
+SELECT 'clips/' || sensor_id || '/' || clip_no || '.wav' AS path,
+       CASE clip_no % 5 WHEN 1 THEN 'header' WHEN 2 THEN 'size' WHEN 3 THEN 'channels' WHEN 4 THEN
+         CASE WHEN n_samples % 3 <> 0 THEN 'uneven' ELSE '' END ELSE '' END AS reason,
+       CAST(CASE clip_no % 5 WHEN 1 THEN 30 WHEN 2 THEN 43 + 2 * n_samples ELSE 44 + 2 * n_samples END AS BIGINT) AS n_bytes
+FROM files""",
+)
+def wav_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder with spoilt files: every file is a clip or has a reason, and none ends the scan."""
+    parsed, rejects = clip_source.read_wav(spark, wav_folder(spark, sf, spoil=True))
+    sizes = parsed.select("path", F.lit("").alias("reason"), (F.col("n_samples").cast("bigint") * 2 + 44).alias("n_bytes"))
+    return sizes.unionByName(rejects.select("path", "reason", "n_bytes")).withColumn("path", F.regexp_extract("path", "clips/.*", 0))
+
+
 @query(
     "wav_scan",
     f"""WITH {SERIES}, {clip_rows()}
@@ -87,13 +118,9 @@ SELECT 'clips/' || sensor_id || '/' || clip_no || '.wav' AS path, CAST({SMALL.sa
 FROM clip_rows""",
 )
 def wav_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """WAV contents of all clips, stored, then parsed by the file scan's parser."""
-    folder = shared_folder(spark, "wav")
-    clips(spark, sf).select(
-        F.concat(F.lit("clips/"), F.col("sensor_id"), F.lit("/"), F.col("clip_no"), F.lit(".wav")).alias("path"),
-        clip_source.wav_content(F.col("samples"), F.col("n_channels"), F.col("sample_rate")).alias("content"),
-    ).write.parquet(folder)
-    parsed, _ = clip_source.parse_wav(spark.read.parquet(folder))
+    """All clips written as WAV files, then found and read by a scan of the folder."""
+    parsed, _ = clip_source.read_wav(spark, wav_folder(spark, sf))
+    parsed = parsed.withColumn("path", F.regexp_extract("path", "clips/.*", 0))
     return parsed.select(
         "path",
         F.col("sample_rate").cast("bigint"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -85,10 +87,32 @@ def parse_wav(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def read_wav(spark: SparkSession, folder: str, glob: str = "*.wav") -> tuple[DataFrame, DataFrame]:
     """Clips of a folder of WAV files, and the rejected files."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
     return parse_wav(files.select("path", "content"))
 
 
+def write_files(files: DataFrame, folder: str) -> int:
+    """Write each (path, content) row as a file below a folder that all executors share; returns how many.
+
+    A task that runs again writes the same files again.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, root = pafs.FileSystem.from_uri(folder)
+        made: set[str] = set()
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                parent = f"{root}/{path}".rsplit("/", 1)[0]
+                if parent not in made:
+                    system.create_dir(parent, recursive=True)
+                    made.add(parent)
+                with system.open_output_stream(f"{root}/{path}") as out:
+                    out.write(content)
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    return files.select("path", "content").mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def wav_content(samples: Column, n_channels: Column, sample_rate: Column) -> Column:
     """File content of a clip: canonical header and 16-bit payload."""
     size = F.size(samples) * 2
