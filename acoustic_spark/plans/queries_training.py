@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from acoustic_spark.operators import pairing, scoring
 from acoustic_spark.operators.pairing import label_vector
-from acoustic_spark.plans import training
+from acoustic_spark.plans import head, training
 from acoustic_spark.plans.queries_features import PATCHES, arrow_patches, big
 from acoustic_spark.plans.queries_scoring import PROJECTION, QUANTISED, label_head, quantised_column
 from acoustic_spark.plans.registry import query
@@ -137,26 +139,39 @@ def labelled_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("head_fit")
+FIT = head.HeadConfig(hidden=4, steps=2, learning_rate=0.01)
+FIT_EXAMPLES = """x AS MATERIALIZED (
+  SELECT vec_id AS id, unnest(range(len(embedding))) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings WHERE vec_id IN (SELECT doc_id FROM labels)),
+y AS MATERIALIZED (SELECT doc_id AS id, c, CASE WHEN c = 0 THEN quality ELSE 1 - quality END AS t FROM labels, range(2) r(c))"""
+
+
+@query(
+    "head_fit",
+    f"""WITH {head.fit_sql(FIT_EXAMPLES, 64, FIT, 2)}
+SELECT id AS vec_id, round(1 / (1 + exp(-max(CASE WHEN c = 0 THEN z END))), 6) AS positive, round(1 / (1 + exp(-max(CASE WHEN c = 1 THEN z END))), 6) AS negative
+FROM z2 GROUP BY id""",
+)
 def head_fit(spark: SparkSession, sf: str) -> DataFrame:
-    """Two logistic heads fitted on the embeddings, applied to them, counted by label and prediction."""
+    """Both outputs for every labelled embedding after two steps over all of them."""
     examples = labelled_embeddings(spark, sf)
-    heads = training.fit_logistic_heads(examples, max_iter=20)
-    scored = training.apply_logistic_heads(examples, heads)
-    predicted = (F.col("scores")[0] > F.col("scores")[1]).cast("int")
-    return scored.groupBy("quality", predicted.alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
+    fitted = head.fit_head(examples, shared_folder(spark, "head"), 1, FIT)
+    scores = examples.withColumn("scores", scoring.dense(F.col("embedding"), *fitted.layers()))
+    return scores.select("vec_id", *[F.round(F.col("scores")[c], 6).alias(name) for c, name in enumerate(("positive", "negative"))])
+
+
+RESUME = replace(FIT, steps=1)
+LOSSES = " UNION ALL ".join(f"SELECT {t}::INT AS epoch, {t}::BIGINT AS step, round(loss, 9) AS loss FROM loss{t}" for t in range(4))
 
 
-@query("head_resume")
+@query("head_resume", f"WITH {head.fit_sql(FIT_EXAMPLES, 64, RESUME, 3)} {LOSSES}")
 def head_resume(spark: SparkSession, sf: str) -> DataFrame:
-    """A hidden-layer head saved after each epoch and resumed from the newest; gives the logged losses."""
+    """Losses of a fit of one epoch that is then taken up twice from what it saved: those of a fit in one go."""
     examples = labelled_embeddings(spark, sf)
     folder = shared_folder(spark, "head")
-    training.fit_head(examples, folder, epochs=1, hidden=8, iterations=5)
-    training.fit_head(examples, folder, epochs=2, hidden=8, iterations=5)
-    history = spark.read.parquet(f"{folder}/epochs")
-    append_metrics(history, f"{folder}/metrics", every=1)
-    return spark.read.parquet(f"{folder}/metrics")
+    for epochs in (1, 3, 4):
+        head.fit_head(examples, folder, epochs, RESUME)
+    append_metrics(head.loss_rows(spark, folder), f"{folder}/metrics", every=1)
+    return spark.read.parquet(f"{folder}/metrics").withColumn("loss", F.round("loss", 9))
 
 
 @query(

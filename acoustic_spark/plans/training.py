@@ -1,16 +1,10 @@
-"""Fit, save, resume and evaluate the two-class head on embeddings."""
+"""Logistic heads on embeddings, and the evaluation sets. `plans.head` has the head with a hidden layer."""
 
 from __future__ import annotations
 
-from pyspark.ml.classification import (
-    LogisticRegression,
-    LogisticRegressionModel,
-    MultilayerPerceptronClassificationModel,
-    MultilayerPerceptronClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.errors import AnalysisException
 
 from acoustic_spark.operators.quality import confusion_counts
 from acoustic_spark.schemas import METRICS
@@ -53,43 +47,6 @@ def metric_rows(spark: SparkSession, history: list[float], epoch: int = 0, first
     return local_table(spark, rows, METRICS)
 
 
-def last_epoch(spark: SparkSession, folder: str) -> int | None:
-    """The newest epoch whose model was saved, from the epoch log beside the models."""
-    try:
-        return spark.read.parquet(f"{folder}/epochs").agg(F.max("epoch")).first()[0]
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-def fit_head(
-    examples: DataFrame, folder: str, epochs: int, hidden: int = 100, iterations: int = 10, seed: int = 0
-) -> MultilayerPerceptronClassificationModel:
-    """Fit a hidden layer and two outputs, saving after every epoch and resuming from the newest.
-
-    The model of an epoch is written before its row in the epoch log, so an
-    interrupted run resumes from a whole model.
-    """
-    spark = examples.sparkSession
-    done = last_epoch(spark, folder)
-    model = None if done is None else MultilayerPerceptronClassificationModel.load(f"{folder}/model-{done}")
-    # The second output is the positive class.
-    rows = _features(examples, F.col("labels")[0])
-    width = examples.select(F.size("embedding")).first()[0]
-    for epoch in range(0 if done is None else done + 1, epochs):
-        trainer = MultilayerPerceptronClassifier(layers=[width, hidden, 2], maxIter=iterations, seed=seed)
-        if model is not None:
-            trainer.setInitialWeights(model.weights)
-        model = trainer.fit(rows)
-        history = list(model.summary().objectiveHistory)
-        model.write().overwrite().save(f"{folder}/model-{epoch}")
-        # A history has the loss before the first iteration too.
-        log = metric_rows(spark, history, epoch, epoch * (iterations + 1))
-        log.coalesce(1).write.mode("append").parquet(f"{folder}/epochs")
-    return model
-
-
 def labelled_embeddings(positives: DataFrame, negatives: DataFrame, embedding: Column) -> DataFrame:
     """Embeddings of both evaluation sets with their label; `embedding` turns a row into its final embedding."""
     rows = positives.withColumn("label", F.lit(1)).unionByName(negatives.withColumn("label", F.lit(0)))
