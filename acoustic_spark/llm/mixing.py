@@ -52,11 +52,12 @@ def targets(sizes: list[tuple[str | None, int]], weights: tuple[int, ...] = WEIG
 
 
 def fit_budget(counts: list[tuple[int, int]], budget: int, knapsack_words: int = KNAPSACK_WORDS) -> list[int]:
-    """How many documents of each length to take so that their words come as near to `budget` as they can, not above it.
+    """How many documents of each length to take so that their words come near to `budget`, not above it.
 
     `counts` has (length, documents). First every length gives the same share, rounded
     down; then single documents, longest first, while the rest is over `knapsack_words`;
-    then a bounded knapsack over the documents left decides the last words exactly.
+    then a bounded knapsack over the documents left comes as near as these can. Other shares might come
+    some words nearer.
     """
     total = sum(length * n for length, n in counts)
     if total <= budget:
@@ -113,7 +114,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
 
     Sources in code point order, null last, weigh 3, 1, 2, repeating, and share 150 % of
     all words; no target is above twice its source's words. A null text has no words; rows
-    without words are not taken. Rows that repeat a doc_id count each. Reruns agree. An
+    without words are not taken. Rows that repeat a doc_id count each. Reruns agree: a row's place is that of its
+    id's hash, of its text's where the id is null, and rows that share both are taken alike. An
     empty table gives an empty result. Result columns replace input columns of the same name.
 
     The lengths of a source, not its rows, meet in one task: there are at most about
@@ -127,7 +129,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     # The rank of a row within (source, length) by seeded hash is its rank in a hash range plus
     # the rows of the ranges before. A range is taken whole, not at all or, one range a length, in
     # part: `quota` of its rows. Ranges keep a hot length from one task.
-    order = F.xxhash64(F.lit(seed), F.col(doc_id))
+    words_of = F.xxhash64(text_or_empty(text))
+    order = F.when(F.col(doc_id).isNull(), F.xxhash64(F.lit(seed), words_of)).otherwise(F.xxhash64(F.lit(seed), F.col(doc_id)))
     keys = [key, "size", part]
     ranged = sized.withColumn(part, F.pmod(F.shiftright(order, 40), F.lit(RANGES)).cast("int"))
     counted = written(ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("in_range")), "lengths")
@@ -147,7 +150,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     counted = counted.withColumn(before, F.coalesce(F.sum("in_range").over(earlier), F.lit(0))).join(plan, [key, "size"])
     quota = F.greatest(F.lit(0), F.least(F.col("extra") - F.col(before), F.col("in_range")))
     counted = counted.select(*keys, "source_size", "target", F.col("passes").alias(passes), quota.alias(before))
-    place = Window.partitionBy(*keys).orderBy(order, F.col(doc_id))
+    place = Window.partitionBy(*keys).orderBy(order, F.col(doc_id), words_of)
     out = ranged.join(counted, keys).withColumn(rank, F.row_number().over(place))
     times = F.col(passes) + (F.col(rank) <= F.col(before)).cast("int")
     return out.withColumn("times", F.when(F.col("size") > 0, times).otherwise(0)).drop(key, rank, part, before, passes)
