@@ -208,7 +208,7 @@ def word_levels(texts: DataFrame) -> bytes:
     return bytes(out)
 
 
-SETS = "number long, doc_id long, n_shingles long, digest binary, signatures array<long>, bits binary, packed binary"
+SETS = "number long, doc_id long, n_shingles long, digest binary, signatures array<long>, bits binary"
 
 
 def _prepared(levels, n: int, percent: int) -> object:
@@ -222,8 +222,8 @@ def _prepared(levels, n: int, percent: int) -> object:
                     hashes.clear()
                 tokens, level = shingles(words_of(text), hashes, n)
                 digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
-                rows.append((number, None if doc_id is pd.NA else doc_id, len(tokens), digest, signatures(tokens, level, percent).view(np.int64), bitmap(tokens).tobytes(), zlib.compress(text.encode(), 1)))
-            yield pd.DataFrame(rows, columns=["number", "doc_id", "n_shingles", "digest", "signatures", "bits", "packed"]).astype({"doc_id": "Int64"})
+                rows.append((number, None if doc_id is pd.NA else doc_id, len(tokens), digest, signatures(tokens, level, percent).view(np.int64), bitmap(tokens).tobytes()))
+            yield pd.DataFrame(rows, columns=["number", "doc_id", "n_shingles", "digest", "signatures", "bits"]).astype({"doc_id": "Int64"})
 
     return run
 
@@ -302,13 +302,14 @@ def near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(small_a, "a").join(small_b, "b").mapInPandas(_near(percent), "a long, b long")
 
 
-def verify(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
-    """A written table of the pairs (a, b) that are similar enough; `sets` has number and packed.
+def verify(pairs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """A written table of the pairs (a, b) that are similar enough; `rows` has number and text.
 
     Only texts of these pairs are moved.
     """
     involved = pairs.select(F.col("a").alias("number")).union(pairs.select("b")).distinct()
-    texts = written(sets.select("number", "packed").join(involved, "number", "left_semi"), "texts")
+    needed = rows.select("number", "text").join(involved, "number", "left_semi")
+    texts = written(needed.select("number", F.col("text").cast("binary").alias("packed")).mapInPandas(_compressed, "number long, packed binary"), "texts")
     left = texts.select(F.col("number").alias("a"), F.col("packed").alias("packed_a"))
     right = texts.select(F.col("number").alias("b"), F.col("packed").alias("packed_b"))
     links = written(pairs.join(left, "a").join(right, "b").mapInPandas(_verified(n, percent), "a long, b long"), "links")
@@ -316,6 +317,11 @@ def verify(pairs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame
     return links
 
 
+def _compressed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield batch.assign(packed=[zlib.compress(text, 1) for text in batch["packed"]])
+
+
 class _Rows:
     """Columns of a batch as arrays."""
 
@@ -396,6 +402,7 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     row of each component, that of the smallest doc_id and then number. An empty table gives an empty result; other columns are not read.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"), (F.monotonically_increasing_id() if number is None else F.col(number)).alias("number"))
+    rows = written(rows, "rows") if number is None else rows
     levels = docs.sparkSession.sparkContext.broadcast(word_levels(rows))
     prepared = written(rows.mapInPandas(_prepared(levels, n, percent), SETS), "sets")
 
@@ -413,7 +420,7 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     pairs = written(near(stars.where("b >= 0").select("a", "b").distinct(), prepared, percent), "pairs")
     shared = stars.where("b < 0").select("signature", F.col("a").alias("number"))
     nearest = written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "nearest")
-    links = verify(nearest, prepared, n, percent)
+    links = verify(nearest, rows, n, percent)
     found = components(links)
 
     def separate(candidates: DataFrame) -> DataFrame:
@@ -425,7 +432,7 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
 
     def extend(candidates: DataFrame) -> None:
         nonlocal links, found
-        more = verify(candidates, prepared, n, percent)
+        more = verify(candidates, rows, n, percent)
         if more.limit(1).count():
             links = links.union(more)
             discard(found)
@@ -457,5 +464,5 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     alone = narrow.where("digest is null").withColumns({"component_id": F.col("doc_id"), "kept_row": F.col("number"), "n_class": F.lit(1).cast("long"), "n_links": F.lit(0).cast("long")})
     done = linked.unionByName(alone).select("number", "doc_id", "n_shingles", "component_id", "n_links", (F.col("number") == F.col("kept_row")).alias("kept"))
     done = written(done, "linked")
-    discard(prepared, classes)
+    discard(prepared, classes, *([rows] if number is None else []))
     return done

@@ -122,15 +122,15 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     sqrt(2 * words) different lengths. The sources' sizes reach the driver, one row each.
     """
     docs = docs.drop(*[c for c in ("size", "source_size", "target", "times") if c not in (text, source, doc_id)])
-    key, rank, part, before, passes = fresh(docs, "source_key", "rank", "part", "before", "passes")
+    key, rank, part, before, passes, order, tie = fresh(docs, "source_key", "rank", "part", "before", "passes", "order", "tie")
     # A key that is never null and sorts by code point with null last.
     named = F.when(F.col(source).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source).cast("string")))
     sized = docs.withColumns({"size": word_count(text), key: named})
     # The rank of a row within (source, length) by seeded hash is its rank in a hash range plus
     # the rows of the ranges before. A range is taken whole, not at all or, one range a length, in
     # part: `quota` of its rows. Ranges keep a hot length from one task.
-    words_of = F.xxhash64(text_or_empty(text))
-    order = F.when(F.col(doc_id).isNull(), F.xxhash64(F.lit(seed), words_of)).otherwise(F.xxhash64(F.lit(seed), F.col(doc_id)))
+    sized = sized.withColumn(tie, F.xxhash64(text_or_empty(text)))
+    sized = sized.withColumn(order, F.when(F.col(doc_id).isNull(), F.xxhash64(F.lit(seed), tie)).otherwise(F.xxhash64(F.lit(seed), F.col(doc_id))))
     keys = [key, "size", part]
     ranged = sized.withColumn(part, F.pmod(F.shiftright(order, 40), F.lit(RANGES)).cast("int"))
     counted = written(ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("in_range")), "lengths")
@@ -150,10 +150,10 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     counted = counted.withColumn(before, F.coalesce(F.sum("in_range").over(earlier), F.lit(0))).join(plan, [key, "size"])
     quota = F.greatest(F.lit(0), F.least(F.col("extra") - F.col(before), F.col("in_range")))
     counted = counted.select(*keys, "source_size", "target", F.col("passes").alias(passes), quota.alias(before))
-    place = Window.partitionBy(*keys).orderBy(order, F.col(doc_id), words_of)
+    place = Window.partitionBy(*keys).orderBy(order, F.col(doc_id), tie)
     out = ranged.join(counted, keys).withColumn(rank, F.row_number().over(place))
     times = F.col(passes) + (F.col(rank) <= F.col(before)).cast("int")
-    return out.withColumn("times", F.when(F.col("size") > 0, times).otherwise(0)).drop(key, rank, part, before, passes)
+    return out.withColumn("times", F.when(F.col("size") > 0, times).otherwise(0)).drop(key, rank, part, before, passes, order, tie)
 
 
 def emit(mixed: DataFrame) -> DataFrame:
