@@ -9,7 +9,7 @@ import json
 import numpy as np
 import pyarrow.fs as pafs
 import pytest
-
+from pyspark.sql import functions as F
 
 from acoustic_spark.llm import html_template, topk, warc
 
@@ -34,10 +34,81 @@ def test_main_text(spark):
     assert html_template.extract(spark.createDataFrame([], PAGE)).count() == 0
 
 
+def tokens_of(spark, rows):
+    return spark.createDataFrame([(h, p, 0, t, n, s, 0, 0, 0, False, 1, 1) for h, t, p, n, s in rows], f"host string, page long, {html_template.TOKENS}")
+
+
 def test_vectors_make_classes(spark):
-    tokens = spark.createDataFrame([("h", t, p, n, 1) for t, n in (("a", 1), ("b", 1), ("c", 2)) for p in range(4)] + [("h", "d", 0, 1, 1)], "host string, token string, page long, n long, below long")
-    found = {tuple(sorted(t["token"] for t in r["tokens"])): (r["support"], r["once"]) for r in html_template.classes(tokens).collect()}
-    assert found == {("a", "b"): (4, True), ("c",): (4, False), ("d",): (1, True)}
+    rows = [("h", t, p, n, n == 1) for t, n in ((1, 1), (2, 1), (3, 2)) for p in range(4)] + [("h", 4, p, 1, True) for p in (0, 1)] + [("h", 5, p, 1, True) for p in (1, 2)] + [("h", 6, 0, 1, True)]
+    found = html_template.vectors(tokens_of(spark, rows)).withColumn("n", F.lit(4))
+    made = sorted((r["support"], sorted(p["token"] for p in r["parts"])) for r in html_template.classes(found).collect())
+    assert made == [(2, [4]), (2, [5]), (4, [1, 2])]  # not single, or of too few pages: no class
+
+
+def brute_template(pages):
+    """Frame and template runs of a host's pages by whole occurrence vectors."""
+    tokens = [{t[1]: t for t in html_template.page_tokens(p)} for p in pages]
+    vectors = {}
+    for t in set().union(*tokens):
+        vectors[t] = tuple(page[t][2] if t in page else 0 for page in tokens)
+    groups = {}
+    for t, v in vectors.items():
+        single = all(page[t][3] for page in tokens if t in page)
+        if single and 2 * sum(map(bool, v)) >= len(pages):
+            groups.setdefault(v, []).append(t)
+    kind = {t: row[0] for page in tokens for t, row in page.items()}
+    return {t for g in groups.values() for t in g if kind[t] == 1 and len({pages[i] for i, n in enumerate(vectors[t]) if n}) > 1 and sum(kind[x] == 0 for x in g) > 1}
+
+
+def test_template_equals_brute_force(spark):
+    rng = np.random.default_rng(3)
+    say = lambda k: " ".join(f"w{x}" for x in rng.integers(0, 500, k))
+    hosts = {}
+    for host in ("a.example", "b.example", "c.example"):
+        menu, foot, line = say(4), say(6), say(12)
+        hosts[host] = [
+            page(f"<div class=c1><ul><li>{menu}</ul></div>" + (f"<div class=c9><i>{foot}</i><div>{menu}</div></div>" if i % 3 else "") + f"<div class=c2><h1>{say(3)}</h1><p>{say(40)}<p>{line}<p>{say(40)}</div><div class=c3>{foot}</div>")
+            for i in range(9)
+        ]
+    rows = [(i, f"http://{h}/{i}", p, None) for h, pages in hosts.items() for i, p in enumerate(pages)]
+    table = spark.createDataFrame(rows, PAGE).select(html_template.host_of("url").alias("host"), F.xxhash64("html").alias("page"), "html")
+    sizes = table.groupBy("host").agg(F.count("*").alias("n"))
+    found = {r["host"]: r for r in html_template.templates(html_template.occurrences(table), sizes, 27).collect()}
+    for host, pages in hosts.items():
+        assert set(found[host]["runs"]) == brute_template(pages) and len(found[host]["runs"]) >= 4
+
+
+def test_neutral_names_and_repeated_text(spark):
+    """Menu, footer and a line that all articles repeat go though no name tells; words only decide what they can."""
+    words = lambda i, k: " ".join(f"w{i}x{j}" for j in range(k))
+    rows, expected = [], {}
+
+    def add(host, i, body, text):
+        rows.append((len(rows), f"http://{host}/{i}", page(body), None))
+        expected[len(rows) - 1] = text
+
+    for i in range(20):
+        a, b = words(i, 30), words(i + 100, 20)
+        add("neutral", i, f"<div class='c1'><a>home</a><a>news</a></div><div class='c2'><h2>t{i}</h2><p>{a}</p><p>read us daily</p><p>{b}</p></div><div class='c3'>all rights reserved</div>", f"t{i}\n{a}\n{b}")
+        add("layout", i, f"<div class='page sidebar-layout'><div class=sidebar>side {i}</div><article><p>{a}</p></article></div>", a)
+        add("wrapped", i, f"<div class='sidebar'><div class=x><p>{a}</p><p>{b}</p></div></div><footer>f</footer>", f"{a}\n{b}")
+        add("inside", i, f"<article><p>{a}</p><div class='share-price'>price {i}</div><section class='post notice'>{b}</section><div class='comment-list'>me {i}</div><div class=ad-slot>buy {i}</div></article>", f"{a}\nprice {i}\n{b}")
+        add("copies", i, f"<nav>n</nav><article><p>one article that every page has</p></article><footer>{i}</footer>", "one article that every page has")
+        add("id", i, f"<div id='post-{i}'><p>{a}</p></div><div class=menu>m</div>", a)
+    out = {r["page_id"]: r["text"] for r in html_template.extract(spark.createDataFrame(rows, PAGE).repartition(5)).collect()}
+    assert out == expected
+
+
+def test_deep_long_and_clashing_pages(spark):
+    deep = "<div class=c1>" * 20_000 + "<p>deep</p>"
+    long_ = page("<article>" + "<p>word &amp; word</p>" * 50_000 + "</article>")
+    schema = "page_id long, url string, html string, text string, n_chars string, _host int, slot string, runs int, n int, host string"
+    rows = [(i, u, h, "old", "x", 1, "s", 2, 3, "h") for i, u, h in ((1, "http://d/1", deep), (2, "http://l/2", long_), (2, "http://l/2", long_), (None, None, "<p>x"), (4, "http://l/4", None))]
+    out = html_template.extract(spark.createDataFrame(rows, schema))
+    assert out.columns == ["page_id", "url", "html", "_host", "slot", "runs", "n", "host", "text", "n_chars"]
+    got = sorted((r["page_id"] or 0, r["text"], r["n_chars"], r["slot"], r["host"]) for r in out.collect())
+    lines = "\n".join(["word & word"] * 50_000)
+    assert got == [(0, "x", 1, "s", "h"), (1, "deep", 4, "s", "h"), (2, lines, len(lines), "s", "h"), (2, lines, len(lines), "s", "h"), (4, "", 0, "s", "h")]
 
 
 def test_warc(spark):
