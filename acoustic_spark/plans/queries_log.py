@@ -38,6 +38,7 @@ from acoustic_spark.plans.tables import (
     scores,
     series,
 )
+from acoustic_spark.sources import archive
 from acoustic_spark.sources import clips as clip_source
 from acoustic_spark.sources import detection_log as log
 from acoustic_spark.sources.dimensions import metric_log, read_classes, read_clip_meta
@@ -201,10 +202,10 @@ FROM clip_rows GROUP BY ALL""",
 def clip_archive(spark: SparkSession, sf: str) -> DataFrame:
     """Clips archived by sensor and read back."""
     folder = shared_folder(spark, "archive")
-    clip_source.archive(clips(spark, sf), folder)
+    archive.store(clips(spark, sf), folder)
     sample_sum = F.aggregate("samples", F.lit(0).cast("bigint"), lambda total, s: total + s)
     return (
-        clip_source.read_archive(spark, folder)
+        archive.read_archive(spark, folder, "ts")
         .groupBy(F.col("sensor_id").cast("bigint").alias("sensor_id"))
         .agg(
             F.count(F.lit(1)).alias("n_clips"),

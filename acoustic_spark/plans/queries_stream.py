@@ -13,6 +13,7 @@ from acoustic_spark.plans.queries_features import big
 from acoustic_spark.plans.queries_scoring import DETECT, DETECT_CLIP, DETECTED, classifier, detected
 from acoustic_spark.plans.registry import query
 from acoustic_spark.plans.tables import DETECTIONS, SERIES, SMALL, clip_rows, clips, detections, read, series
+from acoustic_spark.sources.archive import bucket_of, close_batches, read_archive
 from acoustic_spark.sources.clips import checked_messages, from_messages, publish, to_messages
 from acoustic_spark.sources.detection_log import detection_rows
 from acoustic_spark.sources.stream import subscribe
@@ -179,6 +180,12 @@ def stream_log(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def per_sensor(clips: DataFrame) -> DataFrame:
+    return clips.groupBy(F.col("sensor_id").cast("bigint").alias("sensor_id")).agg(
+        F.count(F.lit(1)).alias("archived"), F.sum(F.col("n_samples").cast("bigint")).alias("n_samples")
+    )
+
+
 @query(
     "stream_archive",
     f"""WITH {SERIES}, {clip_rows(DETECT_CLIP)}, logged AS (
@@ -189,11 +196,7 @@ def stream_archive(spark: SparkSession, sf: str) -> DataFrame:
     """Clips archived by sensor and clips logged, per sensor."""
     folder = detection_run(spark, sf, archive=True)
     sensor = F.col("sensor_id").cast("bigint").alias("sensor_id")
-    archived = (
-        spark.read.parquet(f"{folder}/archive")
-        .groupBy(sensor)
-        .agg(F.count(F.lit(1)).alias("archived"), F.sum(F.col("n_samples").cast("bigint")).alias("n_samples"))
-    )
+    archived = per_sensor(read_archive(spark, f"{folder}/archive"))
     logged = spark.read.parquet(f"{folder}/log").groupBy(sensor).agg(F.count(F.lit(1)).alias("logged"))
     return archived.join(logged, "sensor_id", "full").select("sensor_id", "archived", "logged", "n_samples")
 
@@ -209,11 +212,31 @@ FROM clip_rows JOIN named USING (sensor_id, clip_no) JOIN events e ON e.event_id
 def archived_samples(spark: SparkSession, sf: str) -> DataFrame:
     """Samples of every logged clip, found in the archive by the logged path."""
     folder = detection_run(spark, sf, archive=True)
-    logged = spark.read.parquet(f"{folder}/log").select("path")
-    found = logged.join(spark.read.parquet(f"{folder}/archive").select("path", "samples"), "path")
+    logged = spark.read.parquet(f"{folder}/log").select(bucket_of(F.col("sensor_id")).alias("bucket"), "path")
+    found = logged.join(read_archive(spark, f"{folder}/archive").select("bucket", "path", "samples"), ["bucket", "path"])
     return found.select("path", F.posexplode("samples").alias("pos", "sample")).select("path", *big("pos", "sample"))
 
 
+@query(
+    "closed_archive",
+    f"""WITH {SERIES}, {clip_rows(DETECT_CLIP)}, named AS (
+  SELECT sensor_id, clip_no, min(event_id) AS seq, count(*) AS n_samples, sum(s) AS total FROM clip_rows GROUP BY ALL)
+SELECT CAST(e.ts AS DATE)::VARCHAR AS day, CAST(count(*) AS BIGINT) AS n_clips, CAST(count(DISTINCT sensor_id) AS BIGINT) AS n_sensors,
+       CAST(sum(n_samples) AS BIGINT) AS n_samples, CAST(sum(total) AS BIGINT) AS total
+FROM named JOIN events e ON e.event_id = seq GROUP BY ALL""",
+)
+def closed_archive(spark: SparkSession, sf: str) -> DataFrame:
+    """The archive of a stream by day, with its first batches closed, and again, and its last still live."""
+    path = f"{detection_run(spark, sf, archive=True)}/archive"
+    for upto in (0, 2, 2):
+        close_batches(spark, path, upto)
+    sample_sum = F.aggregate("samples", F.lit(0).cast("bigint"), lambda total, s: total + s)
+    return read_archive(spark, path).groupBy(F.col("day").cast("string").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_clips"), F.countDistinct("sensor_id").alias("n_sensors"),
+        F.sum(F.col("n_samples").cast("bigint")).alias("n_samples"), F.sum(sample_sum).alias("total"),
+    )
+
+
 @query(
     "stream_first_record",
     f"""WITH {SERIES} SELECT CAST(count(DISTINCT (sensor_id, i // {DETECT_CLIP})) AS BIGINT) AS received,

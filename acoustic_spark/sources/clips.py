@@ -1,9 +1,8 @@
-"""Clips from WAV files, keyed messages, and the clip archive."""
+"""Clips from WAV files, and keyed messages."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import pandas as pd
 import pyarrow.fs as pafs
@@ -181,33 +180,3 @@ def from_messages(messages: DataFrame, n_frames: int | None = None, sample_rate:
     """The clips among the messages; `checked_messages` has the others too."""
     return accepted(checked_messages(messages, n_frames, sample_rate))
 
-
-# --- archive ----------------------------------------------------------------------
-
-
-@contextmanager
-def by_sensor(clips: DataFrame) -> Iterator[DataFrame]:
-    """Clips placed for a write with one folder per sensor.
-
-    `rebalance` brings each sensor together and lets the adaptive planner split a
-    hot one over several writers, which a plain repartition by sensor cannot. The
-    folders, not the bytes, cost the time here, so while the write runs small
-    partitions are not merged: that would leave all folders to one task.
-    """
-    conf, key = clips.sparkSession.conf, "spark.sql.adaptive.coalescePartitions.enabled"
-    before = conf.get(key)
-    conf.set(key, "false")
-    try:
-        yield clips.hint("rebalance", "sensor_id")
-    finally:
-        conf.set(key, before)
-
-
-def archive(clips: DataFrame, path: str, mode: str = "append") -> None:
-    """Write clips under one folder per sensor."""
-    with by_sensor(clips) as placed:
-        placed.write.mode(mode).partitionBy("sensor_id").parquet(path)
-
-
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path)

@@ -9,7 +9,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from acoustic_spark.functions.text import predictions_json
 from acoustic_spark.operators.toplists import first_record
-from acoustic_spark.sources.clips import accepted, by_sensor, rejected
+from acoustic_spark.sources.archive import store_batch
+from acoustic_spark.sources.clips import accepted, rejected
 
 TRIGGER = "2 seconds"
 
@@ -49,8 +50,7 @@ def detection_batch(
         rows = first_record(accepted(checked), *order) if first_only else accepted(checked)
         if archive_path is not None:
             kept = rows if clip_path is None else rows.withColumn("path", clip_path)
-            with by_sensor(kept) as placed:
-                write_batch(placed, archive_path, batch_id, "sensor_id")
+            store_batch(kept, archive_path, batch_id)
         write_batch(classify(rows), log_path, batch_id)
         if rejects_path is not None:
             write_batch(rejected(checked), rejects_path, batch_id)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from acoustic_spark.functions.text import parse_predictions, print_predictions
 from acoustic_spark.functions.waveform import decode_pcm16, encode_pcm16
 from acoustic_spark.schemas import DETECTIONS
+from acoustic_spark.sources import archive as A
 from acoustic_spark.sources import clips as C
 from acoustic_spark.sources import detection_log as L
 from acoustic_spark.sources import dimensions as D
@@ -89,16 +90,39 @@ def test_messages(spark, tmp_path):
     assert back.filter("sensor_id = 's4'").count() == 0
 
 
-def test_archive_by_sensor(spark, tmp_path):
-    rows = [(s, c, [c]) for s in ("s1", "s2") for c in range(3)]
-    clips = spark.createDataFrame(rows, "sensor_id STRING, clip INT, samples ARRAY<SMALLINT>")
-    setting = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    C.archive(clips, str(tmp_path / "archive"))
-    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == setting
-    assert sorted(p.name for p in (tmp_path / "archive").iterdir() if p.is_dir()) == ["sensor_id=s1", "sensor_id=s2"]
-    one = C.read_archive(spark, str(tmp_path / "archive")).filter("sensor_id = 's2'")
-    assert "PartitionFilters: [isnotnull(sensor_id" in one._jdf.queryExecution().executedPlan().toString()
-    assert one.count() == 3
+def test_archive_by_day_and_bucket(spark, tmp_path):
+    """As many files as days and buckets, whatever the number of sensors; a lookup reads one bucket and says so in the plan."""
+    path = str(tmp_path / "archive")
+    rows = [(f"s{s}", f"2020-01-0{1 + c % 2} 00:00:00", f"/c/s{s}/{c}.wav", [c]) for s in range(200) for c in range(4)]
+    clips = spark.createDataFrame(rows, "sensor_id STRING, ts STRING, path STRING, samples ARRAY<SMALLINT>").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    A.store(clips.repartition(7), path)
+    files = list((tmp_path / "archive").rglob("*.parquet"))
+    assert len(files) <= 2 * A.BUCKETS
+    one = A.find_clips(A.read_archive(spark, path, "ts"), "s7", "/c/s7/2.wav")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "EqualTo(path,/c/s7/2.wav)" in plan
+    assert [(r.samples, str(r.day)) for r in one.collect()] == [([2], "2020-01-01")]
+
+
+def test_closing_batches_is_safe_to_repeat(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    read = lambda: sorted((r.sensor_id, r.samples[0]) for r in A.read_archive(spark, path).collect())
+    batch = lambda n: spark.createDataFrame([(f"s{i}", f"p{n}", [n]) for i in range(3)], "sensor_id STRING, path STRING, samples ARRAY<SMALLINT>")
+    every = lambda n: sorted((f"s{i}", b) for b in range(n) for i in range(3))
+    for n in (0, 1, 1, 2):
+        A.store_batch(batch(n), path, n)
+    assert read() == every(3)
+    A.close_batches(spark, path, 1)
+    A.close_batches(spark, path, 1)
+    assert read() == every(3) and [p.name for p in (tmp_path / "archive/live").iterdir()] == ["batch_id=2"]
+    A.store_batch(batch(1), path, 1)  # left over from a run that ended before it was deleted
+    (tmp_path / "archive/closed/upto=2/day=2020-01-01/bucket=0").mkdir(parents=True)  # a part that was never finished
+    A.store_batch(batch(3), path, 3)
+    assert read() == every(4)
+    A.close_batches(spark, path, 3)
+    assert read() == every(4) and not list((tmp_path / "archive/live").iterdir())
+    with pytest.raises(ValueError, match="no clips"):
+        A.read_archive(spark, str(tmp_path / "none"))
 
 
 LOG = [
