@@ -13,25 +13,54 @@ from acoustic_spark.functions.arrow_lists import flat_lists, list_rows
 from acoustic_spark.operators.frames import explode_range
 
 
-def resample_series(series: DataFrame, keys: Sequence[str], source_rate: int, target_rate: int) -> DataFrame:
-    """Linear interpolation of a series (key, i, n, x) onto the target rate.
-
-    Each sample is sent to the output positions between its neighbours, so the
-    work is an equi-grouping on (key, output position). Past the ends the signal is zero.
+def _bessel(x: Column, beta: float) -> Column:
+    """Modified Bessel function of order 0 of numbers from 0 to beta, by its power series until a term no longer counts."""
+    quarter = x * x / 4
+    terms, size = 1, 1.0
+    while size > 1e-18:
+        size *= beta * beta / 4 / terms**2
+        terms += 1
+    total = F.lit(1.0)
+    for k in range(terms, 0, -1):
+        total = F.lit(1.0) + total * quarter / float(k * k)
+    return total
+
+
+def _sinc_weight(away: Column, half: int, cutoff: float, beta: float) -> Column:
+    """Weight of a sample so many input samples away from an output."""
+    angle = away * (np.pi * cutoff)
+    sinc = F.when(away == 0, 1.0).otherwise(F.sin(angle) / angle)
+    inside = F.sqrt(F.greatest(F.lit(0.0), F.lit(1.0) - away * away / float(half * half)))
+    return sinc * _bessel(inside * beta, beta) * (cutoff / float(np.i0(beta)))
+
+
+def resample_series(
+    series: DataFrame, keys: Sequence[str], source_rate: int, target_rate: int, kernel: str = "linear", zero_crossings: int = 16, beta: float = 8.6
+) -> DataFrame:
+    """A series (key, i, n, x) at the target rate, by the kernels of `resample_array`.
+
+    Each sample is sent to the outputs whose taps reach it, with the weight of its distance, and the products are
+    added up by (key, output): an equi-grouping, added up in each task before the shuffle. Past the ends the signal is zero.
     """
+    if kernel not in ("sinc", "linear"):
+        raise ValueError(f"unknown kernel {kernel!r}")
     if source_rate == target_rate:
         return series.select(*keys, F.col("i").cast("long").alias("i"), F.col("n").cast("long").alias("n"), "x")
     common = gcd(source_rate, target_rate)
     up, down = target_rate // common, source_rate // common
+    cutoff = min(1.0, up / down)
+    half = int(np.ceil(zero_crossings / cutoff)) if kernel == "sinc" else 1
     out_n = F.floor(F.col("n") * up / down).cast("long")
-    # Output j lies at input position j * down / up; sample i has weight 1 - |j*down/up - i|.
+    # Output j lies at input position j * down / up. Its taps reach from `half` samples after it (with weight) to less than `half` before.
+    first = F.floor((F.col("i") - half) * up / down) + 1 if kernel == "linear" else F.ceil((F.col("i") - half) * up / down)
     rows = explode_range(
         series.withColumn("_out_n", out_n),
         "_j",
-        F.greatest(F.lit(0), F.floor((F.col("i") - 1) * up / down) + 1),
-        F.least(F.ceil((F.col("i") + 1) * up / down) - 1, F.col("_out_n") - 1),
+        F.greatest(F.lit(0), first),
+        F.least(F.ceil((F.col("i") + half) * up / down) - 1, F.col("_out_n") - 1),
     )
-    weight = F.lit(1.0) - F.abs(F.col("_j") * down - F.col("i") * up) / F.lit(up)
+    away = (F.col("_j") * down - F.col("i") * up) / F.lit(up)
+    weight = _sinc_weight(away, half, cutoff, beta) if kernel == "sinc" else F.lit(1.0) - F.abs(away)
     return (
         rows.groupBy(*keys, F.col("_j").alias("_at"))
         .agg(F.sum(F.col("x") * weight).alias("x"), F.max("_out_n").alias("n"))

@@ -31,6 +31,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame
     )
 
 
+def rows_of_latest(df: DataFrame, keys: Sequence[str], part: Sequence[str], order: str) -> DataFrame:
+    """All rows of each key's newest part (a clip, say): the one with the greatest `order`.
+
+    Only the parts' names and orders are compared, so what is built from the rows afterwards is built for one part a key.
+    """
+    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*part), F.col(order)).alias("_part"))
+    return df.join(newest.select(*keys, *[F.col("_part")[c].alias(c) for c in part]), [*keys, *part], "left_semi")
+
+
 def latest_overall(df: DataFrame, *order: str) -> DataFrame:
     """The last row of the table by `order`."""
     return df.orderBy(*[F.desc(c) for c in order]).limit(1)

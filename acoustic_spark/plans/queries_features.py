@@ -151,6 +151,25 @@ def resampled_series(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# 16 to 12 kHz: three outputs for four samples, 22 taps a side, weights by distance in thirds of a sample.
+SINC = f"""WITH {SERIES}, taps AS (
+  SELECT d, d / 3.0::DOUBLE AS away, 8.6 * sqrt(greatest(0, 1 - pow(d / 66.0::DOUBLE, 2))) AS u FROM range(-66, 66) r(d)),
+weights AS MATERIALIZED (
+  SELECT d, 0.75 * CASE WHEN d = 0 THEN 1 ELSE sin(pi() * 0.75 * away) / (pi() * 0.75 * away) END
+    * list_sum(list_transform(range(0, 45), lambda k: pow(u * u / 4, k) / pow(gamma(k + 1), 2)))
+    / list_sum(list_transform(range(0, 45), lambda k: pow(8.6 * 8.6 / 4, k) / pow(gamma(k + 1), 2))) AS w FROM taps),
+spread AS (
+  SELECT sensor_id, i, x, n * 3 // 4 AS m, unnest(range(greatest(0, CAST(floor((i - 22) * 3 / 4.0) AS BIGINT) - 1), least(CAST(ceil((i + 22) * 3 / 4.0) AS BIGINT) + 1, n * 3 // 4))) AS j FROM series)
+SELECT sensor_id, CAST(j AS BIGINT) AS i, CAST(m AS BIGINT) AS n, round(sum(x * w), 6) AS x
+FROM spread JOIN weights ON d = j * 4 - i * 3 GROUP BY sensor_id, j, m"""
+
+
+@query("resampled_series_sinc", SINC)
+def resampled_series_sinc(spark: SparkSession, sf: str) -> DataFrame:
+    """Windowed-sinc resampling from 16 to 12 kHz over the long table."""
+    return resample_series(series(spark, sf), KEY, 16_000, 12_000, "sinc").select("sensor_id", "i", *big("n"), F.round("x", 6).alias("x"))
+
+
 @query(
     "resampled_clips",
     f"""WITH {SERIES}, {clip_rows()}, spread AS (

@@ -52,8 +52,7 @@ SELECT sensor_id, strftime(ts, '%Y-%m-%d_%H:%M:%S') AS dt, CAST(flag AS BIGINT)
 FROM detections QUALIFY row_number() OVER (PARTITION BY sensor_id ORDER BY ingest_seq DESC) = 1""",
 )
 def latest_detection(spark: SparkSession, sf: str) -> DataFrame:
-    last = toplists.latest_per_key(detections(spark, sf), ["sensor_id"], "ingest_seq")
-    return last.select(
+    return detections(spark, sf, latest=True).select(
         "sensor_id",
         log_time(F.col("ts")).alias("dt"),
         F.col("flag").cast("bigint").alias("flag"),

@@ -6,6 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from acoustic_spark.config import NEGATIVE_CLASSES, POSITIVE_CLASSES
 from acoustic_spark.operators import pairing, scoring
 from acoustic_spark.operators.pairing import label_vector
 from acoustic_spark.plans import head, training
@@ -32,6 +33,47 @@ def balanced_selection(spark: SparkSession, sf: str) -> DataFrame:
     return pairing.balanced(wanted, "lang", "doc_id", PER_CLASS).select("doc_id", "lang")
 
 
+# Labels of the configured sets for documents: one by language, one by source, one by length.
+SETS = [*POSITIVE_CLASSES, *NEGATIVE_CLASSES]
+PER_POSITIVE, PER_NEGATIVE = 25, 15
+_NAMES = ", ".join(f"'{c}'" for c in SETS)
+
+
+def _rounds(side: str, classes: tuple[str, ...], n: int) -> str:
+    """SQL of the rounds of a selection over carried(seq, label): tables {side}_all<r>, one round more than there are classes."""
+    order = ", ".join(f"('{c}', {i})" for i, c in enumerate(classes))
+    parts = [f"""{side}_c AS MATERIALIZED (SELECT c.seq, c.label, o.pos, count(*) OVER (PARTITION BY c.label) AS n
+  FROM carried c JOIN (VALUES {order}) o(label, pos) USING (label) WHERE c.positive = {side == 'p'}),
+{side}_all0 AS (SELECT seq, label FROM {side}_c WHERE false)"""]
+    for r in range(1, len(classes) + 2):
+        parts.append(f"""{side}_s{r} AS MATERIALIZED (SELECT label, {n} - count(a.seq) AS short FROM (SELECT DISTINCT label FROM {side}_c) l LEFT JOIN {side}_all{r - 1} a USING (label) GROUP BY label),
+{side}_h{r} AS (SELECT c.seq, c.label, s.short FROM {side}_c c JOIN {side}_s{r} s USING (label) WHERE short > 0 AND c.seq NOT IN (SELECT seq FROM {side}_all{r - 1})
+  QUALIFY row_number() OVER (PARTITION BY c.seq ORDER BY c.n, c.pos) = 1),
+{side}_all{r} AS MATERIALIZED (SELECT * FROM {side}_all{r - 1} UNION ALL
+  SELECT seq, label FROM (SELECT * FROM {side}_h{r} QUALIFY row_number() OVER (PARTITION BY label ORDER BY seq) <= short))""")
+    return ",\n".join(parts)
+
+
+@query(
+    "training_selection",
+    f"""WITH names AS (SELECT [{_NAMES}] AS l),
+labelled AS (SELECT doc_id AS seq, list_distinct([l[1 + ascii(lang) % {len(SETS)}], l[1 + ascii(right(source, 1)) % {len(SETS)}], l[1 + n_chars % {len(SETS)}]]) AS labels FROM documents, names),
+carried AS MATERIALIZED (SELECT seq, unnest(labels) AS label, len(list_intersect(labels, l[1:{len(POSITIVE_CLASSES)}])) > 0 AS positive FROM labelled, names WHERE labels IS NOT NULL),
+{_rounds('p', POSITIVE_CLASSES, PER_POSITIVE)},
+{_rounds('n', NEGATIVE_CLASSES, PER_NEGATIVE)}
+SELECT seq AS doc_id, label, 1::BIGINT AS positive FROM p_all{len(POSITIVE_CLASSES) + 1} UNION ALL
+SELECT seq, label, 0::BIGINT FROM n_all{len(NEGATIVE_CLASSES) + 1}""",
+)
+def training_selection(spark: SparkSession, sf: str) -> DataFrame:
+    """Both training sets by the configured classes from documents with up to three labels, each document once."""
+    names = F.array(*[F.lit(c) for c in SETS])
+    pick = lambda number: F.element_at(names, (F.pmod(number, F.lit(len(SETS))) + 1).cast("int"))
+    labels = F.array_compact(F.array(pick(F.ascii("lang")), pick(F.ascii(F.substring("source", -1, 1))), pick(F.col("n_chars"))))
+    meta = read(spark, sf, "documents").select(F.col("doc_id").alias("seq"), labels.alias("labels"))
+    chosen = pairing.training_sets(meta, F.col("labels"), "seq", PER_POSITIVE, PER_NEGATIVE)
+    return chosen.select(F.col("seq").alias("doc_id"), "label", *big("positive"))
+
+
 def sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     labels = read(spark, sf, "labels").select("doc_id", "quality")
     return labels.filter(F.col("quality") == 1), labels.filter(F.col("quality") == 0)
@@ -82,9 +124,9 @@ CONCATENATED = """SELECT doc_id, CAST(quality AS BIGINT) AS quality, CAST(qualit
        CAST(1 - quality AS BIGINT) AS neg FROM labels"""
 
 
-def _labelled(rows: DataFrame) -> DataFrame:
+def _labelled(rows: DataFrame, *carried: str) -> DataFrame:
     return rows.select(
-        "doc_id", *big("quality"), F.col("labels")[0].cast("bigint").alias("pos"), F.col("labels")[1].cast("bigint").alias("neg")
+        "doc_id", *big("quality", *carried), F.col("labels")[0].cast("bigint").alias("pos"), F.col("labels")[1].cast("bigint").alias("neg")
     )
 
 
@@ -93,9 +135,11 @@ def concatenated_examples(spark: SparkSession, sf: str) -> DataFrame:
     return _labelled(pairing.concatenate(*sides(spark, sf)))
 
 
-@query("shuffled_examples", CONCATENATED)
+@query("shuffled_examples", f"SELECT *, CAST(row_number() OVER (ORDER BY md5(doc_id || ':7'), doc_id) - 1 AS BIGINT) AS rank FROM ({CONCATENATED})")
 def shuffled_examples(spark: SparkSession, sf: str) -> DataFrame:
-    return _labelled(pairing.shuffle_rows(pairing.concatenate(*sides(spark, sf)), 7, "doc_id"))
+    """Both sets in seeded random order, the place of each example as its rank."""
+    ranked = pairing.shuffled_ranks(pairing.concatenate(*sides(spark, sf)), 7, "doc_id")
+    return _labelled(ranked, "rank")
 
 
 @query(

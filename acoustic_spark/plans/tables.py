@@ -14,6 +14,7 @@ from acoustic_spark.config import DetectConfig, FeatureConfig
 from acoustic_spark.functions.text import log_time
 from acoustic_spark.operators.positions import with_position
 from acoustic_spark.operators.scoring import name_classes, prediction_lists
+from acoustic_spark.operators.toplists import rows_of_latest
 from acoustic_spark.workspace import local_table
 
 # A small setting that gives every sensor of the test tables several frames and patches.
@@ -113,10 +114,11 @@ SCORES = """scores AS (
   GROUP BY ALL)"""
 
 
-def detections(spark: SparkSession, sf: str) -> DataFrame:
-    """One detection per clip: prediction list, flag, time, path and append order."""
+def detections(spark: SparkSession, sf: str, latest: bool = False) -> DataFrame:
+    """One detection per clip: prediction list, flag, time, path and append order; with `latest` of each sensor's newest clip alone."""
     dictionary = classes(spark, sf)
-    named, _ = name_classes(scores(spark, sf, dictionary), dictionary)
+    found = scores(spark, sf, dictionary)
+    named, _ = name_classes(rows_of_latest(found, ["sensor_id"], ["day"], "seq") if latest else found, dictionary)
     lists = prediction_lists(
         named, ["sensor_id", "day"], RULES, F.max("seq").alias("ingest_seq"), F.max("ts").alias("ts")
     )

@@ -3,11 +3,12 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from acoustic_spark.operators import positions
-from acoustic_spark.operators.pairing import balanced, mixed_batches, pair_by_position
+from acoustic_spark.operators.pairing import balanced, balanced_by_label, mixed_batches, pair_by_position, shuffle_rows, shuffled_ranks, training_sets
 from acoustic_spark.operators.positions import first_n, with_position
 from acoustic_spark.operators.toplists import latest_per_key, recent_events, top_n_per_key
 
@@ -105,6 +106,51 @@ def test_balanced(spark):
     assert sorted(map(tuple, got)) == [("hot", 17, 12), ("rare", 33, 12)]
 
 
+def greedy(clips, classes, n):
+    """The selection by plain loops over (id, labels)."""
+    count = {c: sum(c in labels for _, labels in clips) for c in classes}
+    rarest = sorted((c for c in classes if count[c]), key=lambda c: (count[c], classes.index(c)))
+    chosen, progress = {}, True
+    while progress:
+        short = {c: n - sum(v == c for v in chosen.values()) for c in rarest}
+        wanted = [c for c in rarest if short[c]]
+        homes = [(i, next((c for c in wanted if c in labels), None)) for i, labels in sorted(clips) if i not in chosen]
+        taken = {i: c for c in wanted for i in [i for i, h in homes if h == c][: short[c]]}
+        chosen |= taken
+        progress = bool(taken)
+    return chosen
+
+
+@pytest.mark.parametrize("n", [3, 40])
+def test_balanced_by_label(spark, n):
+    """Clips of several labels, a hot one among them, chosen once; short classes are filled from what is left."""
+    rng = np.random.default_rng(n)
+    classes = ["b", "a", "hot", "d", "absent"]
+    clips = [(int(i), [c for c, p in zip(classes + ["x"], (0.1, 0.1, 0.7, 0.3, 0, 0.5)) if rng.random() < p]) for i in rng.permutation(400)]
+    df = spark.createDataFrame(clips + [(999, None)], "id BIGINT, labels ARRAY<STRING>").repartition(5)
+    got = {r.id: r.label for r in balanced_by_label(df, F.col("labels"), "id", classes, n, slice_rows=16).collect()}
+    assert got == greedy(clips, classes, n)
+    assert balanced_by_label(df, F.col("labels"), "id", ["absent"], n).count() == 0
+    sets = spark.createDataFrame([(1, ["Gunshot", "Speech"]), (2, ["Speech"]), (3, ["Music"])], "id BIGINT, labels ARRAY<STRING>")
+    assert sorted(map(tuple, training_sets(sets, F.col("labels"), "id", 5, 5).collect())) == [(1, "Gunshot", True), (2, "Speech", False)]
+
+
+def test_shuffled_ranks(spark):
+    rows = spark.range(300).withColumn("v", F.col("id") * 2).repartition(7)
+    got = {r.id: (r.rank, r.v) for r in shuffled_ranks(rows, 5, "id").collect()}
+    order = [r.id for r in shuffle_rows(rows, 5, "id").collect()]
+    assert got == {i: (k, 2 * i) for k, i in enumerate(order)}
+
+
+def test_hot_clip_is_paired_in_parts(spark):
+    pos = spark.range(5_000).select(F.lit(1).cast("bigint").alias("clip"), F.col("id").alias("example"))
+    neg = spark.createDataFrame([(2, 0), (4, 0)], "clip BIGINT, example BIGINT")
+    mixed = mixed_batches(pos, neg, "clip", seed=1)
+    assert sorted(map(tuple, mixed.groupBy("batch_id", "clip", "labels").count().collect())) == [(0, 1, [1, 0], 5_000), (0, 2, [0, 1], 1)]
+    keys = [line for line in mixed._jdf.queryExecution().executedPlan().toString().splitlines() if "Join [clip" in line]
+    assert keys and all("_salt" in line for line in keys)  # a clip is as many join keys as it has parts
+
+
 def test_mixed_batches(spark):
     pos = spark.createDataFrame([(c, e) for c in (1, 3, 5) for e in range(2)], "clip BIGINT, example BIGINT")
     neg = spark.createDataFrame([(c, e) for c in (2, 4) for e in range(3)], "clip BIGINT, example BIGINT")

@@ -167,6 +167,17 @@ def test_resample_long_form(spark, source, target):
     assert np.allclose([long[i] for i in range(len(array))], array)
 
 
+@pytest.mark.parametrize("source,target", [(4, 3), (3, 4), (22_050, 16_000), (5, 5)])
+def test_sinc_of_a_series_is_that_of_an_array(spark, source, target):
+    x = np.sin(np.arange(200) ** 1.3)
+    long = {r.i: r.x for r in resample_series(series(spark, a=x), ["name"], source, target, "sinc").collect()}
+    array = clips(spark, a=x).select(resample_array(F.col("samples"), F.lit(source), target)).first()[0]
+    assert sorted(long) == list(range(len(array)))
+    assert np.allclose([long[i] for i in range(len(array))], array, atol=1e-11)
+    with pytest.raises(ValueError, match="unknown kernel"):
+        resample_series(series(spark, a=x), ["name"], 4, 3, "cubic")
+
+
 def test_capture_twin(spark):
     data = series(spark, a=np.arange(33), b=np.arange(9))
     got = capture_rows(data, ["name"], chunk=2, min_chunks=5, max_chunks=7).groupBy("name", "buffer").count().collect()
