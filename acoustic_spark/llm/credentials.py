@@ -26,8 +26,7 @@ BASE = {
     "hex": (r"[0-9a-f]{16,}", 16, 0),
 }
 #: A bare candidate: a run of so many of these characters or more with a lower case letter, an upper case letter and a digit.
-#: BARE_MOST is a limit of the SQL equivalent alone.
-BARE, BARE_LEAST, BARE_MOST = r"[A-Za-z0-9+/_-]{20,}", 20, 200
+BARE, BARE_LEAST = r"[A-Za-z0-9+/_-]{20,}", 20
 KINDS = (*BASE, "live")
 
 #: A value is owner-specific up to so many owners and repositories; beyond, it is a copied example.

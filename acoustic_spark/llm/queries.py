@@ -157,12 +157,12 @@ WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 base AS ({_BASE_SQL}),
 bare AS (
   SELECT * FROM ({_matches_sql("live", 3, credentials.BARE, 0, credentials.BARE_LEAST)}) x
-  WHERE length(value) <= {credentials.BARE_MOST} AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')
+  WHERE regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[0-9]')
   AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = x.doc_id AND b.s < x.e AND x.s < b.e)
 ),
 cand AS (
   SELECT DISTINCT doc_id, source, 'live' AS kind, 3 AS rank, e - length(value) AS s, e, value
-  FROM (SELECT * FROM base UNION ALL SELECT * FROM bare) WHERE regexp_matches(value, '[0-9]')
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM bare)
 ),
 own AS (
   SELECT value FROM cand GROUP BY value

@@ -317,12 +317,16 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     Removed is each byte of the UTF-8 text that a LENGTH-byte string covers which also
     starts earlier: in a smaller doc_id, or earlier in the same text. Strings are judged on
     the input and never cross texts. A null text counts as empty. A null doc_id comes before
-    all others. Rows that repeat a doc_id with another text are different texts in a fixed
+    all others: texts without an id get numbers below the smallest id, by a hash of the text (63 bits of it
+    where no id is negative). Rows that repeat a doc_id that is not null with another text are different texts in a fixed
     order (told apart by 18 bits of a hash); rows that repeat doc_id and text are one text
     and get equal results. An empty table gives an empty result; other columns are not read.
     """
-    lowest = F.lit(-(1 << 63)).cast("long")
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), lowest).alias("doc"), text_or_empty(text).alias("text"))
+    number = F.col(doc_id).cast("long")
+    least = docs.agg(F.min(number)).first()[0]
+    room = (0 if least is None else least) + (1 << 63)  # numbers below the smallest id
+    below = F.pmod(F.xxhash64(text_or_empty(text), F.lit(1)), F.lit(min(max(room, 1), (1 << 63) - 1)).cast("long")) + F.lit(-(1 << 63)).cast("long")
+    rows = docs.select(number.alias("doc_id"), F.coalesce(number, below).alias("doc"), text_or_empty(text).alias("text"))
     rows = rows.withColumn("mark", mark_of(F.col("text")))
     places = repeated_places(rows.select("doc", "mark", "text"))
     spans = places.select("doc", "place", F.shiftright("place", 45).alias("mark")).groupBy("doc", "mark").agg(F.collect_list("place").alias("places"))

@@ -181,6 +181,17 @@ def test_repeats_awkward(awkward, docs):
     assert [r["n_removed"] for r in same] == [0, 0]  # a repeated row is one text
 
 
+@pytest.mark.parametrize("least", [0, -5, -(1 << 63)])
+def test_repeats_of_many_texts_without_id(docs, least):
+    """Each text holds a passage of its own twice; none is taken for another."""
+    n = 4_000 if least > -(1 << 63) else 1
+    passages = ["".join(random.Random(i).choices("abcdefghij ", k=120)) for i in range(n)]
+    rows = [(None, p + "|" + p, None, None) for p in passages] + [(None, passages[0] + "|" + passages[0], None, None), (least, passages[-1], None, None), (7, "x", None, None)]
+    out = collected(repeats.remove_repeats(docs(rows)))
+    assert sorted(r["n_removed"] for r in out if r["doc_id"] is None) == [120] * (n + 1)
+    assert {r["doc_id"]: r["n_removed"] for r in out if r["doc_id"] is not None} == {least: 120, 7: 0}
+
+
 def test_repeats_long_text_in_pieces(monkeypatch):
     """A text that is cut into pieces gives the windows of the whole."""
     monkeypatch.setattr(repeats, "CHUNK", 250)

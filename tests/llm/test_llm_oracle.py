@@ -31,6 +31,18 @@ def test_query(spark, name):
         assert rows(found) == rows(expected)
 
 
+def test_secrets_like_their_sql(spark, tmp_path):
+    """Values that tell the two apart if either has a rule of its own: very long ones, and ones without digits."""
+    own, copied = "Ab1/" * 75, "Cd2+" * 100
+    texts = [f"session {own} end", f"see {copied}", f"and {copied}", "password = CorrectHorseBattery", "password = ExampleExample", "secret: ExampleExample", "NoDigitsInThisBareTokenAtAll", None, "", "é token=abcdefghijkl0 AKIA" + "Z" * 40]
+    spark.createDataFrame([(i, t, f"s{i % 7}" if i % 5 else None) for i, t in enumerate(texts)], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.QUERIES["op9_secret_ownership"](spark, str(tmp_path)).toPandas()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert rows(found) == rows(con.execute(queries.SQL["op9_secret_ownership"]).df())
+    assert "live:8:308" in set(found["spans"]) and found["spans"].str.contains("live").sum() >= 3
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns = docs.columns
