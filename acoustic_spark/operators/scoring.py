@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
@@ -20,14 +20,15 @@ from acoustic_spark.functions.model_cache import loaded
 from acoustic_spark.functions.spectral import quantize
 from acoustic_spark.functions.text import alert_flag
 from acoustic_spark.operators.toplists import top_n_per_key
-from acoustic_spark.workspace import pin_small
+from acoustic_spark.workspace import shared_folder
 
 # A model loader: called once per Python worker, gives a function from a matrix of
 # inputs (one row each) to a matrix of outputs.
 ModelLoader = Callable[[], Callable[[np.ndarray], np.ndarray]]
 
 MAX_DICTIONARY_ROWS = 10_000
-MAX_WEIGHT_ROWS = 1 << 18
+#: Cells of the projection in one block (8 MB), and rows multiplied with it at once.
+BLOCK_CELLS, PROJECTED_ROWS = 1 << 20, 512
 
 
 @dataclass(frozen=True)
@@ -114,19 +115,52 @@ def whiten_clips(embeddings: Column, projection: Projection) -> Column:
 
 
 def whiten_rows(embeddings: DataFrame, key: str, pca: DataFrame, pca_mean: DataFrame) -> DataFrame:
-    """Join form of the projection: (key, o, y).
+    """The projection with its weights in tables, (o, i, w) and (i, m), of any size: (key, o, y).
 
-    Rows are placed by key once; the grouping on (key, o) then needs no further
-    shuffle. The weights have one row per matrix cell and are broadcast up to
-    `MAX_WEIGHT_ROWS` of them; a join on `i` would have only as many keys as dimensions.
+    The matrix is cut into blocks of outputs, BLOCK_CELLS cells each, and every block is multiplied with the Arrow batches
+    of the embeddings where they are: these are read once a block and never shuffled, and driver and tasks hold one block at a
+    time. Cells that the tables lack are 0. Positions that an embedding lacks, or has as null, add nothing; empty embeddings give no rows.
     """
-    rows = embeddings.repartition(key).select(key, F.posexplode("embedding").alias("i", "x"))
-    weights = pin_small(pca.join(pca_mean, "i"), MAX_WEIGHT_ROWS)
-    return (
-        rows.join(weights, "i")
-        .groupBy(key, "o")
-        .agg(F.sum(F.col("w") * (F.col("x") - F.col("m"))).alias("y"))
-    )
+    cells = pca.join(pca_mean, "i").select("o", "i", "w", "m")
+    width, first, last = cells.agg(F.max("i") + 1, F.min("o"), F.max("o")).first()
+    types = {f.name: f.dataType.simpleString() for f in embeddings.schema}
+    schema = f"`{key}` {types[key]}, o int, y double"
+    if width is None:
+        return embeddings.sparkSession.createDataFrame([], schema)
+    rows = embeddings.select(key, F.col("embedding").cast("array<double>").alias("embedding")).where(F.size("embedding") > 0)
+
+    def product(block: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            outputs, weights, mean = block.value
+            for batch in batches:
+                for at in range(0, batch.num_rows, PROJECTED_ROWS):
+                    part = batch.slice(at, PROJECTED_ROWS)
+                    x = np.zeros((part.num_rows, len(mean)))
+                    for row, values in zip(x, part.column(1)):
+                        given = values.values[: len(mean)]
+                        known = np.asarray(given.is_valid())
+                        row[: len(known)][known] = np.asarray(given.drop_null()) - mean[: len(known)][known]
+                    y = x @ weights.T
+                    keys = part.column(0).take(pa.array(np.repeat(np.arange(len(y)), len(outputs))))
+                    yield pa.RecordBatch.from_arrays([keys, pa.array(np.tile(outputs, len(y)), pa.int32()), pa.array(y.ravel())], [key, "o", "y"])
+
+        return run
+
+    out = None
+    step = max(1, BLOCK_CELLS // width)
+    for low in range(first, last + 1, step):
+        block = cells.where(F.col("o").between(low, min(low + step - 1, last))).toArrow()
+        if not block.num_rows:
+            continue
+        outputs, place = np.unique(block["o"].to_numpy(), return_inverse=True)
+        weights, mean = np.zeros((len(outputs), width)), np.zeros(width)
+        at = block["i"].to_numpy()
+        weights[place, at] = block["w"].to_numpy()
+        mean[at] = block["m"].to_numpy()
+        held = embeddings.sparkSession.sparkContext.broadcast((outputs.astype(np.int32), weights, mean))
+        part = rows.mapInArrow(product(held), schema)
+        out = part if out is None else out.unionAll(part)
+    return out
 
 
 def quantize_array(values: Column) -> Column:
@@ -245,10 +279,14 @@ def prediction_lists(named: DataFrame, keys: Sequence[str], cfg: DetectConfig =
     )
 
 
+def top_items(scores: Column, cfg: DetectConfig) -> Column:
+    """The kept (order, class_id, score) of a score array, best first; ties go to the smaller class id."""
+    items = F.transform(scores, lambda s, i: F.struct((-s).alias("order"), i.alias("class_id"), s.alias("score")))
+    return F.slice(F.array_sort(F.filter(items, lambda p: p["score"] > cfg.min_score)), 1, cfg.max_predictions)
+
+
 def rank_array(scores: Column, names: Column, cfg: DetectConfig) -> Column:
     """Array form: prediction list of a score array, names looked up by class id in a map."""
-    items = F.transform(scores, lambda s, i: F.struct((-s).alias("order"), i.alias("class_id"), s.alias("score")))
-    top = F.slice(F.array_sort(F.filter(items, lambda p: p["score"] > cfg.min_score)), 1, cfg.max_predictions)
 
     def named(p: Column) -> Column:
         label = F.coalesce(
@@ -257,7 +295,26 @@ def rank_array(scores: Column, names: Column, cfg: DetectConfig) -> Column:
         )
         return F.struct(label.alias("label"), p["score"].alias("score"))
 
-    return F.transform(top, named)
+    return F.transform(top_items(scores, cfg), named)
+
+
+def name_lists(clips: DataFrame, scores: str, classes: DataFrame, cfg: DetectConfig) -> DataFrame:
+    """Clips with `predictions` in place of the score arrays, for a dictionary of any size; a clip without scores above the limit has an empty list.
+
+    Ranked first: only the kept ids, max_predictions a clip, are looked up, by a join, and put together again by clip. The
+    clips are written between, so that each is computed once and keeps its number.
+    """
+    spark, folder = clips.sparkSession, shared_folder(clips.sparkSession, "ranked")
+    ranked = clips.withColumns({"_top": top_items(F.col(scores), cfg), "_row": F.monotonically_increasing_id()}).drop(scores)
+    ranked.write.parquet(folder)
+    rows = spark.read.schema(ranked.schema).parquet(folder)
+    kept = rows.select("_row", F.posexplode("_top").alias("pos", "top")).select("_row", "pos", "top.class_id", "top.score")
+    named = kept.join(classes.select("class_id", "display_name"), "class_id", "left")
+    label = F.coalesce("display_name", F.raise_error(F.concat(F.lit("unknown class "), F.col("class_id").cast("string"))).cast("string"))
+    lists = named.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("pos", label.alias("label"), "score"))).alias("_list"))
+    item = lambda p: F.struct(p["label"].alias("label"), p["score"].alias("score"))
+    empty = F.array().cast("array<struct<label:string,score:double>>")
+    return rows.join(lists, "_row", "left").withColumn("predictions", F.coalesce(F.transform("_list", item), empty)).drop("_top", "_row", "_list")
 
 
 def sorted_predictions(predictions: Column) -> Column:

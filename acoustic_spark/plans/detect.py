@@ -17,6 +17,7 @@ from acoustic_spark.operators.scoring import (
     ModelLoader,
     Projection,
     embed_clips,
+    name_lists,
     rank_array,
     score_clips,
     whiten_clips,
@@ -34,11 +35,11 @@ class Classifier:
     classes: DataFrame
 
 
-def dictionary_map(classes: DataFrame) -> Column:
-    """Class names as one map literal; the dictionary size is checked."""
+def dictionary_map(classes: DataFrame) -> Column | None:
+    """Class names as one map literal; None for a dictionary of more than MAX_DICTIONARY_ROWS."""
     rows = classes.select("class_id", "display_name").limit(MAX_DICTIONARY_ROWS + 1).collect()
     if len(rows) > MAX_DICTIONARY_ROWS:
-        raise ValueError(f"more than {MAX_DICTIONARY_ROWS} classes; use scoring.name_classes, which joins")
+        return None
     return F.create_map(*[F.lit(v) for r in rows for v in (r["class_id"], r["display_name"])])
 
 
@@ -55,7 +56,8 @@ def detect(classifier: Classifier, cfg: DetectConfig = DetectConfig(), kernel: s
 
     Every step is row by row, so a clip is read, classified and flagged in one
     task; nothing is shuffled and the patches never return to the JVM. The columns
-    are built once and serve every micro-batch.
+    are built once and serve every micro-batch. With a dictionary too large for a literal the kept class ids are looked up by a
+    join instead (`name_lists`), with equal results; a stream then calls it for each micro-batch.
     """
     features = cfg.features
     names = dictionary_map(classifier.classes)
@@ -67,11 +69,13 @@ def detect(classifier: Classifier, cfg: DetectConfig = DetectConfig(), kernel: s
     embedded = embed_clips(cut, classifier.load_model, features.patch_frames * features.bands, features.value_type)
     whitened = whiten_clips(embedded, classifier.projection)
     scores = score_clips(whitened, classifier.head, cfg.max_frames)
-    predictions = rank_array(F.col("_scores"), names, cfg)
+    predictions = None if names is None else rank_array(F.col("_scores"), names, cfg)
     flag = alert_flag(F.col("predictions.label"), cfg.alert_patterns)
 
     def run(clips: DataFrame) -> DataFrame:
         scored = require_int16(clips).withColumn("_scores", scores).drop("samples")
+        if predictions is None:
+            return name_lists(scored, "_scores", classifier.classes, cfg).withColumn("flag", flag)
         return scored.withColumn("predictions", predictions).withColumn("flag", flag).drop("_scores")
 
     return run

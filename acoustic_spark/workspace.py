@@ -1,4 +1,4 @@
-"""Shared folder for written tables, and size-checked small tables."""
+"""Shared folder for written tables, and small local tables."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import uuid
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -36,18 +36,6 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) ->
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema.names), schema)
 
 
-def pin_small(table: DataFrame, max_rows: int) -> DataFrame:
-    """A dimension table as a broadcast local relation when it has at most `max_rows` rows.
-
-    At most `max_rows + 1` rows reach the driver. A larger table comes back as it
-    is, and joins to it stay shuffle joins.
-    """
-    rows = table.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return table
-    return F.broadcast(local_table(table.sparkSession, [tuple(r) for r in rows], table.schema))
-
-
 _shipped: set[str] = set()
 
 

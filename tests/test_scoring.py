@@ -23,7 +23,7 @@ from acoustic_spark.operators.quality import embedding_statistics
 from acoustic_spark.operators.scoring import Dense, Projection
 from acoustic_spark.plans.detect import Classifier
 from acoustic_spark.sources.dimensions import load_projection
-from acoustic_spark.workspace import local_table, pin_small
+from acoustic_spark.workspace import local_table
 
 PREDICTIONS = "predictions ARRAY<STRUCT<label STRING, score DOUBLE>>"
 
@@ -71,14 +71,61 @@ def test_unknown_class(spark, classes):
         spark.range(1).select(scoring.rank_array(F.array(F.lit(0.5), F.lit(0.6)), names, DetectConfig())).collect()
 
 
-def test_large_dictionary_is_not_pinned(spark):
-    table = spark.range(50)
-    assert pin_small(table, 49) is table
-    assert pin_small(table, 50).count() == 50
+def test_local_table(spark):
     local = local_table(spark, [(1, "a")], spark.createDataFrame([(0, "")], "i INT, s STRING").schema)
     assert "LocalTableScan" in local._jdf.queryExecution().executedPlan().toString()
 
 
+def test_blocked_projection(spark, monkeypatch):
+    """Several blocks, a sparse matrix, short, empty and null embeddings; nothing is shuffled by key."""
+    rng = np.random.default_rng(4)
+    w, m = rng.normal(size=(50, 40)), rng.normal(size=40)
+    w[7], w[3, 5] = 0, 0
+    pca = spark.createDataFrame([(o, i, float(w[o, i])) for o in range(50) for i in range(40) if w[o, i]], "o INT, i INT, w DOUBLE")
+    mean = spark.createDataFrame([(i, float(v)) for i, v in enumerate(m)], "i INT, m DOUBLE")
+    x = {k: rng.normal(size=n).astype(np.float32).tolist() for k, n in (("a", 40), ("b", 40), ("short", 11), ("long", 45), ("none", 0))}
+    x["b"][4] = None
+    rows = spark.createDataFrame([*x.items(), ("null", None)], "id STRING, embedding ARRAY<FLOAT>")
+    monkeypatch.setattr(scoring, "BLOCK_CELLS", 300)
+    monkeypatch.setattr(scoring, "PROJECTED_ROWS", 2)
+    out = scoring.whiten_rows(rows, "id", pca, mean)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {(r.id, r.o): r.y for r in out.collect()}
+    centred = {k: np.array([0.0 if v is None else v - c for v, c in zip(values, m)] + [0.0] * (40 - len(values))) for k, values in x.items() if values}
+    want = {(k, o): float(w[o] @ c) for k, c in centred.items() for o in range(50) if o != 7}
+    assert got.keys() == want.keys() and np.allclose([got[k] for k in want], list(want.values()))
+    assert scoring.whiten_rows(rows, "id", pca.limit(0), mean).count() == 0
+
+
+def test_large_projection(spark):
+    """1,024 x 4,096 in four blocks of the usual size: y of a unit vector is a column of the matrix."""
+    n, outputs = 4_096, 1_024
+    cell = spark.range(outputs * n).select((F.col("id") / n).cast("int").alias("o"), (F.col("id") % n).cast("int").alias("i"))
+    pca = cell.withColumn("w", (F.col("o") * 7 + F.col("i") % 13).cast("double"))
+    mean = spark.range(n).select(F.col("id").cast("int").alias("i"), F.lit(0.0).alias("m"))
+    unit = lambda k: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: (j == k).cast("float"))
+    rows = spark.range(3).select("id", unit(F.col("id") * 1_000).alias("embedding"))
+    got = scoring.whiten_rows(rows, "id", pca, mean)
+    bad = got.where(F.col("y") != F.col("o") * 7 + (F.col("id") * 1_000) % 13)
+    assert got.count() == 3 * outputs and bad.count() == 0
+
+
+def test_large_dictionary(spark):
+    """50,000 classes: ranked first, names joined, one row a clip, equal ones too."""
+    n = 50_000
+    classes = spark.range(n).select(F.col("id").cast("int").alias("class_id"), F.concat(F.lit("class "), "id").alias("display_name"))
+    rng = np.random.default_rng(5)
+    head = Dense(rng.normal(size=(n, 5)) * 3, np.zeros(n))
+    weights = rng.normal(size=(5, 12))
+    projection = Projection(rng.normal(size=(5, 5)), rng.normal(size=5))
+    samples = [int(v) for v in rng.integers(-20_000, 20_000, 200)]
+    clips = spark.createDataFrame([("a", 1, 8_000, samples), ("a", 1, 8_000, samples), ("b", 1, 8_000, [1, 2])], "clip STRING, n_channels INT, sample_rate INT, samples ARRAY<SMALLINT>")
+    found = clips.transform(detect(Classifier(lambda: lambda x: x @ weights.T, projection, [head], classes), CFG)).collect()
+    scores = reference_scores(samples, 1, lambda x: x @ weights.T, projection, head)
+    want = [f"class {i}" for _, i in sorted((-s, i) for i, s in enumerate(scores) if s > 0.1)[:20]]
+    assert sorted((r.clip, [p.label for p in r.predictions], r.flag) for r in found) == [("a", want, 0), ("a", want, 0), ("b", [], 0)]
+
+
 @pytest.mark.parametrize(
     "labels,flag",
     [
