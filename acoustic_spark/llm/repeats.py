@@ -311,22 +311,37 @@ def spans_of(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin[new], end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)] if len(end) else end
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """`rows` (doc_id, text) with `doc`, a number in the order of doc_id that tells texts of one doc_id apart.
+
+    Texts without an id get numbers below the smallest id by a hash of 63 bits. Where some doc_id has several texts, `doc` is
+    the distance from the smallest id followed by a hash of the text in all bits that the distance leaves of 63 (with the mark's 18, over 40
+    bits for ids that lie within 2**40 of each other); where none has, it is the id.
+    """
+    digest = F.xxhash64("text", F.lit(2))
+    ids = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(digest).alias("low"), F.max(digest).alias("high"))
+    least, most, shared = ids.agg(F.min("doc_id"), F.max("doc_id"), F.max(F.col("low") != F.col("high"))).first()
+    without, floor = F.xxhash64("text", F.lit(1)), -(1 << 63)
+    if shared and most - least < 1 << 63:
+        free = 63 - (most - least).bit_length()
+        distance = F.shiftleft(F.col("doc_id") - F.lit(least).cast("long"), free)
+        return rows.withColumn("doc", F.coalesce(distance.bitwiseOR(digest.bitwiseAND(F.lit((1 << free) - 1).cast("long"))), without.bitwiseOR(F.lit(floor).cast("long"))))
+    room = (0 if least is None else least) - floor  # numbers below the smallest id
+    below = F.pmod(without, F.lit(min(max(room, 1), (1 << 63) - 1)).cast("long")) + F.lit(floor).cast("long")
+    return rows.withColumn("doc", F.coalesce("doc_id", below))
+
+
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, n_bytes, n_removed, starts, ends (byte ranges removed), kept (binary) and kept_sha256 of each row of docs.
 
     Removed is each byte of the UTF-8 text that a LENGTH-byte string covers which also
     starts earlier: in a smaller doc_id, or earlier in the same text. Strings are judged on
     the input and never cross texts. A null text counts as empty. A null doc_id comes before
-    all others: texts without an id get numbers below the smallest id, by a hash of the text (63 bits of it
-    where no id is negative). Rows that repeat a doc_id that is not null with another text are different texts in a fixed
-    order (told apart by 18 bits of a hash); rows that repeat doc_id and text are one text
+    all others. Different texts without an id, or with the same one, are told apart and put in a
+    fixed order by a hash of the text (`numbered` says by how many bits); rows that repeat doc_id and text are one text
     and get equal results. An empty table gives an empty result; other columns are not read.
     """
-    number = F.col(doc_id).cast("long")
-    least = docs.agg(F.min(number)).first()[0]
-    room = (0 if least is None else least) + (1 << 63)  # numbers below the smallest id
-    below = F.pmod(F.xxhash64(text_or_empty(text), F.lit(1)), F.lit(min(max(room, 1), (1 << 63) - 1)).cast("long")) + F.lit(-(1 << 63)).cast("long")
-    rows = docs.select(number.alias("doc_id"), F.coalesce(number, below).alias("doc"), text_or_empty(text).alias("text"))
+    rows = numbered(docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text")))
     rows = rows.withColumn("mark", mark_of(F.col("text")))
     places = repeated_places(rows.select("doc", "mark", "text"))
     spans = places.select("doc", "place", F.shiftright("place", 45).alias("mark")).groupBy("doc", "mark").agg(F.collect_list("place").alias("places"))

@@ -192,6 +192,18 @@ def test_repeats_of_many_texts_without_id(docs, least):
     assert {r["doc_id"]: r["n_removed"] for r in out if r["doc_id"] is not None} == {least: 120, 7: 0}
 
 
+@pytest.mark.parametrize("least", [7, 6, -(1 << 40)])
+def test_repeats_of_many_texts_of_one_id(docs, least):
+    """Thousands of texts share one id: none is taken for another, other ids keep their order, texts without an id come first."""
+    passages = ["".join(random.Random(i).choices("abcdefghij ", k=120)) for i in range(4_000)]
+    others = [(least - 1, passages[0]), (8, passages[1]), (None, passages[2]), (9, passages[3]), (9, passages[3])]
+    rows = [(7, p + "|" + p, None, None) for p in passages] + [(7, passages[9] + "|" + passages[9], None, None)] + [(i, t, None, None) for i, t in others]
+    out = collected(repeats.remove_repeats(docs(rows)))
+    # The text that holds what an earlier row has loses both of its copies.
+    assert sorted(r["n_removed"] for r in out if r["doc_id"] == 7) == [120] * (len(passages) - 1) + [240] * 2
+    assert sorted((str(r["doc_id"]), r["n_removed"]) for r in out if r["doc_id"] != 7) == sorted([(str(least - 1), 0), ("8", 120), ("None", 0), ("9", 120), ("9", 120)])
+
+
 def test_repeats_long_text_in_pieces(monkeypatch):
     """A text that is cut into pieces gives the windows of the whole."""
     monkeypatch.setattr(repeats, "CHUNK", 250)
