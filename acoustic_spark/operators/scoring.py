@@ -298,9 +298,36 @@ def rank_array(scores: Column, names: Column, cfg: DetectConfig) -> Column:
     return F.transform(top_items(scores, cfg), named)
 
 
+def rank_known(scores: Column, names: Column, cfg: DetectConfig) -> tuple[Column, Column]:
+    """Like `rank_array`, but kept classes without a name end nothing: the list of the named ones, and the ids of the others.
+
+    The others use up places of the list, as a name does not change what is ranked.
+    """
+    named = F.transform(
+        top_items(scores, cfg), lambda p: F.struct(F.element_at(names, p["class_id"]).alias("label"), p["score"].alias("score"), p["class_id"].alias("class_id"))
+    )
+    return known_items(named), unknown_items(named)
+
+
+def known_items(named: Column) -> Column:
+    """(label, score) of the items that have a label."""
+    return F.transform(F.filter(named, lambda p: p["label"].isNotNull()), lambda p: F.struct(p["label"].alias("label"), p["score"].alias("score")))
+
+
+def unknown_items(named: Column) -> Column:
+    """Class ids of the items without a label, best score first."""
+    return F.transform(F.filter(named, lambda p: p["label"].isNull()), lambda p: p["class_id"])
+
+
+def unknown_rows(detections: DataFrame, *keys: str) -> DataFrame:
+    """Rejects of a detection: (keys, class_id, reason), one row for each kept class without a name."""
+    return detections.select(*keys, F.explode("unknown_classes").alias("class_id"), F.lit("unknown class").alias("reason"))
+
+
 def name_lists(clips: DataFrame, scores: str, classes: DataFrame, cfg: DetectConfig) -> DataFrame:
-    """Clips with `predictions` in place of the score arrays, for a dictionary of any size; a clip without scores above the limit has an empty list.
+    """Clips with `predictions` and `unknown_classes` in place of the score arrays, for a dictionary of any size.
 
+    A clip without scores above the limit has two empty lists; kept classes without a name are in the second.
     Ranked first: only the kept ids, max_predictions a clip, are looked up, by a join, and put together again by clip. The
     clips are written between, so that each is computed once and keeps its number.
     """
@@ -310,11 +337,10 @@ def name_lists(clips: DataFrame, scores: str, classes: DataFrame, cfg: DetectCon
     rows = spark.read.schema(ranked.schema).parquet(folder)
     kept = rows.select("_row", F.posexplode("_top").alias("pos", "top")).select("_row", "pos", "top.class_id", "top.score")
     named = kept.join(classes.select("class_id", "display_name"), "class_id", "left")
-    label = F.coalesce("display_name", F.raise_error(F.concat(F.lit("unknown class "), F.col("class_id").cast("string"))).cast("string"))
-    lists = named.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("pos", label.alias("label"), "score"))).alias("_list"))
-    item = lambda p: F.struct(p["label"].alias("label"), p["score"].alias("score"))
-    empty = F.array().cast("array<struct<label:string,score:double>>")
-    return rows.join(lists, "_row", "left").withColumn("predictions", F.coalesce(F.transform("_list", item), empty)).drop("_top", "_row", "_list")
+    item = F.struct("pos", F.col("display_name").alias("label"), "score", "class_id")
+    lists = named.groupBy("_row").agg(F.array_sort(F.collect_list(item)).alias("_list"))
+    found = rows.join(lists, "_row", "left").withColumn("_list", F.coalesce("_list", F.array().cast(lists.schema["_list"].dataType)))
+    return found.withColumns({"predictions": known_items(F.col("_list")), "unknown_classes": unknown_items(F.col("_list"))}).drop("_top", "_row", "_list")
 
 
 def sorted_predictions(predictions: Column) -> Column:

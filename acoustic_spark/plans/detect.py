@@ -18,7 +18,7 @@ from acoustic_spark.operators.scoring import (
     Projection,
     embed_clips,
     name_lists,
-    rank_array,
+    rank_known,
     score_clips,
     whiten_clips,
 )
@@ -57,7 +57,8 @@ def detect(classifier: Classifier, cfg: DetectConfig = DetectConfig(), kernel: s
     Every step is row by row, so a clip is read, classified and flagged in one
     task; nothing is shuffled and the patches never return to the JVM. The columns
     are built once and serve every micro-batch. With a dictionary too large for a literal the kept class ids are looked up by a
-    join instead (`name_lists`), with equal results; a stream then calls it for each micro-batch.
+    join instead (`name_lists`), with equal results; a stream then calls it for each micro-batch. A kept class that the
+    dictionary does not name ends nothing: it is left out of `predictions` and given back in `unknown_classes` (`unknown_rows` lists them).
     """
     features = cfg.features
     names = dictionary_map(classifier.classes)
@@ -69,18 +70,18 @@ def detect(classifier: Classifier, cfg: DetectConfig = DetectConfig(), kernel: s
     embedded = embed_clips(cut, classifier.load_model, features.patch_frames * features.bands, features.value_type)
     whitened = whiten_clips(embedded, classifier.projection)
     scores = score_clips(whitened, classifier.head, cfg.max_frames)
-    predictions = None if names is None else rank_array(F.col("_scores"), names, cfg)
+    lists = None if names is None else dict(zip(("predictions", "unknown_classes"), rank_known(F.col("_scores"), names, cfg)))
     flag = alert_flag(F.col("predictions.label"), cfg.alert_patterns)
 
     def run(clips: DataFrame) -> DataFrame:
         scored = require_int16(clips).withColumn("_scores", scores).drop("samples")
-        if predictions is None:
+        if lists is None:
             return name_lists(scored, "_scores", classifier.classes, cfg).withColumn("flag", flag)
-        return scored.withColumn("predictions", predictions).withColumn("flag", flag).drop("_scores")
+        return scored.withColumns(lists).withColumn("flag", flag).drop("_scores")
 
     return run
 
 
 def detect_clips(clips: DataFrame, classifier: Classifier, cfg: DetectConfig = DetectConfig()) -> DataFrame:
-    """Prediction list and alert flag of every clip."""
+    """Prediction list, alert flag and unknown classes of every clip."""
     return clips.transform(detect(classifier, cfg))

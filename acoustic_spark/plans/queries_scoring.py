@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -287,3 +289,24 @@ def clip_detection(spark: SparkSession, sf: str) -> DataFrame:
     """Clips to prediction lists in one pass: resample, patches, model, projection, scores, ranking, flag."""
     rows = clips(spark, sf, DETECT_CLIP).transform(detect(classifier(spark, sf), DETECT, kernel="linear"))
     return detected(rows)
+
+
+PARTIAL = "class_id % 2 = 0"
+
+
+@query(
+    "partial_dictionary",
+    f"""SELECT sensor_id, seq, CAST(sum(CASE WHEN rank > 0 AND {PARTIAL} THEN 1 ELSE 0 END) AS BIGINT) AS n_known,
+       coalesce(string_agg(CASE WHEN rank > 0 AND {PARTIAL} THEN label END, '|' ORDER BY rank), '') AS labels,
+       coalesce(string_agg(CASE WHEN rank > 0 AND NOT {PARTIAL} THEN class_id::VARCHAR END, '|' ORDER BY rank), '') AS unknown_ids,
+       CAST(max(CASE WHEN {PARTIAL} AND (label LIKE '%err%' OR label LIKE '%purch%') THEN 1 ELSE 0 END) AS BIGINT) AS flag
+FROM ({DETECTED}) LEFT JOIN (WITH {CLASSES} SELECT class_id, display_name FROM classes) ON label = display_name GROUP BY sensor_id, seq""",
+)
+def partial_dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    """Detection with a dictionary that names every other class: the rest of the kept classes come back as ids, no clip is lost."""
+    whole = classifier(spark, sf)
+    found = clips(spark, sf, DETECT_CLIP).transform(detect(replace(whole, classes=whole.classes.where(PARTIAL)), DETECT, kernel="linear"))
+    return found.select(
+        "sensor_id", "seq", F.size("predictions").cast("bigint").alias("n_known"), F.array_join("predictions.label", "|").alias("labels"),
+        F.array_join(F.col("unknown_classes").cast("array<string>"), "|").alias("unknown_ids"), *big("flag"),
+    )

@@ -71,6 +71,22 @@ def test_unknown_class(spark, classes):
         spark.range(1).select(scoring.rank_array(F.array(F.lit(0.5), F.lit(0.6)), names, DetectConfig())).collect()
 
 
+def test_unknown_classes_of_a_detection(spark):
+    """Both forms of the lookup give the named classes and the ids of the others; a class named null is unknown, too."""
+    cfg = DetectConfig(max_predictions=3, min_score=0.2)
+    classes = spark.createDataFrame([(0, "zero"), (2, "two"), (3, None)], "class_id INT, display_name STRING")
+    clips = spark.createDataFrame([("a", [0.9, 0.5, 0.5, 0.7]), ("b", [0.1, 0.3, 0.0, 0.2]), ("c", []), ("d", [0.1])], "clip STRING, s ARRAY<DOUBLE>")
+    names = F.create_map(F.lit(0), F.lit("zero"), F.lit(2), F.lit("two"), F.lit(3), F.lit(None).cast("string"))
+    predictions, unknown = scoring.rank_known(F.col("s"), names, cfg)
+    by_map = clips.withColumns({"predictions": predictions, "unknown_classes": unknown}).drop("s")
+    by_join = scoring.name_lists(clips, "s", classes, cfg)
+    want = {"a": ([("zero", 0.9)], [3, 1]), "b": ([], [1]), "c": ([], []), "d": ([], [])}
+    for found in (by_map, by_join):
+        assert {r.clip: ([tuple(p) for p in r.predictions], r.unknown_classes) for r in found.collect()} == want
+        rejects = scoring.unknown_rows(found, "clip").collect()
+        assert sorted((r.clip, r.class_id, r.reason) for r in rejects) == [("a", 1, "unknown class"), ("a", 3, "unknown class"), ("b", 1, "unknown class")]
+
+
 def test_local_table(spark):
     local = local_table(spark, [(1, "a")], spark.createDataFrame([(0, "")], "i INT, s STRING").schema)
     assert "LocalTableScan" in local._jdf.queryExecution().executedPlan().toString()
