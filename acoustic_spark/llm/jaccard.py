@@ -24,7 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from acoustic_spark.llm.common import discard, join_counted, text_or_empty, written
+from acoustic_spark.llm.common import bit_set, discard, filter_bits, join_counted, text_or_empty, written
 from acoustic_spark.llm.components import components
 
 #: Words of a shingle and wanted similarity where a caller names no others.
@@ -302,14 +302,29 @@ def near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(small_a, "a").join(small_b, "b").mapInPandas(_near(percent), "a long, b long")
 
 
+def maybe_among(rows: DataFrame, members: DataFrame, n_members: int) -> DataFrame:
+    """The rows whose number is in `members`, and few others, without moving any row.
+
+    The bitmap of hashed numbers is broadcast, 16 bits a member and 128 MB at most (`filter_bits`). Where members are more
+    than that holds, more other rows come through, which costs their way to a join but no result.
+    """
+    bits = filter_bits(n_members)
+    slot = F.pmod(F.xxhash64("number"), F.lit(bits)) + 1  # bitmap functions number from 1
+    bucket, position = F.bitmap_bucket_number("slot"), F.bitmap_bit_position("slot")
+    bitmaps = members.select(slot.alias("slot")).groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(position).alias("bitmap"))
+    found = rows.withColumn("slot", slot).join(F.broadcast(bitmaps), bucket == F.col("bucket"))
+    return found.where(bit_set(F.col("bitmap"), position)).select(rows.columns)
+
+
 def verify(pairs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
     """A written table of the pairs (a, b) that are similar enough; `rows` has number and text.
 
-    Only texts of these pairs are moved.
+    Only texts of these pairs are moved, compressed: a bitmap of their numbers keeps nearly all others from the join.
     """
     involved = pairs.select(F.col("a").alias("number")).union(pairs.select("b")).distinct()
-    needed = rows.select("number", "text").join(involved, "number", "left_semi")
-    texts = written(needed.select("number", F.col("text").cast("binary").alias("packed")).mapInPandas(_compressed, "number long, packed binary"), "texts")
+    likely = maybe_among(rows.select("number", "text"), involved, 2 * pairs.count())
+    packed = likely.select("number", F.col("text").cast("binary").alias("packed")).mapInPandas(_compressed, "number long, packed binary")
+    texts = written(packed.join(involved, "number", "left_semi"), "texts")
     left = texts.select(F.col("number").alias("a"), F.col("packed").alias("packed_a"))
     right = texts.select(F.col("number").alias("b"), F.col("packed").alias("packed_b"))
     links = written(pairs.join(left, "a").join(right, "b").mapInPandas(_verified(n, percent), "a long, b long"), "links")
