@@ -8,7 +8,9 @@ are signatures, for which the prefix is longer. Sets with a common signature are
 
 Equal sets are joined as one. Of the sets with a signature, all are compared with the first
 one: each set with the smallest such first one at once, then with others from which it is
-still separate. What is in different components after that is compared pair by pair.
+still separate. What is in different components after that is compared pair by pair: where a
+signature has many such pairs, those of a spanning forest by the bitmaps' nearness come first,
+and the others only if they are in different components after that.
 """
 
 from __future__ import annotations
@@ -44,6 +46,12 @@ LEVEL_BITS = 5
 BITMAP_WORDS = 16
 #: Sets of one signature that are compared with each other in one step.
 BLOCK = 4096
+#: Pairs per row that such a step gives of one signature, round by round; of more it gives a spanning forest. The last round gives all.
+FEW = (4, 32, 256, None)
+#: A pair of sets that share several open signatures is looked at in the smallest one, if both have that among so many smallest.
+SMALLEST = 16
+#: Pairs whose bitmaps are compared at once.
+STEP = 1 << 18
 
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
@@ -155,18 +163,59 @@ def bitmaps(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint64).reshape(-1, BITMAP_WORDS)
 
 
-def may_be_similar(x: np.ndarray, n_x: np.ndarray, y: np.ndarray, n_y: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Whether bitmaps (last axis) and sizes of sets leave room for the wanted similarity; true for all similar sets."""
-    both = -(-percent * (n_x + n_y) // (100 + percent))  # tokens that similar sets have in common at least
+def lacks(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many bits each of two bitmaps (last axis) has alone."""
     lack_x = lack_y = 0
     for i in range(BITMAP_WORDS):
         a, b = x[..., i], y[..., i]
         common = a & b
         lack_x = lack_x + np.bitwise_count(a ^ common).astype(np.int32)
         lack_y = lack_y + np.bitwise_count(b ^ common).astype(np.int32)
+    return lack_x, lack_y
+
+
+def room(lack_x: np.ndarray, n_x: np.ndarray, lack_y: np.ndarray, n_y: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    both = -(-percent * (n_x + n_y) // (100 + percent))  # tokens that similar sets have in common at least
     return (lack_x <= n_x - both) & (lack_y <= n_y - both)
 
 
+def may_be_similar(x: np.ndarray, n_x: np.ndarray, y: np.ndarray, n_y: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Whether bitmaps (last axis) and sizes of sets leave room for the wanted similarity; true for all similar sets."""
+    lack_x, lack_y = lacks(x, y)
+    return room(lack_x, n_x, lack_y, n_y, percent)
+
+
+def forest(a: np.ndarray, b: np.ndarray, distance: np.ndarray) -> np.ndarray:
+    """Which of the edges between labels a and b make a spanning forest of the smallest distances: less than one a label."""
+    order = np.argsort(distance, kind="stable")
+    labels, ends = np.unique(np.concatenate([a[order], b[order]]), return_inverse=True)
+    edge, low, high = np.arange(len(order)), ends[: len(order)], ends[len(order) :]
+    chosen: list[int] = []
+    while True:
+        apart = low != high
+        edge, low, high = edge[apart], low[apart], high[apart]
+        if not len(edge):
+            return order[chosen]
+        # Every label's first edge, and what these join becomes one label.
+        first = np.full(len(labels), len(edge))
+        np.minimum.at(first, low, np.arange(len(edge)))
+        np.minimum.at(first, high, np.arange(len(edge)))
+        parent = list(range(len(labels)))
+
+        def root(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = i = parent[parent[i]]
+            return i
+
+        for at in np.unique(first[first < len(edge)]).tolist():
+            x, y = root(low[at]), root(high[at])
+            if x != y:
+                parent[x] = y
+                chosen.append(int(edge[at]))
+        joined = np.array([root(i) for i in range(len(labels))])
+        low, high = joined[low], joined[high]
+
+
 def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
         return False
@@ -344,14 +393,26 @@ class _Rows:
         self.keys = rows[["signature", "low", "high"]].to_numpy()
         self.number, self.component, self.size = (rows[c].to_numpy() for c in ("number", "component", "n_shingles"))
         self.block, self.bits = rows["block"].to_numpy(), bitmaps(rows["bits"])
-
-    def pairs(self, begin: int, end: int, percent: int) -> list[np.ndarray]:
-        """Pairs (smaller, larger number) of one signature's block pair that sizes and bitmaps leave, in different components."""
-        _, low, high = self.keys[begin].tolist()
+        self.smallest = np.concatenate(rows["smallest"].to_list()).reshape(-1, SMALLEST)
+
+    def elsewhere(self, p: np.ndarray, q: np.ndarray, signature: int) -> np.ndarray:
+        """Whether the pair is looked at in a smaller signature: both sets have it, and as one of their smallest."""
+        x, y = self.smallest[p], self.smallest[q]
+        found = np.zeros(len(p), bool)
+        for i in range(SMALLEST):
+            found |= (x[:, i] < signature) & (x[:, i, None] == y).any(axis=1)
+        return found
+
+    def pairs(self, begin: int, end: int, percent: int, few: int | None) -> tuple[np.ndarray, bool]:
+        """Pairs (smaller, larger number) of one signature's block pair that sizes and bitmaps leave, in different components.
+
+        If they are more than `few` a row, only those of a spanning forest of the components, nearest bitmaps first, and true.
+        """
+        signature, low, high = self.keys[begin].tolist()
         left = begin + np.flatnonzero(self.block[begin:end] == low)
         right = left if low == high else begin + np.flatnonzero(self.block[begin:end] == high)
-        out = []
-        step = max(1, (1 << 20) // max(1, len(right)))
+        held, n_held, more = [(np.empty(0, int), np.empty(0, int), np.empty(0))], 0, False
+        step = max(1, STEP // max(1, len(right)))
         for first in range(0, len(left), step):
             i, j = left[first : first + step, None], right[None, :]
             apart = self.component[i] != self.component[j]
@@ -361,17 +422,41 @@ class _Rows:
             if not len(p):
                 continue
             p, q = i[p, 0], j[0, q]
-            near = may_be_similar(self.bits[p], self.size[p], self.bits[q], self.size[q], percent)
-            out.append(np.sort(np.stack([self.number[p[near]], self.number[q[near]]], axis=1), axis=1))
-        return out
-
-
-def _blocks(percent: int) -> object:
-    """Pairs from rows sorted by (signature, low, high), each once a batch; one such block pair is held at a time."""
+            lack_p, lack_q = lacks(self.bits[p], self.bits[q])
+            near = np.flatnonzero(room(lack_p, self.size[p], lack_q, self.size[q], percent))
+            near = near[~self.elsewhere(p[near], q[near], signature)]
+            p, q = p[near], q[near]
+            held.append((p, q, (lack_p[near] + lack_q[near]) / (self.size[p] + self.size[q])))
+            n_held += len(p)
+            if few is not None and n_held > few * (end - begin):
+                p, q, distance = map(np.concatenate, zip(*held))
+                keep = forest(self.component[p], self.component[q], distance)
+                held, n_held, more = [(p[keep], q[keep], distance[keep])], len(keep), True
+        p, q, distance = map(np.concatenate, zip(*held))
+        if more:
+            keep = forest(self.component[p], self.component[q], distance)
+            p, q = p[keep], q[keep]
+        return np.sort(np.stack([self.number[p], self.number[q]], axis=1), axis=1), more
+
+
+FOUND = "a long, b long, signature long"
+
+
+def _blocks(percent: int, few: int | None) -> object:
+    """Pairs from rows sorted by (signature, low, high), each once a batch, and rows of the signatures that have more.
+
+    One block pair is held at a time.
+    """
 
-    def frame(found: list[np.ndarray]) -> pd.DataFrame:
-        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-        return pd.DataFrame(pairs, columns=["a", "b"]).drop_duplicates()
+    def frame(rows: _Rows, cuts: list[int]) -> pd.DataFrame:
+        found, cut_short = [np.empty((0, 2), np.int64)], []
+        for begin, end in zip(cuts, cuts[1:]):
+            pairs, more = rows.pairs(begin, end, percent, few)
+            found.append(pairs)
+            cut_short += [int(rows.keys[begin, 0])] * more
+        pairs = pd.DataFrame(np.concatenate(found), columns=["a", "b"]).drop_duplicates().assign(signature=None)
+        rest = pd.DataFrame({"a": None, "b": None, "signature": cut_short})
+        return pd.concat([x.astype("Int64") for x in (pairs, rest)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -381,27 +466,31 @@ def _blocks(percent: int) -> object:
                 continue
             rows = _Rows(batch)
             cuts = np.flatnonzero(np.append(True, (rows.keys[1:] != rows.keys[:-1]).any(axis=1))).tolist()
-            yield frame([x for begin, end in zip(cuts, cuts[1:]) for x in rows.pairs(begin, end, percent)])
+            yield frame(rows, cuts)
             rest = batch.iloc[cuts[-1] :]
         if rest is not None:
-            yield frame(_Rows(rest).pairs(0, len(rest), percent))
+            yield frame(_Rows(rest), [0, len(rest)])
 
     return run
 
 
-def block_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def block_pairs(open_: DataFrame, sets: DataFrame, percent: int, few: int | None = None) -> DataFrame:
     """Pairs (a, b) of sets with a common signature and different components that may be similar, each once.
 
     `open_` has signature, number and component. A large signature is cut into blocks by
-    number, and every two blocks meet in a group of their own.
+    number, and every two blocks meet in a group of their own. A group with more than `few`
+    pairs a row gives those of a spanning forest only; its signature comes in a row without a pair.
     """
-    rows = open_.join(sets.select("number", "n_shingles", "bits"), "number")
+    listed = F.sort_array(F.collect_list("signature"))
+    padded = F.concat(listed, F.array_repeat(F.lit((1 << 63) - 1), SMALLEST))
+    smallest = open_.groupBy("number").agg(F.slice(padded, 1, SMALLEST).alias("smallest"))
+    rows = open_.join(sets.select("number", "n_shingles", "bits").join(smallest, "number"), "number")
     blocks = open_.groupBy("signature").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     rows = rows.join(blocks, "signature").withColumn("block", F.pmod(F.hash("number"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("blocks", "other")
     dealt = rows.repartition("signature", "low", "high").sortWithinPartitions("signature", "low", "high")
-    return dealt.mapInPandas(_blocks(percent), "a long, b long").distinct()
+    return dealt.mapInPandas(_blocks(percent, few), FOUND).distinct()
 
 
 def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = WORDS_IN_SHINGLE, percent: int = PERCENT, number: str | None = None) -> DataFrame:
@@ -459,15 +548,34 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
 
     # Signatures whose sets are in different components yet. Of those that have the same sets only one is looked at:
     # long texts that are almost similar share hundreds.
-    labelled = shared.join(found.withColumnRenamed("node", "number"), "number", "left").withColumn("component", F.coalesce("component", "number"))
-    members = [F.bit_xor(F.xxhash64(F.lit(seed), "number")).alias(f"members{seed}") for seed in (1, 2)]
-    mixed = labelled.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"), *members).where("low < high")
-    mixed = mixed.groupBy("n", "members1", "members2").agg(F.min("signature").alias("signature")).select("signature")
-    open_ = written(labelled.join(mixed, "signature").select("signature", "number", "component"), "open")
+    def mixed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(signature, number) rows with the set's component so far, and the signatures of more than one."""
+        labelled = rows.join(found.withColumnRenamed("node", "number"), "number", "left").withColumn("component", F.coalesce("component", "number"))
+        members = [F.bit_xor(F.xxhash64(F.lit(seed), "number")).alias(f"members{seed}") for seed in (1, 2)]
+        grouped = labelled.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"), *members)
+        return labelled, grouped.where("low < high")
+
+    labelled, several = mixed(shared)
+    several = several.groupBy("n", "members1", "members2").agg(F.min("signature").alias("signature"))
+    open_ = written(labelled.join(several.select("signature"), "signature").select("signature", "number", "component"), "open")
     discard(stars)
-    across = written(block_pairs(open_, prepared, percent), "across")
-    extend(across)
-    discard(open_, across)
+    tried = []
+    for few in FEW:
+        across = written(block_pairs(open_, prepared, percent, few), "across")
+        candidates = across.where("signature IS NULL").select("a", "b")
+        for before in tried:
+            candidates = candidates.join(before.select("a", "b"), ["a", "b"], "left_anti")
+        extend(candidates)
+        tried.append(across)
+        # Signatures that have more pairs than they gave: only these are looked at again.
+        rest = across.where("signature IS NOT NULL").select("signature").distinct()
+        if not rest.limit(1).count():
+            break
+        labelled, several = mixed(open_.select("signature", "number").join(rest, "signature"))
+        reopened = written(labelled.join(several.select("signature"), "signature").select("signature", "number", "component"), "open")
+        discard(open_)
+        open_ = reopened
+    discard(open_, *tried)
 
     degree = links.select(F.col("a").alias("number")).union(links.select("b")).groupBy("number").agg(F.count(F.lit(1)).alias("n_links"))
     each = classes.join(found.withColumnRenamed("node", "number"), "number", "left").withColumn("component", F.coalesce("component", "number"))
