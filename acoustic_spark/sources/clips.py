@@ -15,6 +15,8 @@ from acoustic_spark.functions.waveform import channel_count, decode_pcm16, encod
 WAV_HEADER_BYTES = 44
 _CHANNELS_AT, _RATE_AT, _BITS_AT, _DATA_SIZE_AT = 23, 25, 35, 41
 _PCM = 1
+#: Splits of a folder's scan that one task reads.
+SPLITS = 16
 
 
 def _number(content: Column, at: int, size: int) -> Column:
@@ -87,7 +89,17 @@ def parse_wav(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 def read_wav(spark: SparkSession, folder: str, glob: str = "*.wav") -> tuple[DataFrame, DataFrame]:
     """Clips of a folder of WAV files, and the rejected files."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
-    return parse_wav(files.select("path", "content"))
+    return parse_wav(fewer_tasks(files.select("path", "content")))
+
+
+def fewer_tasks(files: DataFrame) -> DataFrame:
+    """Files with SPLITS of Spark's splits in each task, but two tasks a core at least.
+
+    Spark counts a file as 4 MB however small it is, so that a task has 32 files at most; starting it and its Python worker
+    takes longer than reading them. Rows go through a task in batches, so the memory doesn't grow with its files.
+    """
+    splits = files.rdd.getNumPartitions()
+    return files.coalesce(max(splits // SPLITS, min(splits, 2 * files.sparkSession.sparkContext.defaultParallelism), 1))
 
 
 def write_files(files: DataFrame, folder: str) -> int:
