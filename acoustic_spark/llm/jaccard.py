@@ -244,16 +244,16 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _level_range(rows: pd.DataFrame) -> pd.DataFrame:
     out = np.zeros(RANGE, np.uint8)
     out[rows["bucket"] % RANGE] = np.minimum(np.log2(rows["n"]).astype(int), (1 << LEVEL_BITS) - 1)
-    return pd.DataFrame({"range": [int(rows["bucket"].iloc[0]) // RANGE], "levels": [out.tobytes()]})
+    return pd.DataFrame({"range": [int(rows["bucket"].iloc[0]) // RANGE], "levels": [zlib.compress(out.tobytes(), 1)]})
 
 
 def word_levels(texts: DataFrame) -> bytes:
-    """Level of each bucket from the counts of all words of all texts; always BUCKETS bytes, joined on the driver from BUCKETS / RANGE rows."""
+    """Level of each bucket from the counts of all words of all texts; always BUCKETS bytes, joined on the driver from BUCKETS / RANGE compressed rows."""
     counts = texts.select("text").mapInPandas(_count_words, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     rows = counts.groupBy((F.col("bucket") / RANGE).cast("int")).applyInPandas(_level_range, "range int, levels binary").collect()
     out = bytearray(BUCKETS)
     for row in rows:
-        out[row["range"] * RANGE : (row["range"] + 1) * RANGE] = row["levels"]
+        out[row["range"] * RANGE : (row["range"] + 1) * RANGE] = zlib.decompress(row["levels"])
     return bytes(out)
 
 
@@ -509,6 +509,7 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     rows = written(rows, "rows") if number is None else rows
     levels = docs.sparkSession.sparkContext.broadcast(word_levels(rows))
     prepared = written(rows.mapInPandas(_prepared(levels, n, percent), SETS), "sets")
+    levels.destroy()
 
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("number").alias("row"))
     classes = prepared.where("digest is not null").groupBy("digest").agg(F.min("number").alias("number"), F.min(order).alias("smallest"), F.count(F.lit(1)).alias("n_class"))
@@ -531,11 +532,13 @@ def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
         """Pairs of sets that are in different components so far."""
         of_a = found.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
         of_b = found.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
-        known = candidates.join(of_a, "a", "left").join(of_b, "b", "left")
+        known = candidates.join(of_a.hint("merge"), "a", "left").join(of_b.hint("merge"), "b", "left")
         return known.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
 
     def extend(candidates: DataFrame) -> None:
         nonlocal links, found
+        if not candidates.limit(1).count():
+            return
         more = verify(candidates, rows, n, percent)
         if more.limit(1).count():
             links = links.union(more)

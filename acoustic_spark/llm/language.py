@@ -126,6 +126,25 @@ def _table(counts: DataFrame, item: str, languages: list[str]) -> DataFrame:
     return written(whole.select("item", "all", each.cast("array<long>").alias("counts")), f"{item}_table")
 
 
+def _tally(table: DataFrame) -> dict[int, int]:
+    """How many items have an `all` of so many binary digits."""
+    return {r["digits"]: r["n"] for r in table.groupBy(F.length(F.bin("all")).alias("digits")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _most_frequent(table: DataFrame, n: int, tally: dict[int, int]) -> DataFrame:
+    """The n items with the most occurrences, equal ones by name.
+
+    Items with fewer binary digits than enough others have are left out before, so what the
+    tasks sort and send does not grow by n with each of them.
+    """
+    held, least = 0, 1
+    for digits in sorted(tally, reverse=True):
+        held, least = held + tally[digits], digits
+        if held >= n:
+            break
+    return table.where(F.col("all") >= F.lit(1 << (least - 1))).orderBy(F.desc("all"), "item").limit(n)
+
+
 def _scores(counts: str, sizes: list[float]) -> F.Column:
     """Log frequencies by language of an item with these counts."""
     return F.array(*[F.log((F.col(counts)[i] + F.lit(SMOOTHING)) / F.lit(size)) for i, size in enumerate(sizes)])
@@ -143,13 +162,14 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Statistics:
     languages = sorted(totals)
     whole, pieces = _table(counts, "word", languages), _table(gram_counts, "gram", languages)
     discard(counts, gram_counts)
-    n_words, n_grams = whole.count(), pieces.count()
+    word_tally, gram_tally = _tally(whole), _tally(pieces)
+    n_words, n_grams = sum(word_tally.values()), sum(gram_tally.values())
     sizes = [totals[lang] + SMOOTHING * max(1, n_words) for lang in languages]
     gram_sizes = [gram_totals[lang] + SMOOTHING * max(1, n_grams) for lang in languages]
-    top = whole.orderBy(F.desc("all"), "item").limit(HOT_WORDS).select("item", "counts").toPandas()
-    n = np.array(top["counts"].tolist(), float).reshape(len(top), len(languages))
-    top_grams = pieces.orderBy(F.desc("all"), "item").limit(HOT_GRAMS).select("item").toPandas()
-    hot = Hot({w: i for i, w in enumerate(top["item"])}, np.log((n + SMOOTHING) / np.array(sizes)), frozenset(top_grams["item"]))
+    top = _most_frequent(whole, HOT_WORDS, word_tally).select("item", "counts").toArrow()
+    n = top["counts"].combine_chunks().flatten().to_numpy().astype(float).reshape(len(top), len(languages))
+    top_grams = _most_frequent(pieces, HOT_GRAMS, gram_tally).select("item").toArrow()
+    hot = Hot({w: i for i, w in enumerate(top["item"].to_pylist())}, np.log((n + SMOOTHING) / np.array(sizes)), frozenset(top_grams["item"].to_pylist()))
     return Statistics(languages, whole, pieces, sizes, gram_sizes, hot)
 
 
@@ -214,6 +234,7 @@ def identify(docs: DataFrame, model: Statistics, text: str = "text") -> DataFram
     known = seen.join(table, "item").select("item", "n_rows", _scores("counts", model.word_sizes).alias("scores"))
     rest, pieces = _backoff(seen.join(table.select("item"), "item", "left_anti"), model, shared)
     vectors = written(known.unionByName(rest), "vectors")
+    shared.destroy()
     n_cold = seen.agg(F.sum("n_rows")).first()[0] or 0
     discard(pieces, seen)
     added = join_counted(cold, vectors, "item", "n_rows", n_cold).groupBy("key").agg(*_summed("scores", "n", n))
