@@ -26,7 +26,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from acoustic_spark.llm.common import bit_set, discard, filter_bits, join_counted, text_or_empty, written
+from acoustic_spark.llm.common import bit_set, discard, filter_bits, in_small_batches, join_counted, text_or_empty, written
 from acoustic_spark.llm.components import components
 
 #: Words of a shingle and wanted similarity where a caller names no others.
@@ -40,7 +40,8 @@ PAIRS, TRIPLES = 6, 14
 GROUP = {2: 4, 3: 5}
 #: Sets of fewer shingles have single tokens as signatures whatever their level.
 SMALL = 8
-HELD = 1 << 19
+#: Different words that a task counts before it passes them on, and whose hashes it keeps at hand.
+HELD, KNOWN = 1 << 19, 1 << 17
 LEVEL_BITS = 5
 #: A set's tokens as a bitmap of so many 64-bit words. Each bit that one set has alone is a token that the other lacks.
 BITMAP_WORDS = 16
@@ -267,7 +268,7 @@ def _prepared(levels, n: int, percent: int) -> object:
             rows = []
             ids = batch["doc_id"].astype("Int64")
             for number, doc_id, text in zip(batch["number"], ids, batch["text"]):
-                if len(hashes) > HELD:
+                if len(hashes) > KNOWN:
                     hashes.clear()
                 tokens, level = shingles(words_of(text), hashes, n)
                 digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None
@@ -327,7 +328,7 @@ def _verified(n: int, percent: int) -> object:
             return cached[number]
 
         for batch in batches:
-            if len(hashes) > HELD:
+            if len(hashes) > KNOWN:
                 hashes.clear()
             keep = [similar(tokens(a, x), tokens(b, y), percent) for a, b, x, y in zip(batch["a"], batch["b"], batch["packed_a"], batch["packed_b"])]
             yield batch.loc[keep, ["a", "b"]]
@@ -493,6 +494,7 @@ def block_pairs(open_: DataFrame, sets: DataFrame, percent: int, few: int | None
     return dealt.mapInPandas(_blocks(percent, few), FOUND).distinct()
 
 
+@in_small_batches
 def join_similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = WORDS_IN_SHINGLE, percent: int = PERCENT, number: str | None = None) -> DataFrame:
     """number, doc_id, n_shingles, component_id, n_links and kept for each row of docs.
 

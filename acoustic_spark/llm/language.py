@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from acoustic_spark.llm.common import discard, fresh, join_counted, text_or_empty, written
+from acoustic_spark.llm.common import discard, fresh, in_small_batches, join_counted, text_or_empty, written
 
 LETTERS = re.compile(r"[^\W\d_]+")  # and numbers that are no digits, which `words` leaves out
 #: Different words for each task that counts their n-grams.
@@ -93,15 +93,24 @@ class Hot:
                 return
 
 
+def _counted(held: dict[str, dict[str, int]], item: str) -> pd.DataFrame:
+    """Rows (lang, item, n), column by column: a tuple for each row would take twice the counts' own memory."""
+    sizes = [len(each) for each in held.values()]
+    items = [x for each in held.values() for x in each]
+    n = np.fromiter((c for each in held.values() for c in each.values()), np.int64, len(items))
+    lang = np.repeat(np.array(list(held), object), np.array(sizes, int))
+    return pd.DataFrame({"lang": pd.Series(lang, dtype=object), item: pd.Series(items, dtype=object), "n": n})
+
+
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held: dict[str, Counter] = {}
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"]):
             held.setdefault(lang, Counter()).update(words(text))
             if sum(map(len, held.values())) >= HELD:
-                yield pd.DataFrame([(a, w, c) for a, each in held.items() for w, c in each.items()], columns=["lang", "word", "n"])
+                yield _counted(held, "word")
                 held = {}
-    yield pd.DataFrame([(a, w, c) for a, each in held.items() for w, c in each.items()], columns=["lang", "word", "n"])
+    yield _counted(held, "word")
 
 
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -113,9 +122,9 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 for gram in grams(word, order):
                     each[gram] = each.get(gram, 0) + n
             if at % 1000 == 0 and sum(map(len, held.values())) >= HELD:
-                yield pd.DataFrame([(a, g, c) for a, some in held.items() for g, c in some.items()], columns=["lang", "gram", "n"])
+                yield _counted(held, "gram")
                 held = {}
-    yield pd.DataFrame([(a, g, c) for a, some in held.items() for g, c in some.items()], columns=["lang", "gram", "n"])
+    yield _counted(held, "gram")
 
 
 def _table(counts: DataFrame, item: str, languages: list[str]) -> DataFrame:
@@ -150,6 +159,7 @@ def _scores(counts: str, sizes: list[float]) -> F.Column:
     return F.array(*[F.log((F.col(counts)[i] + F.lit(SMOOTHING)) / F.lit(size)) for i, size in enumerate(sizes)])
 
 
+@in_small_batches
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Statistics:
     """The counts of every word and n-gram of every text of all rows with a language."""
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), text_or_empty(text).alias("text"))
@@ -203,6 +213,7 @@ def _backoff(unknown: DataFrame, model: Statistics, shared) -> tuple[DataFrame,
     return longest.select(F.col("word").alias("item"), "n_rows", "scores"), pieces
 
 
+@in_small_batches
 def identify(docs: DataFrame, model: Statistics, text: str = "text") -> DataFrame:
     """`docs` with lang_pred and score (0 to 1). A null text or one without letters gives `und` and 0.
 

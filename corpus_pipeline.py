@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from acoustic_spark.llm import bpe, exact_dedup, jaccard, language, mixing
-from acoustic_spark.llm.common import written
+from acoustic_spark.llm.common import bound_batches, written
 from acoustic_spark.workspace import ship_package
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -89,7 +89,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids, and whether the ids decode to the text again.
 
     A null text is encoded as an empty one: no ids. Every row gives one, repeated ones too; an empty table gives none.
+    The caller's job encodes, so from here on the session sends texts to Python in small batches.
     """
+    bound_batches(spark)
     coded = bpe.encode_documents(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
